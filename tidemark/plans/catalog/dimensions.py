@@ -34,9 +34,9 @@ def dim_calendar(spark, sf):
                           f"FROM dim_{n} WHERE {k} <= 0" for n, (k, _) in DIMS.items()))
 def special_members(spark, sf):
     """0, -1 and -2 in every dimension."""
-    s, out = star(spark, sf), None
+    frames, out = star(spark, sf).dims(list(DIMS)), None
     for name, (key, _) in DIMS.items():
-        row = s.dim(name).where(F.col(key) <= 0).agg(
+        row = frames[name].where(F.col(key) <= 0).agg(
             F.count(F.lit(1)).alias("special_rows"), F.min(key).alias("lowest"), F.max(key).alias("highest")
         ).select(F.lit(name).alias("dim"), "*")
         out = row if out is None else out.unionByName(row)

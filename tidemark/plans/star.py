@@ -7,8 +7,9 @@ columnar files and prunes to the columns it needs.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -241,17 +242,22 @@ class Star:
 
     # --- published tables -------------------------------------------------------------
 
-    def _published(self, label: str, build) -> DataFrame:
-        if label not in self._frames:
-            self.log.publish("build", {label: build()})
-            self._frames[label] = self.log.read(label)
-        return self._frames[label]
-
-    def dim(self, name: str) -> DataFrame:
-        return self._published(f"dim_{name}", lambda: self.build_dim(name))
+    def _publish(self, builders: dict[str, Callable[[], DataFrame]]) -> None:
+        """Build the tables not published yet and commit them together."""
+        todo = {label: build for label, build in builders.items() if label not in self._frames}
+        if todo:
+            self.log.publish("build", {label: build() for label, build in todo.items()})
+            self._frames.update({label: self.log.read(label) for label in todo})
 
     def dims(self, names: Sequence[str]) -> dict[str, DataFrame]:
-        return {n: self.dim(n) for n in names}
+        """Published dimensions; the first loads of versioned ones come before their second."""
+        first = [f"{n}_first" for n in names if n in ("driver", "truck")]
+        for wave in (first, names):
+            self._publish({f"dim_{n}": partial(self.build_dim, n) for n in wave})
+        return {n: self._frames[f"dim_{n}"] for n in names}
+
+    def dim(self, name: str) -> DataFrame:
+        return self.dims([name])[name]
 
     def stage(self, name: str, keys: DataFrame | None = None,
               silver: dict[str, DataFrame] | None = None) -> DataFrame:
@@ -259,8 +265,10 @@ class Star:
         tables = silver or {t: self.silver(t) for t in FACT_SILVER[name]}
         return FACTS[name][0](keys, tables, self.dims(FACT_DIMS[name]))
 
-    def fact(self, name: str) -> DataFrame:
-        return self._published(f"fact_{name}", lambda: self.stage(name))
-
     def facts(self, names: Sequence[str]) -> dict[str, DataFrame]:
-        return {n: self.fact(n) for n in names}
+        self.dims(sorted({d for n in names for d in FACT_DIMS[n]}))
+        self._publish({f"fact_{n}": partial(self.stage, n) for n in names})
+        return {n: self._frames[f"fact_{n}"] for n in names}
+
+    def fact(self, name: str) -> DataFrame:
+        return self.facts([name])[name]

@@ -8,6 +8,7 @@ readable, which is what a change feed and a restore need.
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,13 +44,15 @@ class TableLog:
         """
         known = {r["table"]: r for r in self.current().collect()}  # one row per table
         sequence = max((r["commit_seq"] for r in known.values()), default=0) + 1
-        lines = []
-        for name, df in tables.items():
+        rows = []
+        for name in tables:
             version = known[name]["version"] + 1 if name in known else 1
-            path = f"{self.root}/{name}/v{version:08d}-{run_id}"
-            df.write.mode("errorifexists").parquet(path)
-            lines.append(json.dumps({"commit_seq": sequence, "run_id": run_id, "table": name, "version": version,
-                                     "path": path}))
+            rows.append({"commit_seq": sequence, "run_id": run_id, "table": name, "version": version,
+                         "path": f"{self.root}/{name}/v{version:08d}-{run_id}"})
+        # Independent writes; Spark runs the jobs of several threads side by side.
+        with ThreadPoolExecutor(max_workers=min(8, len(rows))) as pool:
+            list(pool.map(lambda r: tables[r["table"]].write.mode("errorifexists").parquet(r["path"]), rows))
+        lines = [json.dumps(r) for r in rows]
         write_text(self.spark, f"{self.root}/_commits/commit-{sequence:010d}.json", "\n".join(lines) + "\n")
         return sequence
 
