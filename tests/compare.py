@@ -71,7 +71,7 @@ def main() -> int:
             else:
                 problem, n = None, f" rows-only {df.count()}"
         except Exception as exc:  # noqa: BLE001  (report and go on)
-            problem, n = f"{type(exc).__name__}: {str(exc)[:600]}", ""
+            problem, n = f"{type(exc).__name__}: {str(exc).strip().splitlines()[0][:400]}", ""
         failed += problem is not None
         print(f"{'FAIL' if problem else 'ok  '} {name} {time.time() - start:.1f}s{n} {problem or ''}", flush=True)
     print(f"{failed} failed")

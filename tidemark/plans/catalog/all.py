@@ -1,3 +1,3 @@
 """Import every catalogue module, in survey order."""
 
-from tidemark.plans.catalog import dimensions, joins, projections, sources  # noqa: F401
+from tidemark.plans.catalog import aggregates, changes, dimensions, joins, projections, scalars, sources  # noqa: F401

@@ -15,15 +15,11 @@ from tidemark.operators.lookups import as_of, by_columns
 from tidemark.operators.segments import segmented
 from tidemark.plans import landing
 from tidemark.plans.measures import drill_across
-from tidemark.plans.oracle import define
 from tidemark.plans.oracle_star import CLASS, dk
 from tidemark.plans.registry import query
 from tidemark.plans.star import star
-from tidemark.plans.trucking import DUCK, given, source
+from tidemark.plans.trucking import given, source
 
-define("customers_after", landing.CUSTOMERS_AFTER)
-define("registry", landing.REGISTRY.format(**DUCK.given))
-define("batch_events", landing.BATCH_EVENTS.format(**DUCK.given))
 def n_rows():
     return F.count(F.lit(1))
 
@@ -86,13 +82,12 @@ def join_scd2_asof(spark, sf):
     return as_of(trips, dim, "driver_id", "driver_key", "day", "driver_key").join(reasons, "driver_key", "left")
 
 
-define("history_days", landing.HISTORY)
 
 
 @query("join_theta_range", "user_id bigint, day date, missed_before bigint, missed_after bigint", """
     WITH h AS (SELECT *, lag(seen_at) OVER (PARTITION BY user_id ORDER BY seen_at) AS p,
-                      lead(seen_at) OVER (PARTITION BY user_id ORDER BY seen_at) AS n FROM history_days),
-    s AS (SELECT DISTINCT seen_at AS snap FROM history_days WHERE mode = 'full')
+                      lead(seen_at) OVER (PARTITION BY user_id ORDER BY seen_at) AS n FROM user_days),
+    s AS (SELECT DISTINCT seen_at AS snap FROM user_days WHERE mode = 'full')
     SELECT user_id, CAST(seen_at AS DATE) AS day,
            (SELECT count(*) FROM s WHERE snap > p AND snap < seen_at) AS missed_before,
            CASE WHEN n IS NULL THEN (SELECT count(*) FROM s WHERE snap > seen_at) ELSE 0 END AS missed_after

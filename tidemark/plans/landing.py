@@ -234,3 +234,36 @@ def user_change_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
         F.col("event_id").cast("string").alias("_event_id"), (F.col("event_id") + 1).alias("_source_sequence"),
         F.col("ts").cast("timestamp").alias("_source_changed_at"), F.lit("batch-1").alias("_batch_id"))
     return snapshot, changes
+
+
+# --- one change later -----------------------------------------------------------------
+
+def edited(spark: SparkSession, sf_dir: str, table: str) -> tuple[DataFrame, DataFrame]:
+    """(before, after) of the columns the key propagation reads: moved, re-routed and removed rows."""
+    columns, sql = EDITS[table]
+    before = source(spark, sf_dir, table).select(*columns)
+    return before, spark.sql(sql.format(t="{before}"), before=before)
+
+
+# Table -> columns and the edit, in a text both engines read.
+EDITS = {
+    "loads": (("load_id", "route_id"), """
+        SELECT load_id, CASE WHEN load_id % 89 = 0 THEN 101 ELSE route_id END AS route_id
+        FROM {t} WHERE load_id % 127 <> 0"""),
+    "trips": (("trip_id", "load_id", "driver_id"), """
+        SELECT trip_id, CASE WHEN driver_id % 17 = 3 AND load_id % 5 = 0 THEN load_id + 1 ELSE load_id END AS load_id,
+               driver_id FROM {t}"""),
+    "delivery_events": (("event_id", "load_id", "event_type"), """
+        SELECT event_id, CASE WHEN load_id % 71 = 0 AND event_type = 'Pickup' THEN load_id + 2 ELSE load_id END
+               AS load_id, event_type FROM {t} WHERE load_id IS NULL OR load_id % 301 <> 5"""),
+    "fuel_purchases": (("fuel_purchase_id", "trip_id", "gallons"), """
+        SELECT fuel_purchase_id, trip_id, CAST(CASE WHEN gallons = 13 THEN gallons + 1 ELSE gallons END
+               AS DECIMAL(10,2)) AS gallons
+        FROM {t}"""),
+    "maintenance_records": (("maintenance_id", "labor_hours"), """
+        SELECT maintenance_id, CAST(CASE WHEN maintenance_id % 61 = 0 THEN labor_hours + 1
+               ELSE labor_hours END AS DECIMAL(8,2)) AS labor_hours FROM {t} WHERE maintenance_id % 83 <> 0"""),
+    "safety_incidents": (("incident_id", "vehicle_damage_cost"), """
+        SELECT incident_id, CAST(CASE WHEN incident_id % 59 = 0 THEN vehicle_damage_cost + 1
+               ELSE vehicle_damage_cost END AS DECIMAL(14,2)) AS vehicle_damage_cost FROM {t} WHERE incident_id % 79 <> 0"""),
+}

@@ -16,7 +16,7 @@ from tidemark.plans import oracle
 from tidemark.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+_ORACLES: dict[str, tuple[str, str]] = {}
 
 # kind: (Spark column -> column, SQL text with {c} for the column)
 _KINDS = {
@@ -55,6 +55,13 @@ def query(name: str, out: str, sql: str | None = None):
         QUERIES[name] = run
         if sql is not None:
             casts = ", ".join(f"{_KINDS[kind][1].format(c=col)} AS {col}" for col, kind in _fields(out))
-            ORACLES[name] = oracle.statement(sql, casts)
+            _ORACLES[name] = (sql, casts)
         return build
     return register
+
+
+def oracles() -> dict[str, str]:
+    """The oracle statements, each with the definitions of the relations it uses."""
+    from tidemark.plans import oracle_landing, oracle_star  # noqa: F401  (define the relations)
+
+    return {name: oracle.statement(sql, casts) for name, (sql, casts) in _ORACLES.items()}
