@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.compare import lookup
 from tidemark.operators.segments import first_per_key, latest_per_key, segmented
+from tidemark.session import cut
 
 #: Which of several events at one instant counts.
 EVENT_RANK = {"waived": 1, "completed": 2, "rejected": 3, "failed": 4, "silver_applied": 5}
@@ -101,6 +102,8 @@ def batch_state(manifest: DataFrame, events: DataFrame) -> DataFrame:
     settled = base.join(completed, "batch_id", "left").withColumn(
         "_settled", F.when((F.col("_base") == "rejected") & (F.col("_replaced_by") > F.col("batch_seq")),
                            "superseded").otherwise(F.col("_base")))
+    # Read four times below; one row per batch is cheaper to store than to derive again.
+    settled = cut(settled)
 
     # The frontier is the earliest open batch: one row, read as scalar subqueries.
     open_ = settled.where(~F.col("_settled").isin(*CLOSED))
