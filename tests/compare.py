@@ -47,8 +47,11 @@ def difference(df, con, sql: str) -> str | None:
         return f"{len(ours)} rows vs {len(theirs)}"
     ours.sort(key=_order)
     theirs.sort(key=_order)
-    bad = [(a, b) for a, b in zip(ours, theirs) if a != b]
-    return f"{len(bad)} of {len(ours)} rows differ: {names} {bad[0][0]} vs {bad[0][1]}" if bad else None
+    if ours == theirs:
+        return None
+    mine, other = set(ours) - set(theirs), set(theirs) - set(ours)
+    return (f"{len(mine)} of {len(ours)} rows differ: {names} {sorted(mine, key=_order)[:2]} vs "
+            f"{sorted(other, key=_order)[:2]}")
 
 
 def main() -> int:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.compare import CheckFailed, ratio
 from tidemark.functions.dates import key_month
@@ -152,7 +153,8 @@ def verdicts(pairs: DataFrame) -> DataFrame:
     spark = pairs.sparkSession
     undefined = spark.createDataFrame(
         [("truck_utilization_metrics", "utilization_rate", False, None, None, None, None, None,
-          "definition-unknown")], judged.schema)
+          "definition-unknown")],
+        T.StructType([T.StructField(f.name, f.dataType) for f in judged.schema.fields]))
     return judged.unionByName(undefined)
 
 
