@@ -86,7 +86,7 @@ def agg_global(spark, sf):
         F.count_if(F.col("dispatch_date").isNull()).alias("undated"))
 
 
-@query("agg_ratio_of_sums", "truck_id bigint, price r4, miles_per_gallon r4", """
+@query("agg_ratio_of_sums", "truck_id bigint, price r8, miles_per_gallon r8", """
     SELECT truck_id, CAST(sum(total_cost) AS DOUBLE) / nullif(CAST(sum(gallons) AS DOUBLE), 0) AS price,
            CAST(count(*) AS DOUBLE) / nullif(CAST(sum(CASE WHEN gallons > 40 THEN gallons ELSE 0 END) AS DOUBLE), 0)
                AS miles_per_gallon
@@ -160,7 +160,7 @@ def agg_string_agg(spark, sf):
         F.array_join(F.array_sort(F.collect_list("load_status")), ", ").alias("statuses"))
 
 
-@query("agg_share_of_total", "customer_id bigint, revenue double, share r6", """
+@query("agg_share_of_total", "customer_id bigint, revenue double, share r8", """
     SELECT customer_id, sum(revenue) AS revenue,
            CAST(sum(revenue) AS DOUBLE) / CAST((SELECT sum(revenue) FROM raw_loads) AS DOUBLE) AS share
     FROM raw_loads GROUP BY customer_id""")

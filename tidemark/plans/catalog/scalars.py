@@ -59,7 +59,7 @@ def fn_date_diff(spark, sf):
 
 
 @query("fn_math", "load_id bigint, rounded double, magnitude double, bucket bigint, floored_at_zero double, "
-                  "remainder bigint, per_piece r6, per_nothing r6", """
+                  "remainder bigint, per_piece r8, per_nothing r8", """
     SELECT load_id, round(revenue, 1) AS rounded, abs(fuel_surcharge - accessorial_charges) AS magnitude,
            CAST(floor(CAST(revenue AS DOUBLE) / 1000) AS BIGINT) AS bucket,
            greatest(fuel_surcharge - 100, 0) AS floored_at_zero, load_id % 7 AS remainder,

@@ -84,7 +84,8 @@ def _count() -> Callable[[], Column]:
 
 
 def _price() -> Column:
-    return F.when(_c("gallons") > 0, _c("total_cost") / F.nullif(_c("gallons"), F.lit(0)))
+    cost, gallons = _c("total_cost").cast("double"), _c("gallons").cast("double")
+    return F.when(gallons > 0, cost / F.nullif(gallons, F.lit(0.0)))
 
 
 _DELIVERY = ("delivery_status.event_type", "delivery_status.arrival_status")
@@ -132,7 +133,7 @@ MEASURES: dict[str, Base | Derived] = {
     "early_rate": Derived(("early_deliveries", "delivery_events"), ratio),
     "late_rate": Derived(("late_deliveries", "delivery_events"), ratio),
     "average_arrival_variance_minutes": Base("delivery_event", lambda: F.avg(
-        F.when(_c("event_type") == "Delivery", _c("arrival_variance_minutes"))), _DELIVERY),
+        F.when(_c("event_type") == "Delivery", _c("arrival_variance_minutes").cast("decimal(18,6)"))), _DELIVERY),
     "stop_events": Base("delivery_event", _count()),
     "average_detention_minutes": Base("delivery_event", lambda: F.avg("detention_minutes")),
     "billable_detention_minutes": Base("delivery_event",

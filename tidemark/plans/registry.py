@@ -31,6 +31,7 @@ _KINDS = {
     "r2": (lambda c: F.round(c.cast("double"), 2), "round(CAST({c} AS DOUBLE), 2)"),
     "r4": (lambda c: F.round(c.cast("double"), 4), "round(CAST({c} AS DOUBLE), 4)"),
     "r6": (lambda c: F.round(c.cast("double"), 6), "round(CAST({c} AS DOUBLE), 6)"),
+    "r8": (lambda c: F.round(c.cast("double"), 8), "round(CAST({c} AS DOUBLE), 8)"),
 }
 
 

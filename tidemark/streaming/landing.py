@@ -12,12 +12,12 @@ from tidemark.operators.history import apply_change_batch
 from tidemark.sources.versions import TableLog
 
 
-def landed_stream(spark: SparkSession, landing: str, table: str, schema: T.StructType,
+def landed_stream(spark: SparkSession, landing: str, schema: T.StructType,
                   files_per_trigger: int = 1000) -> DataFrame:
-    """New files of one table under landing/batch_seq=NNNNNN/<table>/, with their batch_seq."""
+    """New files under landing/batch_seq=NNNNNN/, with their batch_seq as a column."""
     return (
         spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-        .option("recursiveFileLookup", "true").parquet(f"{landing}/batch_seq=*/{table}")
+        .option("recursiveFileLookup", "true").parquet(landing)
         .withColumn("batch_seq", F.regexp_extract(F.col("_metadata.file_path"), r"batch_seq=(\d{6})", 1).cast("int")))
 
 
