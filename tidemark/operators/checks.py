@@ -27,18 +27,22 @@ def two_way_difference(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def facts_match(fact: DataFrame, silver: DataFrame, name: str, key: str, columns: Sequence[str]) -> DataFrame:
-    """Rows, keys, live rows and carried columns of a fact against its current-state table."""
-    f = fact.select(*columns, F.col("is_deleted_in_source").alias("deleted"))
-    s = silver.select(*columns, F.col("_is_deleted_in_source").alias("deleted"))
-    counts = f.agg(F.count(F.lit(1)).alias("gold_rows"), F.countDistinct(key).alias("gold_keys"),
-                   F.count_if(~F.col("deleted")).alias("gold_active"))
-    other = s.agg(F.struct(F.count(F.lit(1)).alias("r"), F.count_if(~F.col("deleted")).alias("a")).alias("x")).scalar()
-    diff = two_way_difference(f, s).select(F.struct("left_only", "right_only").alias("d")).scalar()
-    wide = counts.withColumns({"_s": other, "_d": diff})
-    return wide.select(
-        F.lit(name).alias("fact"), F.col("_s.r").alias("silver_rows"), "gold_rows", "gold_keys",
-        F.col("_s.a").alias("silver_active"), "gold_active", F.col("_d.left_only").alias("gold_not_in_silver"),
-        F.col("_d.right_only").alias("silver_not_in_gold"))
+    """Rows, keys, live rows and carried columns of a fact against its current-state table.
+
+    One shuffle for everything: both sides are stacked and grouped by the carried row.
+    """
+    f = fact.select(*columns, F.col("is_deleted_in_source").alias("deleted"), F.lit(True).alias("_g"))
+    s = silver.select(*columns, F.col("_is_deleted_in_source").alias("deleted"), F.lit(False).alias("_g"))
+    rows = f.unionByName(s).groupBy(*columns, "deleted").agg(
+        F.count_if("_g").alias("_gold"), F.count_if(~F.col("_g")).alias("_silver"))
+    gold, other, live = F.col("_gold"), F.col("_silver"), ~F.col("deleted")
+    return rows.agg(
+        F.sum(other).alias("silver_rows"), F.sum(gold).alias("gold_rows"),
+        F.countDistinct(F.when(gold > 0, F.col(key))).alias("gold_keys"),
+        F.sum(F.when(live, other).otherwise(0)).alias("silver_active"),
+        F.sum(F.when(live, gold).otherwise(0)).alias("gold_active"),
+        F.count_if((gold > 0) & (other == 0)).alias("gold_not_in_silver"),
+        F.count_if((other > 0) & (gold == 0)).alias("silver_not_in_gold")).select(F.lit(name).alias("fact"), "*")
 
 
 def _members(dim: DataFrame, link: KeyLink, id_column: str) -> tuple[DataFrame, DataFrame]:

@@ -240,23 +240,27 @@ def top_values(df: DataFrame, column: str, k: int = 20) -> DataFrame:
 
 # --- referential integrity -------------------------------------------------------
 
-def referential_integrity(child: DataFrame, column: str, parent: DataFrame, parent_key: str,
-                          names: tuple[str, str] = ("child", "parent")) -> DataFrame:
-    """Rows, NULL references and orphans of one foreign key, as one row.
+def referential_integrity(child: DataFrame, name: str,
+                          references: dict[str, tuple[str, DataFrame, str]]) -> DataFrame:
+    """Rows, NULL references and orphans of all foreign keys of one table.
 
-    The child is counted per reference before it meets the parent, so a reference half the
-    rows share is one row of the join.
+    references maps a column to (parent name, parent, parent key). The child is read once and
+    counted per (column, reference) before it meets any parent, so a reference half the rows
+    share is one row of the join.
     """
-    refs = child.groupBy(F.col(column).alias("_ref")).agg(F.count(F.lit(1)).alias("n"))
-    known = parent.select(F.col(parent_key).alias("_ref")).distinct().withColumn("_hit", F.lit(True))
-    joined = refs.join(known, "_ref", "left")
-    orphan = F.col("_ref").isNotNull() & F.col("_hit").isNull()
-    zero = F.lit(0)
-    return joined.agg(
-        F.coalesce(F.sum("n"), zero).alias("rows"),
-        F.coalesce(F.sum(F.when(F.col("_ref").isNull(), F.col("n"))), zero).alias("nulls"),
-        F.coalesce(F.sum(F.when(orphan, F.col("n"))), zero).alias("orphans"),
-    ).select(
-        F.lit(names[0]).alias("child"), F.lit(column).alias("column"), F.lit(names[1]).alias("parent"), "rows",
-        "nulls", F.round(100.0 * F.col("nulls") / F.nullif("rows", zero), 2).alias("null_pct"),
-        "orphans", F.round(100.0 * F.col("orphans") / F.nullif("rows", zero), 2).alias("orphan_pct"))
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("ref")) for c in references])
+    refs = (child.select(F.explode(cells).alias("_c")).groupBy("_c.column", "_c.ref")
+            .agg(F.count(F.lit(1)).alias("n")).select("column", "ref", "n"))
+    known = union_all([
+        parent.select(F.lit(c).alias("column"), F.col(key).cast("string").alias("ref")).distinct()
+        for c, (_, parent, key) in references.items()]).withColumn("_hit", F.lit(True))
+    missing, zero = F.col("ref").isNull(), F.lit(0)
+    orphan = ~missing & F.col("_hit").isNull()
+    counted = refs.join(known, ["column", "ref"], "left").groupBy("column").agg(
+        F.sum("n").alias("rows"), F.sum(F.when(missing, F.col("n")).otherwise(zero)).alias("nulls"),
+        F.sum(F.when(orphan, F.col("n")).otherwise(zero)).alias("orphans"))
+    parents = {c: parent for c, (parent, _, _) in references.items()}
+    return counted.select(
+        F.lit(name).alias("child"), "column", lookup(parents, F.col("column")).alias("parent"), "rows", "nulls",
+        F.round(100.0 * F.col("nulls") / F.col("rows"), 2).alias("null_pct"), "orphans",
+        F.round(100.0 * F.col("orphans") / F.col("rows"), 2).alias("orphan_pct"))

@@ -86,7 +86,7 @@ def agg_global(spark, sf):
         F.count_if(F.col("dispatch_date").isNull()).alias("undated"))
 
 
-@query("agg_ratio_of_sums", "truck_id bigint, price r8, miles_per_gallon r8", """
+@query("agg_ratio_of_sums", "truck_id bigint, price double, miles_per_gallon double", """
     SELECT truck_id, CAST(sum(total_cost) AS DOUBLE) / nullif(CAST(sum(gallons) AS DOUBLE), 0) AS price,
            CAST(count(*) AS DOUBLE) / nullif(CAST(sum(CASE WHEN gallons > 40 THEN gallons ELSE 0 END) AS DOUBLE), 0)
                AS miles_per_gallon

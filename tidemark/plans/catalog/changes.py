@@ -266,7 +266,7 @@ def heal_wrong_version(spark, sf):
     s = star(spark, sf)
     dims = {**s.dims(["date", "truck", "trailer", "route", "driver_first"]), }
     dims["driver"] = dims.pop("driver_first")
-    fact = fact_trip(None, {"trips": s.silver("trips"), "loads": s.raw("loads")}, dims)
+    fact = fact_trip(None, {"trips": s.current("trips"), "loads": s.current("loads")}, dims)
     return X.heal_wrong_version(fact, s.dim("driver"), "trip_id", LINKS["trip"][0])
 
 

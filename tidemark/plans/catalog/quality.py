@@ -138,10 +138,13 @@ def profile_monthly_volume(spark, sf):
            100.0 * count(*) FILTER (c.{k} IS NOT NULL AND p.{key_of(p)} IS NULL) / count(*) AS orphan_pct
     FROM raw_{c} AS c LEFT JOIN raw_{p} AS p ON p.{key_of(p)} = c.{k}""" for c, k, p in FOREIGN_KEYS))
 def profile_referential_integrity(spark, sf):
-    """The sixteen foreign keys, NULLs apart from orphans."""
+    """The sixteen foreign keys, NULLs apart from orphans; each child is read once."""
+    def parents(child):
+        return {k: (p, source(spark, sf, p), key_of(p)) for c, k, p in FOREIGN_KEYS if c == child}
+
     return P.union_all([
-        P.referential_integrity(source(spark, sf, c), k, source(spark, sf, p), key_of(p), (c, p))
-        for c, k, p in FOREIGN_KEYS]).withColumnRenamed("column", "column_name")
+        P.referential_integrity(source(spark, sf, child), child, parents(child))
+        for child in dict.fromkeys(c for c, _, _ in FOREIGN_KEYS)]).withColumnRenamed("column", "column_name")
 
 
 _MANY_STATES = """(SELECT count(*) FROM (SELECT location_city FROM raw_{t} GROUP BY 1 HAVING count(DISTINCT location_state) > 1))"""
@@ -377,7 +380,7 @@ def seasonality_daily(spark, sf):
           FROM silver_maintenance_records WHERE truck_id IS NOT NULL) WHERE m > 0 GROUP BY 1""")
 def service_interval_buckets(spark, sf):
     """Emergency share by miles since the last service of the truck."""
-    rows = star(spark, sf).silver("maintenance_records").where("truck_id IS NOT NULL").select(
+    rows = star(spark, sf).current("maintenance_records").where("truck_id IS NOT NULL").select(
         "truck_id", "maintenance_date", "maintenance_id", "odometer_reading", "service_urgency")
     rows = segmented(rows, ["truck_id"], ["maintenance_date", "maintenance_id"], F.year("maintenance_date"),
                      lag={"before": F.col("odometer_reading")})
@@ -395,7 +398,7 @@ def service_interval_buckets(spark, sf):
 def urgency_costs(spark, sf):
     def mean(c):
         return F.avg(F.col(c).cast("double"))
-    return star(spark, sf).silver("maintenance_records").groupBy("service_urgency").agg(
+    return star(spark, sf).current("maintenance_records").groupBy("service_urgency").agg(
         n_rows().alias("events"), mean("total_cost").alias("avg_cost"), mean("labor_hours").alias("avg_labor_hours"),
         mean("downtime_hours").alias("avg_downtime"), mean("parts_cost").alias("avg_parts"))
 
@@ -406,7 +409,7 @@ def urgency_costs(spark, sf):
            avg(CAST(total_cost AS DOUBLE)) AS avg_cost FROM silver_maintenance_records GROUP BY 1""")
 def odometer_buckets(spark, sf):
     urgent = F.count_if(F.col("service_urgency") == "Emergency")
-    return star(spark, sf).silver("maintenance_records").groupBy(
+    return star(spark, sf).current("maintenance_records").groupBy(
         (F.floor(F.col("odometer_reading") / 100000) * 100000).alias("odometer_bucket")).agg(
         n_rows().alias("events"), (100.0 * urgent / n_rows()).alias("emergency_pct"),
         F.avg(F.col("total_cost").cast("double")).alias("avg_cost"))

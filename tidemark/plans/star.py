@@ -1,8 +1,7 @@
 """The star over the trucking tables: current-state rows, dimensions and facts.
 
-Current-state tables are lazy. Dimensions and facts are built on first use and published
-as versioned Parquet under the shared folder, so that every query on the star scans
-columnar files and prunes to the columns it needs.
+Each layer is built on first use and published as versioned Parquet under the shared
+folder, so that every query on it scans columnar files and prunes to the columns it needs.
 """
 
 from __future__ import annotations
@@ -44,6 +43,14 @@ FACT_SILVER = {
     "fuel_purchase": ("fuel_purchases", "trips", "loads"), "maintenance": ("maintenance_records",),
     "safety_incident": ("safety_incidents",), "load_lifecycle": ("loads", "trips", "delivery_events"),
 }
+DIM_SILVER = {
+    "customer": ("customers",), "driver": ("drivers", "drivers_later"), "truck": ("trucks", "trucks_later"),
+    "trailer": ("trailers",), "route": ("routes",), "facility": ("facilities",),
+    "location": ("facilities", "routes", "delivery_events", "fuel_purchases", "safety_incidents",
+                 "maintenance_records"),
+    "load_type": ("loads",), "delivery_status": ("delivery_events",),
+    "maintenance_class": ("maintenance_records",), "incident_class": ("safety_incidents",),
+}
 CUSTOMER = ("customer_name", "customer_type", "primary_freight_type", "account_status", "credit_terms_days",
             "contract_start_date", "annual_revenue_potential")
 TRAILER = ("trailer_number", "trailer_type", "trailer_model_year", "trailer_acquisition_date")
@@ -85,7 +92,7 @@ class Star:
         return source(self.spark, self.sf_dir, name)
 
     def silver(self, name: str) -> DataFrame:
-        """A current-state table: source rows with their derived columns."""
+        """A current-state table as a plan: source rows with their derived columns."""
         df = self.raw(name)
         if name == "facilities":
             return X.dq_status(X.centroid_flag(df), [])
@@ -117,15 +124,15 @@ class Star:
         c, rec = F.col, X.recorded
         gone = c("_is_deleted_in_source").alias("is_deleted_in_source")
         if name == "customer":
-            return self.silver("customers").select(
+            return self.current("customers").select(
                 "customer_id", *[rec(a).alias(a) for a in CUSTOMER[:4]], *CUSTOMER[4:], gone)
         if name == "trailer":
-            return self.silver("trailers").select(
+            return self.current("trailers").select(
                 "trailer_id", rec("trailer_number").alias("trailer_number"),
                 rec("trailer_type").alias("trailer_type"), c("model_year").alias("trailer_model_year"),
                 c("acquisition_date").alias("trailer_acquisition_date"), gone)
         if name == "route":
-            named = X.state_name(X.state_name(self.silver("routes"), states, "origin_state", "origin_state_name"),
+            named = X.state_name(X.state_name(self.current("routes"), states, "origin_state", "origin_state_name"),
                                  states, "destination_state", "destination_state_name")
             return named.select(
                 "route_id", rec("route_name").alias("route_name"), rec("origin_city").alias("origin_city"),
@@ -134,7 +141,7 @@ class Star:
                 c("destination_state").alias("destination_state_code"), "destination_state_name",
                 *ROUTE[7:], gone)
         if name == "facility":
-            named = X.state_name(self.silver("facilities"), states, "state", "facility_state_name")
+            named = X.state_name(self.current("facilities"), states, "state", "facility_state_name")
             return named.select(
                 "facility_id", rec("facility_name").alias("facility_name"),
                 rec("facility_type").alias("facility_type"), rec("city").alias("facility_city"),
@@ -143,38 +150,37 @@ class Star:
                 c("latitude").alias("facility_latitude"), c("longitude").alias("facility_longitude"),
                 "is_centroid_coordinate", gone)
         if name in ("driver", "driver_later"):
-            return self.silver(name.replace("driver", "drivers")).select(
+            return self.current(name.replace("driver", "drivers")).select(
                 "driver_id", X.person_name("first_name", "last_name").alias("driver_name"),
                 rec("home_terminal").alias("driver_home_terminal"),
                 rec("employment_status").alias("employment_status"), c("hire_date").alias("driver_hire_date"),
                 c("termination_date").alias("driver_termination_date"), "years_experience", gone,
                 date_key("_source_changed_at").alias("source_changed_date_key"))
         if name in ("truck", "truck_later"):
-            return self.silver(name.replace("truck", "trucks")).select(
+            return self.current(name.replace("truck", "trucks")).select(
                 "truck_id", rec("unit_number").alias("unit_number"), rec("make").alias("truck_make"),
                 rec("status").alias("truck_status"), rec("home_terminal").alias("truck_home_terminal"),
                 c("model_year").alias("truck_model_year"), c("acquisition_date").alias("truck_acquisition_date"),
                 "acquisition_mileage", "tank_capacity_gallons", gone,
                 date_key("_source_changed_at").alias("source_changed_date_key"))
         if name == "load_type":
-            return self.silver("loads").select(
+            return self.current("loads").select(
                 "load_id", rec("booking_type").alias("booking_type"), rec("load_type").alias("load_type"))
         if name == "delivery_status":
-            # Only the two attributes: the reversal flag's join is not needed here.
-            return X.arrival(self.raw("delivery_events")).select(
+            return self.current("delivery_events").select(
                 "event_id", rec("event_type").alias("event_type"), rec("arrival_status").alias("arrival_status"))
         if name == "maintenance_class":
-            return self.silver("maintenance_records").select(
+            return self.current("maintenance_records").select(
                 "maintenance_id", rec("maintenance_type").alias("maintenance_type"),
                 rec("service_urgency").alias("service_urgency"))
         if name == "incident_class":
-            return X.incident_attributes(self.silver("safety_incidents")).select("incident_id", *INCIDENT_CLASS)
+            return X.incident_attributes(self.current("safety_incidents")).select("incident_id", *INCIDENT_CLASS)
         raise KeyError(name)
 
     def city_pairs(self) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
         """The city/state sources in order of trust."""
         def pair(table: str, city: str, state: str, rank: int) -> DataFrame:
-            return self.raw(table).select(F.col(city).alias("city"), F.col(state).alias("state"),
+            return self.current(table).select(F.col(city).alias("city"), F.col(state).alias("state"),
                                           F.lit(rank).alias("source_rank"))
         return (pair("facilities", "city", "state", 1), pair("routes", "origin_city", "origin_state", 2),
                 pair("routes", "destination_city", "destination_state", 2),
@@ -182,9 +188,9 @@ class Star:
 
     def event_cities(self) -> DataFrame:
         """Distinct cities of purchases, incidents and maintenance."""
-        return (self.raw("fuel_purchases").select("location_city")
-                .union(self.raw("safety_incidents").select("location_city"))
-                .union(self.raw("maintenance_records").select(F.col("facility_location").alias("location_city")))
+        return (self.current("fuel_purchases").select("location_city")
+                .union(self.current("safety_incidents").select("location_city"))
+                .union(self.current("maintenance_records").select(F.col("facility_location").alias("location_city")))
                 .where(F.col("location_city").isNotNull()).distinct())
 
     # --- dimensions -----------------------------------------------------------------
@@ -249,8 +255,21 @@ class Star:
             self.log.publish("build", {label: build() for label, build in todo.items()})
             self._frames.update({label: self.log.read(label) for label in todo})
 
+    def currents(self, names: Sequence[str]) -> dict[str, DataFrame]:
+        """Published current-state tables."""
+        self._publish({f"silver_{n}": partial(self.silver, n) for n in names})
+        return {n: self._frames[f"silver_{n}"] for n in names}
+
+    def current(self, name: str) -> DataFrame:
+        return self.currents([name])[name]
+
     def dims(self, names: Sequence[str]) -> dict[str, DataFrame]:
-        """Published dimensions; the first loads of versioned ones come before their second."""
+        """Published dimensions, after the current state they are loaded from.
+
+        The first loads of versioned dimensions come before their second.
+        """
+        if any(f"dim_{n}" not in self._frames for n in names):
+            self.currents(sorted({t for n in names for t in DIM_SILVER.get(n, ())}))
         first = [f"{n}_first" for n in names if n in ("driver", "truck")]
         for wave in (first, names):
             self._publish({f"dim_{n}": partial(self.build_dim, n) for n in wave})
@@ -261,12 +280,14 @@ class Star:
 
     def stage(self, name: str, keys: DataFrame | None = None,
               silver: dict[str, DataFrame] | None = None) -> DataFrame:
-        """Fact rows with resolved keys, as a plan over current state and published dimensions."""
-        tables = silver or {t: self.silver(t) for t in FACT_SILVER[name]}
+        """Fact rows with resolved keys, as a plan over the published layers below."""
+        tables = silver or self.currents(FACT_SILVER[name])
         return FACTS[name][0](keys, tables, self.dims(FACT_DIMS[name]))
 
     def facts(self, names: Sequence[str]) -> dict[str, DataFrame]:
-        self.dims(sorted({d for n in names for d in FACT_DIMS[n]}))
+        if any(f"fact_{n}" not in self._frames for n in names):
+            self.currents(sorted({t for n in names for t in FACT_SILVER[n]}))
+            self.dims(sorted({d for n in names for d in FACT_DIMS[n]}))
         self._publish({f"fact_{n}": partial(self.stage, n) for n in names})
         return {n: self._frames[f"fact_{n}"] for n in names}
 
