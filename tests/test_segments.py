@@ -5,7 +5,7 @@ import random
 from conftest import rows_of
 from pyspark.sql import functions as F
 
-from tidemark.operators.segments import first_per_key, latest_per_key, numbered, segmented
+from tidemark.operators.segments import first_per_key, latest_per_key, numbered, segmented, split_hot_keys
 
 
 def case(seed, n=400):
@@ -39,6 +39,19 @@ def test_matches_brute_force_across_segments(spark, make):
         assert rows_of(got, "k", "t", "v", "p", "l", "s") == brute(rows)
 
 
+def test_hot_keys_are_found_and_split(spark, make):
+    for seed in range(3):
+        rows = case(seed)
+        df = make("k string, t int, v int", *rows)
+        pieces = split_hot_keys(df, ["k"], "t", floor_rows=100)
+        sizes = {(r["k"], r["_segment"]): r["count"] for r in pieces.groupBy("k", "_segment").count().collect()}
+        assert {s for k, s in sizes if k != "hot"} == {0}
+        assert len([k for k, _ in sizes if k == "hot"]) > 2 and max(sizes.values()) < 150
+        got = segmented(df, ["k"], ["t"], lag={"p": F.col("v")}, last={"l": F.col("v")}, running={"s": F.col("v")},
+                        floor_rows=100)
+        assert rows_of(got, "k", "t", "v", "p", "l", "s") == brute(rows)
+
+
 def test_null_value_is_not_a_missing_row(spark, make):
     df = make("k string, t int, v int", ("a", 1, 5), ("a", 20, None), ("a", 40, 7))
     got = segmented(df, ["k"], ["t"], F.floor(F.col("t") / 10), lag={"p": F.col("v")})

@@ -1,7 +1,7 @@
 """Ordered computations per key that survive a hot key.
 
 A window partitioned by a key sorts all rows of that key in one task. When one key
-may hold a third of the table that task never ends. Here the rows of a key are cut
+may hold a third of the table that task never ends. Here the rows of a hot key are cut
 into segments of the ordering column, the window runs per (key, segment), and one
 summary row per (key, segment) carries the state of all earlier segments into the
 next. The result is exact; the largest sort is one segment of one key.
@@ -13,24 +13,62 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _SEG = "_segment"
+#: Keys below this many rows are never split.
+FLOOR_ROWS = 1_000_000
+#: A key is hot from this share of all rows on, so there are never more hot keys than this.
+MOST_HOT_KEYS = 100_000
+
+
+def _position(df: DataFrame, column: str) -> Column:
+    """The ordering column as a number that grows with it."""
+    kind = df.schema[column].dataType
+    c = F.col(column)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp")).cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c).cast("double")
+    return c.cast("double")
+
+
+def split_hot_keys(df: DataFrame, keys: Sequence[str], order: str, floor_rows: int = FLOOR_ROWS) -> DataFrame:
+    """df with _segment: 0 for ordinary keys, equal stretches of `order` for hot ones.
+
+    The rows are counted per key first, with map-side combining. Hot is a key with more rows
+    than floor_rows and than total / 100,000, so the hot keys that are broadcast are at most
+    100,000 rows whatever the data. Counts are exact, so a rerun cuts at the same places.
+    """
+    place = _position(df, order)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("_lo"), F.max(place).alias("_hi"))
+    limit = F.greatest(F.lit(float(floor_rows)),
+                       counts.agg((F.sum("_n") / MOST_HOT_KEYS).cast("double").alias("t")).scalar())
+    hot = counts.where(F.col("_n") > limit).select(
+        *keys, "_lo", F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1.0)).alias("_span"),
+        F.ceil(F.col("_n") / limit).alias("_pieces"))
+    piece = F.least(F.floor((place - F.col("_lo")) * F.col("_pieces") / F.col("_span")), F.col("_pieces"))
+    marked = df.join(F.broadcast(hot), list(keys), "left")
+    # NULLs of the ordering column come first, as they do in the window.
+    segment = F.when(F.col("_pieces").isNull(), F.lit(0)).otherwise(F.coalesce(piece, F.lit(-1)))
+    return marked.select(*df.columns, segment.cast("bigint").alias(_SEG))
 
 
 def segmented(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    segment: Column,
+    segment: Column | None = None,
     *,
     lag: dict[str, Column] | None = None,
     last: dict[str, Column] | None = None,
     running: dict[str, Column] | None = None,
+    floor_rows: int = FLOOR_ROWS,
 ) -> DataFrame:
     """Add ordered per-key columns to df.
 
-    keys must be non-null and order ascending and total within a key. segment must not
-    decrease along order within a key.
+    keys must be non-null and order ascending and total within a key. Without a segment the
+    hot keys are found and split; a given segment must not decrease along order within a key.
 
     lag      {name: expression}  the expression's value on the previous row
     last     {name: expression}  its latest non-null value up to this row
@@ -41,7 +79,7 @@ def segmented(
     inner = Window.partitionBy(*keys, _SEG).orderBy(*[F.col(c).asc() for c in order])
     upto = inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-    rows = df.withColumn(_SEG, segment)
+    rows = split_hot_keys(df, keys, order[0], floor_rows) if segment is None else df.withColumn(_SEG, segment)
     for name, value in lag.items():
         # Wrapped, so that a NULL value and a missing previous row stay different.
         rows = rows.withColumn(f"_v_{name}", F.struct(value.alias("v")))

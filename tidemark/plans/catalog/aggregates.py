@@ -17,6 +17,10 @@ from tidemark.plans.trucking import given, source
 
 
 
+#: Keys are split from this many rows on, so that splitting happens on small data too.
+SPLIT = 10
+
+
 def n_rows():
     return F.count(F.lit(1))
 
@@ -199,10 +203,10 @@ def win_latest(spark, sf):
     SELECT event_id, user_id, lag(event_type) OVER w AS previous_type, lag(ts) OVER w AS previous_at
     FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
 def win_lag_version(spark, sf):
-    """The previous row of the same key, exact across day segments."""
+    """The previous row of the same key, exact across the pieces of a split key."""
     events = given(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
-    rows = segmented(events, ["user_id"], ["ts", "event_id"], F.col("ts").cast("date"),
-                     lag={"p": F.struct("event_type", "ts")})
+    rows = segmented(events, ["user_id"], ["ts", "event_id"], lag={"p": F.struct("event_type", "ts")},
+                     floor_rows=SPLIT)
     return rows.select("event_id", "user_id", F.col("p.event_type").alias("previous_type"),
                        F.col("p.ts").alias("previous_at"))
 
@@ -213,7 +217,7 @@ def win_lag_version(spark, sf):
     FROM events""")
 def win_last_ignore_nulls(spark, sf):
     events = given(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
-    return segmented(events, ["user_id"], ["ts", "event_id"], F.col("ts").cast("date"),
+    return segmented(events, ["user_id"], ["ts", "event_id"], floor_rows=SPLIT,
                      last={"last_signup": F.when(F.col("event_type") == "signup", F.col("ts"))})
 
 
@@ -228,9 +232,9 @@ def win_last_ignore_nulls(spark, sf):
            sum(CAST(starts AS INT)) OVER (PARTITION BY user_id ORDER BY seen_at) AS island FROM s""")
 def win_gaps_islands(spark, sf):
     """Runs broken by a change of value or by a complete snapshot without the key."""
-    third = F.floor(F.dayofmonth("_ingested_at") / 10)
-    rows = versions(landing.user_history(spark, sf), "user_id", third)
-    rows = segmented(rows, ["user_id"], ["_ingested_at"], third, running={"island": F.col("starts").cast("int")})
+    rows = versions(landing.user_history(spark, sf), "user_id", floor_rows=SPLIT)
+    rows = segmented(rows, ["user_id"], ["_ingested_at"], running={"island": F.col("starts").cast("int")},
+                     floor_rows=SPLIT)
     return rows.select("user_id", F.col("_ingested_at").cast("date").alias("day"), "starts", "island")
 
 
@@ -263,11 +267,11 @@ def win_checkpoint(spark, sf):
         PARTITION BY truck_id ORDER BY maintenance_date, maintenance_id) AS miles_since_last
     FROM raw_maintenance_records WHERE truck_id IS NOT NULL""")
 def win_lag_difference(spark, sf):
-    """Miles since the previous service of the same truck, by year segments."""
+    """Miles since the previous service of the same truck."""
     rows = source(spark, sf, "maintenance_records").where("truck_id IS NOT NULL")
     rows = segmented(rows.select("maintenance_id", "truck_id", "maintenance_date", "odometer_reading"), ["truck_id"],
-                     ["maintenance_date", "maintenance_id"], F.year("maintenance_date"),
-                     lag={"before": F.col("odometer_reading")})
+                     ["maintenance_date", "maintenance_id"], lag={"before": F.col("odometer_reading")},
+                     floor_rows=SPLIT)
     return rows.withColumn("miles_since_last", F.col("odometer_reading") - F.col("before"))
 
 

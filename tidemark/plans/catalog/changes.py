@@ -19,9 +19,8 @@ from tidemark.plans.star import star
 from tidemark.plans.trucking import source
 
 
-def _third(column="_ingested_at"):
-    """Ten-day segments: the event history spans one month."""
-    return F.floor(F.dayofmonth(column) / 10)
+#: Keys are split from this many rows on, so that splitting happens on small data too.
+SPLIT = 10
 
 
 STATE_OUT = "user_id bigint, event_type string, seen_on date, changed_at ts, deleted flag"
@@ -35,7 +34,7 @@ def _state(df):
 @query("current_state", STATE_OUT, "SELECT *, CAST(seen_at AS DATE) AS seen_on FROM user_state")
 def current_state(spark, sf):
     """One row per user: latest version, start of its unbroken run, or when it went away."""
-    return _state(I.current_state(landing.user_history(spark, sf), "user_id", _third()))
+    return _state(I.current_state(landing.user_history(spark, sf), "user_id", floor_rows=SPLIT))
 
 
 @query("latest_live_snapshot", "user_id bigint, event_type string, seen_on date", """
@@ -58,9 +57,9 @@ def incremental_revive(spark, sf):
     """Recent loads only, against a stored state in which some users are deleted."""
     history = landing.user_history(spark, sf)
     at = F.col("_ingested_at")
-    stored = I.current_state(history.where(at <= F.lit("2024-01-20").cast("timestamp")), "user_id", _third())
+    stored = I.current_state(history.where(at <= F.lit("2024-01-20").cast("timestamp")), "user_id", floor_rows=SPLIT)
     recent = history.where(at >= F.lit("2024-01-15").cast("timestamp"))
-    return _state(I.incremental_state(recent, stored, "user_id", _third()).withColumn(
+    return _state(I.incremental_state(recent, stored, "user_id", floor_rows=SPLIT).withColumn(
         "_is_deleted_in_source", F.lit(False)))
 
 
@@ -381,7 +380,7 @@ def apply_change_batch(spark, sf):
     HAVING min(seq) <> 1 OR max(seq) <> count(*) OR count(DISTINCT seq) <> count(*)""")
 def validate_change_batch(spark, sf):
     snapshot, events = landing.user_change_events(spark, sf)
-    return I.validate_change_batch(snapshot, events, "user_id", F.lit("2024-01-28").cast("date"), segment_rows=2000)
+    return I.validate_change_batch(snapshot, events, "user_id", F.lit("2024-01-28").cast("date"), floor_rows=SPLIT)
 
 
 @query("touch_delete_restore", "step string, _is_deleted_in_source flag, _silver_run_id string, rows bigint", """

@@ -382,8 +382,8 @@ def service_interval_buckets(spark, sf):
     """Emergency share by miles since the last service of the truck."""
     rows = star(spark, sf).current("maintenance_records").where("truck_id IS NOT NULL").select(
         "truck_id", "maintenance_date", "maintenance_id", "odometer_reading", "service_urgency")
-    rows = segmented(rows, ["truck_id"], ["maintenance_date", "maintenance_id"], F.year("maintenance_date"),
-                     lag={"before": F.col("odometer_reading")})
+    rows = segmented(rows, ["truck_id"], ["maintenance_date", "maintenance_id"],
+                     lag={"before": F.col("odometer_reading")}, floor_rows=10)
     miles = F.col("odometer_reading") - F.col("before")
     urgent = F.count_if(F.col("service_urgency") == "Emergency")
     return rows.where(miles > 0).groupBy((F.floor(miles / 10000) * 10000).alias("miles_bucket")).agg(
