@@ -22,10 +22,20 @@ def any_flag(flags: Sequence[Column]) -> Column:
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:
-    """Total over total, NULL where the denominator is zero."""
+    """Total over total as a double, NULL where the denominator is zero."""
+    return numerator.cast("double") / F.nullif(denominator.cast("double"), F.lit(0.0))
+
+
+def decimal_ratio(numerator: Column, denominator: Column) -> Column:
+    """Total over total in decimals, for figures that are rounded and compared exactly."""
     return numerator / F.nullif(denominator, F.lit(0))
 
 
+def mean(values: Column) -> Column:
+    """Exact total over count, so the result does not depend on the order of the rows."""
+    return ratio(F.sum(values), F.count(values))
+
+
 def lookup(values: dict, key: Column) -> Column:
     """The value a short fixed mapping gives for key, NULL without one."""
     return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])[key]

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.compare import CheckFailed, ratio
+from tidemark.functions.compare import CheckFailed, decimal_ratio
 from tidemark.functions.dates import key_month
 
 Tables = dict[str, DataFrame]
@@ -79,8 +79,8 @@ def truck_months(facts: Tables, dims: Tables) -> DataFrame:
 #: metric -> (verified, gold expression, decimals of the published figure)
 def _driver_metrics() -> dict[str, tuple[bool, Column]]:
     c = F.col
-    mpg = ratio(c("g.miles").cast("decimal(18,6)"), c("g.gallons"))
-    rate = ratio(c("g.on_time").cast("decimal(18,6)"), c("g.deliveries"))
+    mpg = decimal_ratio(c("g.miles").cast("decimal(18,6)"), c("g.gallons"))
+    rate = decimal_ratio(c("g.on_time").cast("decimal(18,6)"), c("g.deliveries"))
     return {
         "trips_completed": (True, c("g.trips")),
         "total_miles": (True, c("g.miles")),
@@ -94,7 +94,7 @@ def _driver_metrics() -> dict[str, tuple[bool, Column]]:
 
 def _truck_metrics() -> dict[str, tuple[bool, Column]]:
     c = F.col
-    mpg = ratio(c("g.miles").cast("decimal(18,6)"), c("g.gallons"))
+    mpg = decimal_ratio(c("g.miles").cast("decimal(18,6)"), c("g.gallons"))
     return {
         "trips_completed": (True, c("g.trips")),
         "total_miles": (True, c("g.miles")),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.compare import ratio
+from tidemark.functions.compare import mean, ratio
 from tidemark.plans.measures import drill_across, query as measure_query
 from tidemark.plans.oracle import define
 from tidemark.plans.registry import query
@@ -32,6 +32,10 @@ def d(x):
     return f"CAST({x} AS DOUBLE)"
 
 
+def mean_sql(x):
+    return f"CAST(sum({x}) AS DOUBLE) / nullif(count({x}), 0)"
+
+
 def div(a, b):
     return f"{d(a)} / nullif({d(b)}, 0)"
 
@@ -45,12 +49,12 @@ TRIP_SUMS = ("count(*) AS trips, sum(actual_distance_miles) AS actual_miles, sum
 FUEL_SUMS = ("sum(total_cost) AS fuel_cost, sum(gallons) AS gallons_purchased, "
              f"min(CASE WHEN gallons > 0 THEN {d('total_cost')} / {d('gallons')} END) AS lowest_price_paid, "
              f"max(CASE WHEN gallons > 0 THEN {d('total_cost')} / {d('gallons')} END) AS highest_price_paid")
-STOP_SUMS = """count(*) FILTER (event_type = 'Delivery') AS delivery_events,
+STOP_SUMS = f"""count(*) FILTER (event_type = 'Delivery') AS delivery_events,
     count(*) FILTER (event_type = 'Delivery' AND arrival_status = 'On Time') AS on_time_deliveries,
     count(*) FILTER (event_type = 'Delivery' AND arrival_status = 'Early') AS early_deliveries,
     count(*) FILTER (event_type = 'Delivery' AND arrival_status = 'Late') AS late_deliveries,
-    avg(CASE WHEN event_type = 'Delivery' THEN arrival_variance_minutes END) AS average_arrival_variance_minutes,
-    count(*) AS stop_events, avg(detention_minutes) AS average_detention_minutes,
+    {mean_sql("CASE WHEN event_type = 'Delivery' THEN arrival_variance_minutes END")} AS average_arrival_variance_minutes,
+    count(*) AS stop_events, {mean_sql('detention_minutes')} AS average_detention_minutes,
     sum(billable_detention_minutes) AS billable_detention_minutes,
     count(*) FILTER (billable_detention_minutes > 0) AS stops_over_free_time,
     count(*) FILTER (detention_minutes > 0) AS with_detention"""
@@ -67,7 +71,7 @@ LOAD_MEASURES = ("loads", "line_haul_revenue", "fuel_surcharge", "accessorial_ch
 
 def out(columns, counts=(), money=(), rates=()):
     return ", ".join([*columns, *[f"{c} bigint" for c in counts], *[f"{c} double" for c in money],
-                      *[f"{c} r8" for c in rates]])
+                      *[f"{c} double" for c in rates]])
 
 
 @query("measures_load", out(["customer_type string"], ["loads"], LOAD_MEASURES[1:6], LOAD_MEASURES[6:]), f"""
@@ -168,8 +172,8 @@ def measures_safety(spark, sf):
     return measure_query(star(spark, sf), SAFE_MEASURES, ["incident_class.incident_category"])
 
 
-@query("measures_customer", "customer_type string, average_credit_terms_days r8", """
-    SELECT customer_type, avg(credit_terms_days) AS average_credit_terms_days FROM dim_customer
+@query("measures_customer", "customer_type string, average_credit_terms_days double", f"""
+    SELECT customer_type, {mean_sql('credit_terms_days')} AS average_credit_terms_days FROM dim_customer
     WHERE is_current AND customer_key > 0 GROUP BY 1""")
 def measures_customer(spark, sf):
     return measure_query(star(spark, sf), ["average_credit_terms_days"], ["customer.customer_type"])
@@ -179,7 +183,7 @@ BAND_SQL = """CASE WHEN arrival_variance_minutes BETWEEN -180 AND 360
                    THEN least(CAST(floor(arrival_variance_minutes / 30) * 30 AS INTEGER), 330) END"""
 
 
-@query("measures_band", "band_start int, arrival_status string, deliveries_in_band bigint, share_of_deliveries_in_band r8",
+@query("measures_band", "band_start int, arrival_status string, deliveries_in_band bigint, share_of_deliveries_in_band double",
        f"""
     SELECT band_start, arrival_status, count(*) FILTER (event_type = 'Delivery' AND band_start IS NOT NULL) AS deliveries_in_band,
            CAST(count(*) FILTER (event_type = 'Delivery' AND band_start IS NOT NULL) AS DOUBLE)
@@ -232,10 +236,6 @@ def rate(condition):
     return F.count_if(condition).cast("double") / F.nullif(F.count(F.lit(1)), F.lit(0))
 
 
-def exact_avg(column):
-    return F.avg(F.col(column).cast("decimal(18,6)"))
-
-
 def beside(*rows):
     """One-row frames side by side, each read as a scalar."""
     wide = rows[0]
@@ -245,12 +245,12 @@ def beside(*rows):
     return wide
 
 
-@query("figure_v1_totals", "delivery_events bigint, on_time_rate r8, avg_arrival_variance r8, total_charges double, "
+@query("figure_v1_totals", "delivery_events bigint, on_time_rate double, avg_arrival_variance double, total_charges double, "
                            "fuel_cost double, actual_miles bigint", f"""
     SELECT (SELECT count(*) FROM live_stops WHERE event_type = 'Delivery') AS delivery_events,
-           (SELECT avg(CASE WHEN arrival_status = 'On Time' THEN 1.0 ELSE 0.0 END) FROM live_stops
+           (SELECT CAST(count(*) FILTER (arrival_status = 'On Time') AS DOUBLE) / nullif(count(*), 0) FROM live_stops
             WHERE event_type = 'Delivery') AS on_time_rate,
-           (SELECT avg(arrival_variance_minutes) FROM live_stops WHERE event_type = 'Delivery') AS avg_arrival_variance,
+           (SELECT {mean_sql('arrival_variance_minutes')} FROM live_stops WHERE event_type = 'Delivery') AS avg_arrival_variance,
            (SELECT sum(revenue + fuel_surcharge + accessorial_charges) FROM live_loads) AS total_charges,
            (SELECT sum(total_cost) FROM live_fuel) AS fuel_cost,
            (SELECT sum(actual_distance_miles) FROM live_fact_trips) AS actual_miles""")
@@ -259,23 +259,23 @@ def figure_v1(spark, sf):
     return beside(
         deliveries(s).agg(F.count(F.lit(1)).alias("delivery_events"),
                           rate(F.col("arrival_status") == "On Time").alias("on_time_rate"),
-                          exact_avg("arrival_variance_minutes").alias("avg_arrival_variance")),
+                          mean(F.col("arrival_variance_minutes")).alias("avg_arrival_variance")),
         live(s, "load_lifecycle").agg(F.sum(F.col("revenue") + F.col("fuel_surcharge") + F.col("accessorial_charges"))
                                       .alias("total_charges")),
         live(s, "fuel_purchase").agg(F.sum("total_cost").alias("fuel_cost")),
         live(s, "trip").agg(F.sum(F.col("actual_distance_miles").cast("bigint")).alias("actual_miles")))
 
 
-LANE_OUT = ("route_key bigint, route_name string, delivery_events bigint, on_time_rate r8, avg_arrival_variance r8, "
-            "total_charges double, fuel_cost double, contribution_after_fuel double, revenue_per_mile r8")
+LANE_OUT = ("route_key bigint, route_name string, delivery_events bigint, on_time_rate double, avg_arrival_variance double, "
+            "total_charges double, fuel_cost double, contribution_after_fuel double, revenue_per_mile double")
 LANE_SQL = f"""
     SELECT r.route_key, r.route_name, d.delivery_events, d.on_time_rate, d.avg_arrival_variance, l.total_charges,
            f.fuel_cost, l.total_charges - f.fuel_cost AS contribution_after_fuel,
            {div('l.revenue', 't.actual_miles')} AS revenue_per_mile
     FROM dim_route AS r
     LEFT JOIN (SELECT route_key, count(*) AS delivery_events,
-                      avg(CASE WHEN arrival_status = 'On Time' THEN 1.0 ELSE 0.0 END) AS on_time_rate,
-                      avg(arrival_variance_minutes) AS avg_arrival_variance
+                      CAST(count(*) FILTER (arrival_status = 'On Time') AS DOUBLE) / nullif(count(*), 0) AS on_time_rate,
+                      {mean_sql('arrival_variance_minutes')} AS avg_arrival_variance
                FROM live_stops WHERE event_type = 'Delivery' GROUP BY 1) AS d ON d.route_key = r.route_key
     LEFT JOIN (SELECT route_key, sum(revenue) AS revenue, sum(revenue + fuel_surcharge + accessorial_charges) AS total_charges
                FROM live_loads GROUP BY 1) AS l ON l.route_key = r.route_key
@@ -293,7 +293,7 @@ def lanes(s):
         s.dim("route").where("route_key > 0").select("route_key", "route_name"), "route_key",
         deliveries(s).groupBy("route_key").agg(
             F.count(F.lit(1)).alias("delivery_events"), rate(F.col("arrival_status") == "On Time").alias("on_time_rate"),
-            exact_avg("arrival_variance_minutes").alias("avg_arrival_variance")),
+            mean(F.col("arrival_variance_minutes")).alias("avg_arrival_variance")),
         live(s, "load_lifecycle").groupBy("route_key").agg(F.sum("revenue").alias("revenue"),
                                                            F.sum(charges).alias("total_charges")),
         live(s, "fuel_purchase").groupBy("route_key").agg(F.sum("total_cost").alias("fuel_cost")),
@@ -308,18 +308,18 @@ def figure_v2(spark, sf):
     return lanes(star(spark, sf))
 
 
-@query("figure_v3_base", "trips bigint, trip_fuel_gallons double, gallons_purchased double, average_price_per_gallon r8, "
+@query("figure_v3_base", "trips bigint, trip_fuel_gallons double, gallons_purchased double, average_price_per_gallon double, "
                          "lowest_price_paid double, highest_price_paid double, stop_events bigint, "
                          "billable_detention_minutes bigint, events_over_free_time bigint, maintenance_events bigint, "
                          "maintenance_cost double, downtime_hours double, incidents bigint, claim_cost double, "
-                         "active_trucks bigint, active_drivers bigint, average_credit_terms_days r8, "
-                         "delivery_share_with_detention r8", f"""
+                         "active_trucks bigint, active_drivers bigint, average_credit_terms_days double, "
+                         "delivery_share_with_detention double", f"""
     SELECT t.trips, t.trip_fuel_gallons, f.gallons_purchased, {div('f.fuel_cost', 'f.gallons_purchased')} AS average_price_per_gallon,
            f.lowest_price_paid, f.highest_price_paid, s.stop_events, s.billable_detention_minutes,
            s.stops_over_free_time AS events_over_free_time, m.maintenance_events, m.maintenance_cost, m.downtime_hours,
            i.incidents, i.claim_cost, t.active_trucks, t.active_drivers,
-           (SELECT avg(credit_terms_days) FROM dim_customer WHERE is_current AND customer_key > 0) AS average_credit_terms_days,
-           (SELECT avg(CASE WHEN detention_minutes > 0 THEN 1.0 ELSE 0.0 END) FROM live_stops WHERE event_type = 'Delivery')
+           (SELECT {mean_sql('credit_terms_days')} FROM dim_customer WHERE is_current AND customer_key > 0) AS average_credit_terms_days,
+           (SELECT CAST(count(*) FILTER (detention_minutes > 0) AS DOUBLE) / nullif(count(*), 0) FROM live_stops WHERE event_type = 'Delivery')
                AS delivery_share_with_detention
     FROM (SELECT {TRIP_SUMS} FROM live_fact_trips) AS t, (SELECT {FUEL_SUMS} FROM live_fuel) AS f,
          (SELECT {STOP_SUMS} FROM live_stops) AS s, (SELECT {KEEP_SUMS} FROM live_maintenance) AS m,
@@ -395,7 +395,7 @@ LANE_TABLE = ("loads", "line_haul_revenue", "fuel_surcharge", "accessorial_charg
               "contribution_after_fuel", "actual_miles", "line_haul_revenue_per_mile", "fuel_cost_per_mile")
 LANE_TABLE_OUT = ("route_name string, loads bigint, line_haul_revenue double, fuel_surcharge double, "
                   "accessorial_charges double, total_charges double, fuel_cost double, contribution_after_fuel double, "
-                  "actual_miles bigint, line_haul_revenue_per_mile r8, fuel_cost_per_mile r8")
+                  "actual_miles bigint, line_haul_revenue_per_mile double, fuel_cost_per_mile double")
 LANE_TABLE_SQL = f"""
     SELECT n.route_name, l.* EXCLUDE (route_name), f.fuel_cost,
            CASE WHEN l.total_charges IS NOT NULL OR f.fuel_cost IS NOT NULL
@@ -457,8 +457,8 @@ def req_fe2(spark, sf):
 
 
 @query("req_fu1_fuel_spend", "location_city string, year_month_number int, fuel_cost double, gallons_purchased double, "
-                             "average_price_per_gallon r8, lowest_price_paid double, highest_price_paid double, "
-                             "share_of_fuel_spend r8", f"""
+                             "average_price_per_gallon double, lowest_price_paid double, highest_price_paid double, "
+                             "share_of_fuel_spend double", f"""
     WITH g AS (SELECT location_city, year_month_number, {FUEL_SUMS} FROM live_fuel AS f
                LEFT JOIN dim_location AS l ON l.location_key = f.location_key
                LEFT JOIN dim_date AS x ON x.date_key = f.purchase_date_key AND x.date_key > 0 GROUP BY 1, 2)
@@ -478,7 +478,7 @@ def req_dp1(spark, sf):
     return measure_query(star(spark, sf), [*STOP_MEASURES[:4], *STOP_MEASURES[7:11]], ["route.route_name"])
 
 
-@query("req_dp2_detention", "facility_name string, event_type string, stop_events bigint, average_detention_minutes r8, "
+@query("req_dp2_detention", "facility_name string, event_type string, stop_events bigint, average_detention_minutes double, "
                             "billable_detention_minutes bigint, stops_over_free_time bigint", f"""
     SELECT f.facility_name, s.event_type, {STOP_SUMS} FROM live_stops AS s
     LEFT JOIN dim_facility AS f ON f.facility_key = s.facility_key GROUP BY 1, 2""")
@@ -500,8 +500,8 @@ def req_ma1(spark, sf):
 
 
 @query("req_sa1_incident_patterns", "incident_category string, incident_severity string, incident_cause string, "
-                                    "years_experience int, incidents bigint, claim_cost double, preventable_rate r8, "
-                                    "at_fault_rate r8", f"""
+                                    "years_experience int, incidents bigint, claim_cost double, preventable_rate double, "
+                                    "at_fault_rate double", f"""
     SELECT incident_category, incident_severity, incident_cause, years_experience, {SAFE_SUMS}
     FROM live_incidents AS i LEFT JOIN dim_driver AS d ON d.driver_key = i.driver_key GROUP BY 1, 2, 3, 4""")
 def req_sa1(spark, sf):
@@ -511,8 +511,8 @@ def req_sa1(spark, sf):
 
 
 @query("req_cr1_customer_revenue", "customer_id bigint, loads bigint, line_haul_revenue double, "
-                                   "line_haul_revenue_per_load r8, share_of_line_haul_revenue r8, "
-                                   "average_credit_terms_days r8", f"""
+                                   "line_haul_revenue_per_load double, share_of_line_haul_revenue double, "
+                                   "average_credit_terms_days double", f"""
     SELECT coalesce(g.customer_id, c.customer_id) AS customer_id, loads, line_haul_revenue,
            {div('line_haul_revenue', 'loads')} AS line_haul_revenue_per_load,
            {div('line_haul_revenue', '(SELECT sum(revenue) FROM live_loads)')} AS share_of_line_haul_revenue,
@@ -528,7 +528,7 @@ def req_cr1(spark, sf):
 
 
 @query("req_ut1_utilisation", "resource string, id bigint, trips bigint, actual_miles bigint, active_days bigint, "
-                              "idle_hours double, drivers_per_truck r8", f"""
+                              "idle_hours double, drivers_per_truck double", f"""
     SELECT 'truck' AS resource, v AS id, trips, actual_miles, active_days, idle_hours,
            {div('active_drivers', 'active_trucks')} AS drivers_per_truck
     FROM {_by('truck', 'truck_key', 'truck_id', 'live_fact_trips', TRIP_SUMS)}

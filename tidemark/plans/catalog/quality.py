@@ -85,7 +85,7 @@ def profile_numeric(spark, sf):
     return P.profile_numeric(source(spark, sf, "loads")).withColumnRenamed("column", "column_name")
 
 
-@query("profile_outliers", "column_name string, q1 r4, median r4, q3 r4, lower_fence r4, upper_fence r4, "
+@query("profile_outliers", "column_name string, q1 r6, median r6, q3 r6, lower_fence r6, upper_fence r6, "
                            "iqr_outliers bigint, z3_outliers bigint, skew_indicator r4", " UNION ALL ".join(f"""
     SELECT '{c}' AS column_name, q1, median, q3, q1 - 1.5 * (q3 - q1) AS lower_fence, q3 + 1.5 * (q3 - q1) AS upper_fence,
            (SELECT count(*) FROM raw_fuel_purchases WHERE CAST({c} AS DOUBLE) < q1 - 1.5 * (q3 - q1)

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.compare import ratio
+from tidemark.functions.compare import mean, ratio
 from tidemark.plans.star import DIMS, Star
 
 #: fact -> dimension -> the fact's key column.
@@ -132,10 +132,10 @@ MEASURES: dict[str, Base | Derived] = {
     "on_time_rate": Derived(("on_time_deliveries", "delivery_events"), ratio),
     "early_rate": Derived(("early_deliveries", "delivery_events"), ratio),
     "late_rate": Derived(("late_deliveries", "delivery_events"), ratio),
-    "average_arrival_variance_minutes": Base("delivery_event", lambda: F.avg(
-        F.when(_c("event_type") == "Delivery", _c("arrival_variance_minutes").cast("decimal(18,6)"))), _DELIVERY),
+    "average_arrival_variance_minutes": Base("delivery_event", lambda: mean(
+        F.when(_c("event_type") == "Delivery", _c("arrival_variance_minutes"))), _DELIVERY),
     "stop_events": Base("delivery_event", _count()),
-    "average_detention_minutes": Base("delivery_event", lambda: F.avg("detention_minutes")),
+    "average_detention_minutes": Base("delivery_event", lambda: mean(_c("detention_minutes"))),
     "billable_detention_minutes": Base("delivery_event",
                                        lambda: F.sum(_c("billable_detention_minutes").cast("bigint"))),
     "stops_over_free_time": Base("delivery_event", lambda: F.count_if(_c("billable_detention_minutes") > 0)),
@@ -178,7 +178,7 @@ MEASURES: dict[str, Base | Derived] = {
     "_at_fault_known": _fault_known,
     "at_fault_rate": Derived(("_at_fault", "_at_fault_known"), ratio),
     # customers
-    "average_credit_terms_days": Base("customer", lambda: F.avg("credit_terms_days")),
+    "average_credit_terms_days": Base("customer", lambda: mean(_c("credit_terms_days"))),
     # bands
     "deliveries_in_band": Base("delivery_event", lambda: F.count_if(
         (_c("event_type") == "Delivery") & _c("band_start").isNotNull()), _DELIVERY),
