@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import token_files, warc
+from tidemark.llm import mixing, token_files, warc
 from tidemark.llm.common import table
 from tidemark.llm.registry import query
 
@@ -23,6 +23,12 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_warc(spark, manifest, payloads=False).select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query("op4_mixing")
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.Mix(table(spark, sf_dir, "documents"))
+    return mix.taken().select("doc_id", "size", "source_size", "target", "taken")
+
+
 @query("op8_token_files")
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), vocabulary_size=50257, end_id=0)
