@@ -6,11 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, token_files, warc
+from tidemark.llm import mixing, token_counts, token_files, warc
 from tidemark.llm.common import table
 from tidemark.llm.registry import query
 
 
+@query("op2_token_counts")
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
 @query("op3_warc", sql="""
 WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages),
 f AS (SELECT d, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY d)
