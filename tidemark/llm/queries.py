@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, token_counts, token_files, warc
+from tidemark.llm import mixing, pieces, token_counts, token_files, warc
 from tidemark.llm.common import table
 from tidemark.llm.registry import query
 
@@ -39,3 +39,14 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), vocabulary_size=50257, end_id=0)
     return token_files.read_ids(spark, manifest)
+
+
+@query("op9_sentencepiece")
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's ids and, decoded from them again, its text, as sizes and checksums."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.crc32(F.replace(F.coalesce("text", F.lit("")), F.lit(pieces.SPACE), F.lit(" "))).alias("text_crc32"))
+    keep = ["doc_id", "text_crc32"]
+    back = pieces.decode(pieces.encode(docs, path, keep), path, keep)
+    return back.select("doc_id", "n_ids", "ids_crc32", F.octet_length("text").cast("long").alias("decoded_bytes"),
+                       F.crc32("text").alias("decoded_crc32"), (F.crc32("text") == F.col("text_crc32")).alias("round_trip"))
