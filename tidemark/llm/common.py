@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import cut, scratch_path, shared_root
 
-__all__ = ["cut", "open_shared", "pack", "scratch_path", "shared_root", "slices", "split_join", "spread", "stored", "table", "tokenizer", "unpack"]
+__all__ = ["cut", "mark_hot", "open_shared", "pack", "scratch_path", "shared_root", "slices", "split_join", "spread", "stored", "table", "tokenizer", "unpack"]
 
 #: Rows of one Arrow batch; slices() then cuts or joins batches by bytes.
 BATCH_ROWS = 1000
@@ -78,28 +78,42 @@ def unpack(data: bytes, dtype) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(dtype).reshape(-1)
 
 
-def split_join(rows: DataFrame, keyed: DataFrame, keys: list[str], rows_per_key: str) -> DataFrame:
-    """rows left-joined with keyed, one row per key, whose column rows_per_key counts the rows of the key.
+def mark_hot(keyed: DataFrame, count: str) -> DataFrame:
+    """keyed, one row per key with the key's rows in count, with the flag _hot: over HOT_SHARE of all rows.
 
-    Keys with over HOT_SHARE of all rows are at most 1 / HOT_SHARE many, whatever the size: they
-    are broadcast. The others are shuffled, and none of them is large. Null keys match null keys.
+    Such keys are at most 1 / HOT_SHARE many, whatever the size.
     """
-    total = keyed.agg(F.sum(rows_per_key).alias("_total"))
-    marked = keyed.crossJoin(F.broadcast(total)).withColumn("_hot", F.col(rows_per_key) > F.col("_total") * HOT_SHARE).drop("_total")
-    hot = marked.where("_hot").select(*[F.col(k).alias(f"_h_{k}") for k in keys], *[F.col(c).alias(f"_v_{c}") for c in keyed.columns if c not in keys])
-    values = [c for c in keyed.columns if c not in keys]
-    same = functools.reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys])
-    met = rows.join(F.broadcast(hot), same, "left")
-    is_hot = F.col(f"_v_{rows_per_key}").isNotNull()
-    first = met.where(is_hot).select(*rows.columns, *[F.col(f"_v_{c}").alias(c) for c in values])
-    cold = marked.where("not _hot").select(*[F.col(k).alias(f"_h_{k}") for k in keys], *[F.col(c).alias(f"_w_{c}") for c in values])
-    second = met.where(~is_hot).select(*rows.columns).join(cold, same, "left").select(*rows.columns, *[F.col(f"_w_{c}").alias(c) for c in values])
-    return first.unionByName(second)
+    total = keyed.agg(F.sum(count).alias("_total"))
+    return keyed.crossJoin(F.broadcast(total)).withColumn("_hot", F.col(count) > F.col("_total") * HOT_SHARE).drop("_total")
+
+
+def split_join(rows: DataFrame, marked: DataFrame, keys: list[str]) -> DataFrame:
+    """rows left-joined with marked, one row per key as mark_hot made it. Null keys match null keys.
+
+    Hot keys are broadcast, being few by their definition. The others are left to Spark, and there the rows
+    of hot keys are dealt out evenly, so that no partition gets a hot key's rows.
+    """
+    values = [c for c in marked.columns if c not in keys and c != "_hot"]
+
+    def side(hot: bool, prefix: str) -> DataFrame:
+        return marked.where("_hot" if hot else "not _hot").select(*[F.col(k).alias(f"{prefix}k_{k}") for k in keys], *[F.col(c).alias(f"{prefix}v_{c}") for c in values], F.lit(True).alias(f"{prefix}met"))
+
+    def same(prefix: str):
+        return functools.reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}k_{k}")) for k in keys])
+
+    met = rows.join(F.broadcast(side(True, "_h")), same("_h"), "left")
+    met = met.withColumn("_deal", F.when(F.col("_hmet"), F.monotonically_increasing_id()).otherwise(F.xxhash64(*keys)))
+    cold = side(False, "_c").withColumn("_cdeal", F.xxhash64(*[F.col(f"_ck_{k}") for k in keys]))
+    met = met.join(cold, same("_c") & (F.col("_deal") == F.col("_cdeal")), "left")
+    return met.select(*[rows[c] for c in rows.columns], *[F.coalesce(F.col(f"_hv_{c}"), F.col(f"_cv_{c}")).alias(c) for c in values])
 
 
 @functools.lru_cache(maxsize=4)
 def tokenizer(path: str):
     """A tokenizer of the tokenizers library, loaded once in each Python worker."""
+    import os
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
     import tokenizers
 
     return tokenizers.Tokenizer.from_file(path)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.llm.common import slices, split_join, stored
+from tidemark.llm.common import mark_hot, slices, split_join, stored
 from tidemark.llm.words import mix as mixed_bits
 from tidemark.llm.words import words
 
@@ -177,4 +177,4 @@ class Mix:
         rows = self.documents.groupBy("source").agg(F.count("*").alias("_rows"))
         wide = self.sources.select(F.col("source").alias("_name"), "source_size", "target")
         wide = rows.join(wide, F.col("source").eqNullSafe(F.col("_name"))).drop("_name")
-        return split_join(met.drop("_source", "_start", "_tie"), wide, ["source"], "_rows").drop("_rows")
+        return split_join(met.drop("_source", "_start", "_tie"), mark_hot(wide, "_rows"), ["source"]).drop("_rows")

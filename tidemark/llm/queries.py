@@ -6,11 +6,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, pieces, token_counts, token_files, warc
+from tidemark.llm import mixing, pieces, quality, token_counts, token_files, warc
 from tidemark.llm.common import table
 from tidemark.llm.registry import query
 
 
+def site(docs: DataFrame):
+    """Host and path of a document: its source, and its language in the source."""
+    return F.col("source"), F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")))
+
+
+@query("op1_quality")
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    scored = quality.classify(docs, table(spark, sf_dir, "labels"), *site(docs))
+    return scored.select("doc_id", F.col("_evidence").alias("evidence"), F.col("_host_posterior").alias("host_posterior"),
+                         F.col("_path_posterior").alias("path_posterior"), F.col("_posterior").alias("posterior"), F.col("_keep").alias("keep"))
+
+
 @query("op2_token_counts")
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))

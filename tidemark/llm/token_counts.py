@@ -22,15 +22,9 @@ from pyspark.sql import DataFrame
 
 from tidemark.llm.common import tokenizer
 from tidemark.llm.vocabulary import distinct_units, meet, packed_documents, require, unpacked, values_of
-from tidemark.llm.words import _LOWER, _SPACE, Spans, raw
+from tidemark.llm.words import BYTE_KIND, LOWER, Spans, raw
 
 COUNTED = "doc_id long, n_bytes long, n_tokens long"
-# kinds of bytes: white space, ASCII letter, ASCII digit, other ASCII, part of another character
-_KIND = np.full(256, 3, dtype=np.uint8)
-_KIND[128:] = 4
-_KIND[48:58] = 2
-_KIND[65:91] = _KIND[97:123] = 1
-_KIND[_SPACE] = 0
 
 
 def pre_tokens(column: pa.Array) -> Spans:
@@ -38,7 +32,7 @@ def pre_tokens(column: pa.Array) -> Spans:
     data, offsets = raw(column)
     whole = pc.fill_null(pc.match_substring(column, "<|"), False).to_numpy(zero_copy_only=False)
     fine = ~np.repeat(whole, np.diff(offsets))
-    kind = _KIND[data]
+    kind = BYTE_KIND[data]
     n = len(data)
     border = np.zeros(n + 1, dtype=bool)
     border[offsets] = True
@@ -50,7 +44,7 @@ def pre_tokens(column: pa.Array) -> Spans:
     start, end = edges[:-1], edges[1:]
     keep = (kind[start] != 0) if n else np.zeros(0, bool)
     start, end = start[keep], end[keep]
-    return Spans(np.where(fine, _LOWER[data], data), start, end, np.searchsorted(offsets, start, side="right") - 1, len(column))
+    return Spans(np.where(fine, LOWER[data], data), start, end, np.searchsorted(offsets, start, side="right") - 1, len(column))
 
 
 def count_tokens(docs: DataFrame, vocabulary: str) -> DataFrame:

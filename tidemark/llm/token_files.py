@@ -22,12 +22,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import open_shared, scratch_path, slices, spread, tokenizer
-from tidemark.llm.words import units
+from tidemark.llm.words import BYTE_KIND, Spans, raw
 
 MANIFEST = "part int, path string, documents long, tokens long, width int"
 NULL_ID = -(2**63)
@@ -36,26 +37,79 @@ NULL_ID = -(2**63)
 ODD_SPACE = tuple(map(chr, (0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 
 
+#: Units whose ids a Python worker remembers.
+REMEMBERED = 300_000
+
+
+class _Memory:
+    """Ids of the units met lately: sorted hashes, and their ids end to end."""
+
+    def __init__(self):
+        self.hash, self.begin, self.size, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def place(self, hashes: np.ndarray) -> np.ndarray:
+        """Where each hash stands, -1 where it doesn't."""
+        if not len(self.hash):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.hash, hashes), len(self.hash) - 1)
+        return np.where(self.hash[at] == hashes, at, -1)
+
+    def add(self, hashes: np.ndarray, pieces: list[list[int]]) -> None:
+        size = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+        ids = np.fromiter((i for p in pieces for i in p), dtype=np.uint32, count=int(size.sum()))
+        begin = np.cumsum(size) - size + len(self.ids)
+        hashes = np.concatenate([self.hash, hashes])
+        order = np.argsort(hashes, kind="stable")
+        self.hash, self.begin, self.size = hashes[order], np.concatenate([self.begin, begin])[order], np.concatenate([self.size, size])[order]
+        self.ids = np.concatenate([self.ids, ids])
+
+
+_memories: dict[str, _Memory] = {}
+
+
+def _units(column: pa.Array) -> Spans:
+    """Each text cut where the vocabulary's pattern surely cuts: in front of white space, and between
+    ASCII letters, digits and others (not behind an apostrophe, nor in texts that hold ``<|``)."""
+    data, offsets = raw(column)
+    n = len(data)
+    whole = pc.fill_null(pc.match_substring(column, "<|"), False).to_numpy(zero_copy_only=False)
+    fine = ~np.repeat(whole, np.diff(offsets))
+    kind = BYTE_KIND[data]
+    a, b = kind[:-1], kind[1:]
+    border = np.zeros(n + 1, dtype=bool)
+    border[offsets] = True
+    border[1:n] |= (b == 0) & (a != 0)
+    border[1:n] |= (a != b) & (a != 0) & (a != 4) & (b != 4) & (data[:-1] != 0x27) & fine[1:]
+    edges = np.flatnonzero(border)
+    if not n:
+        edges = edges[:0]
+    start, end = edges[:-1], edges[1:]
+    return Spans(data, start, end, np.searchsorted(offsets, start, side="right") - 1, len(column))
+
+
 def encode_texts(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of each whole text as (ids, offsets).
 
-    Byte-level BPE never joins a non-space with white space after it, so a text can be cut in front of
-    white space: distinct units of the slice are encoded once and their ids gathered. Texts with other
-    kinds of white space are encoded whole.
+    Byte-level BPE works within the pieces that its pattern cuts a text into, so the text can be cut at
+    borders of that pattern: distinct units are encoded once and their ids gathered. Texts with
+    other kinds of white space than ASCII are encoded whole.
     """
     t = tokenizer(path)
-    spans = units(column)
-    hashes = spans.hashes()
-    _, first, place = np.unique(hashes, return_index=True, return_inverse=True)
-    pieces = [x.ids for x in t.encode_batch_fast([b.decode() for b in spans.texts(first)], add_special_tokens=False)]
-    size = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
-    flat = np.fromiter((i for p in pieces for i in p), dtype=np.uint32, count=int(size.sum()))
-    begin = np.cumsum(size) - size
-    n = size[place]
-    ids = flat[np.repeat(begin[place] - (np.cumsum(n) - n), n) + np.arange(n.sum())] if len(n) else np.zeros(0, np.uint32)
+    spans = _units(column)
+    hashes, first, place = np.unique(spans.hashes(), return_index=True, return_inverse=True)
+    memory = _memories.setdefault(path, _Memory())
+    if len(memory.hash) > REMEMBERED:
+        memory = _memories[path] = _Memory()
+    new = np.flatnonzero(memory.place(hashes) < 0)
+    pieces: list[list[int]] = []
+    for lo in range(0, len(new), 4096):
+        pieces += [x.ids for x in t.encode_batch_fast([b.decode() for b in spans.texts(first[new[lo:lo + 4096]])], add_special_tokens=False)]
+    memory.add(hashes[new], pieces)
+    at = memory.place(hashes)[place]
+    n = memory.size[at]
+    ids = memory.ids[np.repeat(memory.begin[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
     offsets = np.concatenate([[0], np.cumsum(np.bincount(spans.row, weights=n, minlength=spans.rows).astype(np.int64))])
-    odd = [i for i, x in enumerate(column.to_pylist()) if x is not None and not x.isascii() and any(c in x for c in ODD_SPACE[4:])
-           or x is not None and any(c in x for c in ODD_SPACE[:4])]
+    odd = np.flatnonzero(pc.fill_null(pc.match_substring_regex(column, "[" + "".join(ODD_SPACE) + "]"), False).to_numpy(zero_copy_only=False)).tolist()
     if odd:
         parts = [ids[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
         for i in odd:
@@ -66,7 +120,7 @@ def encode_texts(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def write_ids(docs: DataFrame, vocabulary: str, vocabulary_size: int, end_id: int = 0, folder: str | None = None,
-              slice_bytes: int = 8 << 20) -> DataFrame:
+              slice_bytes: int = 2 << 20) -> DataFrame:
     """Write the ids of docs(doc_id, text) and return the manifest, one row per part."""
     folder = folder or scratch_path(docs.sparkSession, "ids")
     width = next(w for w in (1, 2, 4, 8) if vocabulary_size <= 256**w)

@@ -27,7 +27,8 @@ from tidemark.llm.common import pack, slices, unpack
 from tidemark.llm.words import Spans
 
 Cutter = Callable[[pa.Array], Spans]
-SLICE_BYTES = 16 << 20
+#: Text of one batch: the arrays over its bytes and units take some thirty times as much.
+SLICE_BYTES = 4 << 20
 
 
 def _batches(batches: Iterator[pa.RecordBatch], column: str, cut: Cutter, limit: int) -> Iterator[tuple[str, pa.Table, Spans, np.ndarray]]:

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import open_shared, scratch_path, slices, split_join, stored
+from tidemark.llm.common import mark_hot, open_shared, scratch_path, slices, split_join, stored
 
 # Fixed values of the ARC and WARC formats.
 V1_COLUMNS = b"URL IP-address Archive-date Content-type Archive-length"
@@ -160,7 +160,7 @@ def revisits(records: DataFrame) -> DataFrame:
     first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "record_id")).alias("first")
     copies = narrow.where(F.col("payload_bytes") >= REVISIT_BYTES).groupBy("payload_digest").agg(first, F.count("*").alias("copies"))
     copies = copies.where("copies > 1 and first.key is not null").select("payload_digest", "copies", F.col("first.key").alias("refers_to"), F.col("first.record_id").alias("refers_to_id"))
-    told = split_join(narrow, copies, ["payload_digest"], "copies")
+    told = split_join(narrow, mark_hot(copies, "copies"), ["payload_digest"])
     told = told.where(F.col("copies").isNotNull() & (F.col("payload_bytes") >= REVISIT_BYTES) & (F.col("record_id") != F.col("refers_to_id")))
     return records.join(told.select("record_id", "refers_to", "refers_to_id"), "record_id", "left")
 

@@ -19,8 +19,14 @@ _BASE = int(_rng.integers(1, 2**63, dtype=np.uint64)) | 1
 _BASE_INVERSE = pow(_BASE, -1, 2**64)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+#: Kinds of bytes: 0 white space, 1 ASCII letter, 2 ASCII digit, 3 other ASCII, 4 part of another character.
+BYTE_KIND = np.full(256, 3, dtype=np.uint8)
+BYTE_KIND[128:] = 4
+BYTE_KIND[48:58] = 2
+BYTE_KIND[65:91] = BYTE_KIND[97:123] = 1
+BYTE_KIND[_SPACE] = 0
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -94,8 +100,8 @@ class Spans:
 
     def texts(self, which: np.ndarray) -> list[bytes]:
         """The bytes of the chosen pieces."""
-        whole = self.data.tobytes()
-        return [whole[a:b] for a, b in zip(self.start[which].tolist(), self.end[which].tolist(), strict=True)]
+        whole = memoryview(np.ascontiguousarray(self.data))
+        return [bytes(whole[a:b]) for a, b in zip(self.start[which].tolist(), self.end[which].tolist(), strict=True)]
 
     def per_row(self) -> np.ndarray:
         """Offsets (rows + 1) of each row's pieces."""
@@ -121,28 +127,11 @@ def words(column: pa.Array, lower: bool = False) -> Spans:
     """The words of each row; lower maps A-Z to a-z first."""
     data, offsets = raw(column)
     if lower:
-        data = _LOWER[data]
+        data = LOWER[data]
     start, end = _runs(~_SPACE[data], offsets)
     return Spans(data, start, end, np.searchsorted(offsets, start, side="right") - 1, len(column))
 
 
-def units(column: pa.Array) -> Spans:
-    """Each row cut in front of every white-space run: a word with the white space before it.
-
-    Joined in order the units give the whole text, white space at the end included.
-    """
-    data, offsets = raw(column)
-    space = _SPACE[data]
-    n = len(data)
-    first = np.zeros(n + 1, dtype=bool)
-    first[offsets] = True
-    first = first[:n]
-    before = np.concatenate([[False], space[:-1]]) if n else space
-    start = np.flatnonzero((space & ~before) | first)
-    end = np.concatenate([start[1:], [n]]).astype(np.int64) if len(start) else start
-    return Spans(data, start, end, np.searchsorted(offsets, start, side="right") - 1, len(column))
-
-
 def shingles(column: pa.Array, size: int = 5, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Distinct word shingles of each row as (sorted hashes, offsets).
 
