@@ -33,7 +33,7 @@ from tidemark.llm.words import mix as mixed_bits
 from tidemark.llm.words import words
 
 #: Documents of one source that one window sorts, about.
-CHUNK_ROWS = 50_000
+CHUNK_ROWS = 2_000
 
 
 def with_sizes(docs: DataFrame) -> DataFrame:
