@@ -148,7 +148,8 @@ def spans(placed: DataFrame, slot_rows: DataFrame, block_words: int) -> DataFram
     pieces = placed.where("size > 0").select("source", "start", "size", F.explode(F.sequence(F.floor(F.col("start") / b), F.floor((F.col("start") + F.col("size") - 1) / b))).alias("block"))
     low, high = F.greatest(F.col("start"), F.col("block") * b), F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * b)
     pieces = pieces.select(F.col("source").alias("_source"), F.col("block").alias("_block"), "start", (low - F.col("start")).alias("first_word"), (high - low).alias("n_words"))
-    return slot_rows.join(pieces, F.col("source").eqNullSafe(F.col("_source")) & (F.col("block") == F.col("_block"))).drop("_source", "_block")
+    # slots are made from a few rows each: Spark would take them for small and broadcast them
+    return slot_rows.hint("merge").join(pieces.hint("merge"), F.col("source").eqNullSafe(F.col("_source")) & (F.col("block") == F.col("_block"))).drop("_source", "_block")
 
 
 class Mix:
