@@ -6,11 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, pieces, quality, token_counts, token_files, warc
+from tidemark.llm import mixing, pieces, quality, surrogates, token_counts, token_files, warc
 from tidemark.llm.common import table
 from tidemark.llm.registry import query
 
 
+#: The key of the surrogates; in use it is a secret, given from outside.
+SURROGATE_KEY = "example key"
+
+
 def site(docs: DataFrame):
     """Host and path of a document: its source, and its language in the source."""
     return F.col("source"), F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")))
@@ -48,6 +52,13 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.taken().select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op6_surrogates")
+def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its entities replaced."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replace(docs, SURROGATE_KEY).select("doc_id", F.col("_entities").cast("long").alias("n_entities"), "text")
+
+
 @query("op8_token_files")
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), vocabulary_size=50257, end_id=0)
