@@ -38,7 +38,7 @@ NORMAL, UNKNOWN, BYTE = 1, 2, 6
 UNIGRAM, BPE = 1, 2
 
 LONG = 128
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 6 << 20
 
 
 @dataclass(frozen=True)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, pieces, quality, surrogates, token_counts, token_files, warc
+from tidemark.llm import jaccard, mixing, pieces, quality, surrogates, token_counts, token_files, warc
 from tidemark.llm.common import table
 from tidemark.llm.registry import query
 
@@ -52,6 +52,11 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.taken().select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op5_jaccard")
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 @query("op6_surrogates")
 def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its entities replaced."""

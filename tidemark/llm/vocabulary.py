@@ -5,7 +5,7 @@ Documents are taken in batches of bounded bytes and cut into units. A batch's di
 is computed once per distinct unit comes back to the batches by a join on the unit, and meets the
 documents' own units, kept as packed positions, by a join on the batch.
 
-A batch's name holds its partition, its number and a digest of its contents. Both branches make
+A batch's name is a digest of its partition, its number and its contents. Both branches make
 the batches from the same scan; should a lost executor ever change how the scan is split, names no
 longer meet and the job fails rather than answering wrongly.
 """
@@ -21,23 +21,24 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from tidemark.llm.common import pack, slices, unpack
 from tidemark.llm.words import Spans
 
 Cutter = Callable[[pa.Array], Spans]
 #: Text of one batch: the arrays over its bytes and units take some thirty times as much.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 12 << 20
 
 
-def _batches(batches: Iterator[pa.RecordBatch], column: str, cut: Cutter, limit: int) -> Iterator[tuple[str, pa.Table, Spans, np.ndarray]]:
+def _batches(batches: Iterator[pa.RecordBatch], column: str, cut: Cutter, limit: int) -> Iterator[tuple[int, pa.Table, Spans, np.ndarray]]:
     part = TaskContext.get().partitionId()
     for n, rows in enumerate(slices(batches, column, limit)):
         spans = cut(rows[column].combine_chunks())
-        digest = hashlib.blake2b(spans.data.tobytes(), digest_size=8)
-        digest.update(spans.row.tobytes())
-        yield f"{part}-{n}-{digest.hexdigest()}", rows, spans, spans.hashes()
+        digest = hashlib.blake2b(f"{part} {n}".encode(), digest_size=8)
+        digest.update(np.ascontiguousarray(spans.data))
+        digest.update(np.ascontiguousarray(spans.row))
+        yield int.from_bytes(digest.digest(), "big", signed=True), rows, spans, spans.hashes()
 
 
 def distinct_units(docs: DataFrame, column: str, cut: Cutter, limit: int = SLICE_BYTES) -> DataFrame:
@@ -45,9 +46,9 @@ def distinct_units(docs: DataFrame, column: str, cut: Cutter, limit: int = SLICE
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, _, spans, hashes in _batches(batches, column, cut, limit):
             first = np.unique(hashes, return_index=True)[1]
-            yield pa.RecordBatch.from_pydict({"batch": pa.array([name]), "units": pa.array([[b.decode() for b in spans.texts(first)]], pa.list_(pa.string()))})
+            yield pa.RecordBatch.from_pydict({"batch": pa.array([name], pa.int64()), "units": pa.array([[b.decode() for b in spans.texts(first)]], pa.list_(pa.string()))})
 
-    return docs.select(column).mapInArrow(make, "batch string, units array<string>").select("batch", F.posexplode("units").alias("at", "unit"))
+    return docs.select(column).mapInArrow(make, "batch long, units array<string>").select("batch", F.posexplode("units").alias("at", "unit"))
 
 
 def packed_documents(docs: DataFrame, column: str, cut: Cutter, keep: list[str], sequence: bool, limit: int = SLICE_BYTES) -> DataFrame:
@@ -56,7 +57,7 @@ def packed_documents(docs: DataFrame, column: str, cut: Cutter, keep: list[str],
     sequence: every occurrence in order; otherwise distinct positions and, in ``freq``, how often.
     """
     fields = [StructField(c, ArrayType(docs.schema[c].dataType)) for c in keep]
-    schema = StructType([StructField("batch", StringType()), *fields, StructField("n_bytes", ArrayType(LongType())),
+    schema = StructType([StructField("batch", LongType()), *fields, StructField("n_bytes", ArrayType(LongType())),
                          *[StructField(c, BinaryType()) for c in ("units", "place", "freq")]])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -72,7 +73,7 @@ def packed_documents(docs: DataFrame, column: str, cut: Cutter, keep: list[str],
                 same = np.concatenate([[False], row[1:] == row[:-1]])[:len(row)]
                 place = np.where(same, np.diff(place, prepend=0), place)  # small steps pack well
             size = pc.fill_null(pc.binary_length(rows[column]), 0).cast(pa.int64())
-            made = {"batch": pa.array([name])}
+            made = {"batch": pa.array([name], pa.int64())}
             for c in [*keep, None]:
                 values = (size if c is None else rows[c]).combine_chunks()
                 made[c or "n_bytes"] = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
@@ -106,7 +107,7 @@ def meet(documents: DataFrame, values: DataFrame) -> DataFrame:
     return documents.join(values, "batch", "left")
 
 
-def require(values, place: np.ndarray, batch: str) -> None:
+def require(values, place: np.ndarray, batch: int) -> None:
     have = 0 if values is None else len(values)
     if len(place) and int(place.max()) >= have:
         raise RuntimeError(f"batch {batch} has no values for its units: its scan was split differently; run the job again")
