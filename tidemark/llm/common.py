@@ -37,9 +37,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 
 def spread(df: DataFrame, mb: int = 64, least: int = 1) -> int:
-    """A number of partitions that follows the estimated bytes of df, so that each holds about mb."""
+    """A number of partitions that follows the estimated bytes of df, so that each holds about mb.
+
+    For a df whose size Spark doesn't know (not read from files) it is the session's number.
+    """
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(least, min(size // (mb << 20) + 1, 200_000))
+    if size > 1 << 60:
+        return max(least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return max(least, size // (mb << 20) + 1)
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.Table]:

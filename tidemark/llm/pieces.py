@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import functools
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,7 +29,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from tidemark.llm.vocabulary import distinct_units, meet, packed_documents, require, unpacked, values_of
+from tidemark.llm.common import spread
+from tidemark.llm.vocabulary import by_unit, distinct_units, meet, packed_documents, require, unpacked
 from tidemark.llm.words import Spans, raw
 
 # Fixed values of the model format.
@@ -38,7 +39,6 @@ NORMAL, UNKNOWN, BYTE = 1, 2, 6
 UNIGRAM, BPE = 1, 2
 
 LONG = 128
-SLICE_BYTES = 6 << 20
 
 
 @dataclass(frozen=True)
@@ -125,39 +125,60 @@ def cutter(path: str):
 # ---- lattice ----
 
 def piece_table(spark: SparkSession, path: str) -> DataFrame:
-    """(piece, id, score); as many rows as the model has pieces."""
-    return spark.createDataFrame(list(model(path).pieces), "piece string, id int, score double")
+    """(piece, id, score, rank): as many rows as the model has pieces, rank counting from the best score.
+
+    The row of the empty piece gives every unit an edge, also those in which no piece occurs.
+    """
+    m = model(path)
+    rank = {s: i for i, s in enumerate(sorted({s for _, _, s in m.pieces}, reverse=True))}
+    rows = [(p, i, s, rank[s]) for p, i, s in m.pieces]
+    return spark.createDataFrame([*rows, ("", 0, 0.0, 0)], "piece string, id int, score double, rank int")
 
 
-def lattice(units: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
-    """(unit, edges): array of (begin, length, id, score) of the pieces that occur in each distinct unit."""
+def lattice(units: DataFrame, pieces: DataFrame, longest: int, edge: Column) -> DataFrame:
+    """(unit, edges): an edge for each place in a distinct unit where a piece stands.
+
+    edge says what an edge holds, from the columns at (begin * 256 + length), id, score and rank.
+    """
     n = F.length("unit")
     begins = units.select("unit", n.alias("n"), F.explode(F.sequence(F.lit(0), n - 1)).alias("begin"))
-    parts = begins.select("unit", "begin", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.col("n") - F.col("begin")))).alias("length"))
-    parts = parts.select("unit", "begin", "length", F.expr("substring(unit, begin + 1, length)").alias("piece"))
+    least = F.when(F.col("begin") == 0, F.lit(0)).otherwise(F.lit(1))
+    parts = begins.select("unit", "begin", F.explode(F.sequence(least, F.least(F.lit(longest), F.col("n") - F.col("begin")))).alias("length"))
+    parts = parts.select("unit", (F.col("begin") * 256 + F.col("length")).alias("at"), F.expr("substring(unit, begin + 1, length)").alias("piece"))
     edges = parts.join(F.broadcast(pieces), "piece")  # the model's table, fixed in size
-    return edges.groupBy("unit").agg(F.collect_list(F.struct("begin", "length", "id", "score")).alias("edges"))
+    return edges.groupBy("unit").agg(F.collect_list(edge).alias("edges"))
+
 
+def packed_edge() -> Column:
+    """An edge of a BPE lattice: place, rank and id in one number."""
+    return F.shiftleft(F.col("at").cast("long"), 40) + F.shiftleft(F.col("rank").cast("long"), 20) + F.col("id")
 
-def _index(edges: Column) -> Column:
-    """Edges by begin * 65536 + length."""
-    return F.map_from_entries(F.transform(edges, lambda e: F.struct((e["begin"] * 65536 + e["length"]).alias("at"), F.struct(e["score"], e["id"]).alias("edge"))))
+
+def scored_edge() -> Column:
+    return F.struct(F.col("at").cast("long").alias("at"), F.struct("score", "id").alias("edge"))
+
+
+def _packed_index(edges: Column) -> Column:
+    """Packed edges by place: rank and id."""
+    return F.map_from_arrays(F.transform(edges, lambda e: F.shiftright(e, 40)), F.transform(edges, lambda e: e.bitwiseAND(2**40 - 1)))
 
 
 def merged(n: Column, index: Column) -> Column:
-    """Borders of the BPE segmentation of n characters: highest-scored neighbours merge first, leftmost of equals."""
+    """Borders of the BPE segmentation of n characters: best-ranked neighbours merge first, leftmost of equals."""
     def step(cuts: Column, _: Column) -> Column:
-        inner = F.transform(F.sequence(F.lit(1), F.greatest(F.size(cuts) - 2, F.lit(1))), lambda i: F.struct(
-            F.try_element_at(index, F.get(cuts, i - 1) * 65536 + F.get(cuts, i + 1) - F.get(cuts, i - 1))["score"].alias("score"), (-i).alias("left")))
-        best = F.array_max(F.filter(inner, lambda x: x["score"].isNotNull()))
-        one = F.transform(F.array(best), lambda b: F.when(b.isNull(), cuts).otherwise(F.filter(cuts, lambda c, j: j != -b["left"])))
-        return F.when(F.size(cuts) < 3, cuts).otherwise(F.get(one, F.lit(0)))
+        inner = F.transform(F.sequence(F.lit(1), F.size(cuts) - 2), lambda i: F.struct(
+            F.shiftright(F.try_element_at(index, (F.get(cuts, i - 1) * 255 + F.get(cuts, i + 1)).cast("long")), 20).alias("rank"), i.alias("i")))
+        best = F.array_min(F.filter(inner, lambda x: x["rank"].isNotNull()))
+        # a cut that stays put ends the merging: -1 in front marks it
+        one = F.transform(F.array(best), lambda b: F.when(b.isNull(), F.concat(F.array(F.lit(-1)), cuts)).otherwise(F.filter(cuts, lambda c, j: j != b["i"])))
+        return F.when((F.get(cuts, F.lit(0)) < 0) | (F.size(cuts) < 3), cuts).otherwise(F.get(one, F.lit(0)))
 
-    return F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), F.sequence(F.lit(0), n), step)
+    folded = F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), F.sequence(F.lit(0), n), step)
+    return F.filter(folded, lambda c: c >= 0)
 
 
 def best_path(n: Column, index: Column, unknown: float, longest: int) -> Column:
-    """Borders of the segmentation of n characters with the highest summed score.
+    """Borders of the segmentation of n characters with the highest summed score (Viterbi).
 
     A character without a piece costs unknown; of equal sums the one with the shorter last piece wins.
     """
@@ -165,7 +186,7 @@ def best_path(n: Column, index: Column, unknown: float, longest: int) -> Column:
 
     def step(state: Column, end: Column) -> Column:
         ways = F.transform(F.sequence(F.lit(1), F.least(end, F.lit(longest))), lambda k: F.struct(
-            (F.get(state, end - k)["total"] + F.coalesce(F.try_element_at(index, (end - k) * 65536 + k)["score"], F.when(k == 1, F.lit(unknown)))).alias("total"), (end - k).alias("back")))
+            (F.get(state, end - k)["total"] + F.coalesce(F.try_element_at(index, ((end - k) * 256 + k).cast("long"))["score"], F.when(k == 1, F.lit(unknown)))).alias("total"), (end - k).alias("back")))
         return F.concat(state, F.array(F.array_max(F.filter(ways, lambda w: w["total"].isNotNull()))))
 
     state = F.aggregate(F.sequence(F.lit(1), n), first, step)
@@ -174,33 +195,37 @@ def best_path(n: Column, index: Column, unknown: float, longest: int) -> Column:
     return F.get(back, F.lit(0))
 
 
-def _ids(unit: Column, cuts: Column, index: Column, m: Model) -> Column:
+def _ids(unit: Column, cuts: Column, found: Callable[[Column], Column], m: Model) -> Column:
     """Ids of the segments between cuts; segments without a piece are single characters."""
     def segment(i: Column) -> Column:
         a, b = F.get(cuts, i - 1), F.get(cuts, i)
-        found = F.try_element_at(index, a * 65536 + b - a)["id"]
+        id_ = found((a * 255 + b).cast("long"))
         if m.first_byte is None:
             spelt = F.array(F.lit(m.unknown))
         else:
             code = F.hex(F.encode(F.substr(unit, a + 1, F.lit(1)), "UTF-8"))
             spelt = F.transform(F.sequence(F.lit(1), F.length(code), F.lit(2)), lambda k: (F.conv(F.substr(code, k, F.lit(2)), 16, 10).cast("int") + m.first_byte))
-        return F.when(found.isNotNull(), F.array(found)).otherwise(spelt)
+        return F.when(id_.isNotNull(), F.array(id_)).otherwise(spelt)
 
     return F.flatten(F.transform(F.sequence(F.lit(1), F.size(cuts) - 1), segment))
 
 
 def encode_units(units: DataFrame, path: str) -> DataFrame:
-    """(unit, ids) of distinct units."""
-    m = model(path)
-    pieces = piece_table(units.sparkSession, path)
-    unknown = min(s for _, _, s in m.pieces) - 10.0
-    edges = lattice(units.where(F.length("unit") <= LONG), pieces, m.longest)
-    none = units.where(F.length("unit") == 1).join(F.broadcast(pieces), F.col("unit") == F.col("piece"), "left_anti").select("unit", F.lit(None).cast(edges.schema["edges"].dataType).alias("edges"))
-    edges = edges.unionByName(none)  # a lone character without a piece has no edge
-    empty = F.create_map().cast("map<int,struct<score:double,id:int>>")
-    met = edges.withColumn("n", F.length("unit")).withColumn("index", F.coalesce(_index(F.col("edges")), empty))
-    fold = merged(F.col("n"), F.col("index")) if m.kind == BPE else best_path(F.col("n"), F.col("index"), unknown, m.longest)
-    return met.withColumn("cuts", fold).select("unit", _ids(F.col("unit"), F.col("cuts"), F.col("index"), m).alias("ids"))
+    """(unit, ids) of distinct units of LONG characters at most."""
+    m, spark = model(path), units.sparkSession
+    # more groups at a time than Spark would keep before it turns to sorting; each has a few dozen edges
+    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "50000")
+    bpe = m.kind == BPE
+    met = lattice(units.where(F.length("unit") <= LONG), piece_table(spark, path), m.longest, packed_edge() if bpe else scored_edge())
+    met = met.withColumn("n", F.length("unit")).withColumn("index", _packed_index(F.col("edges")) if bpe else F.map_from_entries("edges"))
+    n, index = F.col("n"), F.col("index")
+    cuts = merged(n, index) if bpe else best_path(n, index, min(s for _, _, s in m.pieces) - 10.0, m.longest)
+
+    def found(at: Column) -> Column:
+        edge = F.try_element_at(index, at)
+        return edge.bitwiseAND(2**20 - 1).cast("int") if bpe else edge["id"]
+
+    return met.withColumn("cuts", cuts).select("unit", _ids(F.col("unit"), F.col("cuts"), found, m).alias("ids"))
 
 
 def _encode_long(units: DataFrame, path: str) -> DataFrame:
@@ -212,7 +237,7 @@ def _encode_long(units: DataFrame, path: str) -> DataFrame:
             ids = [p.encode("\n" + u.replace(SPACE, " "))[lead:] for u in units]
             yield pa.RecordBatch.from_pydict({"unit": batch.column(0), "ids": pa.array(ids, pa.list_(pa.int32()))})
 
-    return units.where(F.length("unit") > LONG).mapInArrow(run, "unit string, ids array<int>")
+    return units.mapInArrow(run, "unit string, ids array<int>")
 
 
 # ---- documents ----
@@ -225,11 +250,9 @@ def encode(docs: DataFrame, path: str, keep: list[str]) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {c: batch.column(c)[i] for c in batch.schema.names}
-                n, place, _ = unpacked(row["units"].as_py(), row["place"].as_py(), row["freq"].as_py(), True)
-                values = row["values"].values if row["values"].is_valid else None
-                require(values, place, row["batch"].as_py())
-                if values is None:
-                    values = pa.array([], pa.list_(pa.int32()))
+                n, place, _ = unpacked(row["units"].as_py(), row["at"].as_py(), row["freq"].as_py(), True)
+                require(row, place)
+                values = row["values"].values if row["values"].is_valid else pa.array([], pa.list_(pa.int32()))
                 at = values.offsets.to_numpy().astype(np.int64)
                 flat = values.values.to_numpy(zero_copy_only=False)
                 size = np.diff(at)
@@ -246,11 +269,10 @@ def encode(docs: DataFrame, path: str, keep: list[str]) -> DataFrame:
                     yield pa.RecordBatch.from_pydict(made)
 
     cut = cutter(path)
-    units = distinct_units(docs, "text", cut, SLICE_BYTES)
-    distinct = units.select("unit").distinct()
-    per_unit = encode_units(distinct, path).unionByName(_encode_long(distinct, path))
-    packed = packed_documents(docs, "text", cut, keep, True, SLICE_BYTES)
-    return meet(packed, values_of(units, per_unit, "ids")).mapInArrow(gather, schema)
+    units, checks = distinct_units(docs, "text", cut)
+    dealt, distinct = by_unit(units, max(spread(docs, 16), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    per_unit = encode_units(distinct, path).unionByName(_encode_long(units.select("unit").where(F.length("unit") > LONG).distinct(), path))
+    return meet(packed_documents(docs, "text", cut, keep, True), dealt, checks, per_unit, "ids").mapInArrow(gather, schema)
 
 
 @functools.lru_cache(maxsize=2)

@@ -20,8 +20,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import tokenizer
-from tidemark.llm.vocabulary import distinct_units, meet, packed_documents, require, unpacked, values_of
+from tidemark.llm.common import spread, tokenizer
+from tidemark.llm.vocabulary import by_unit, distinct_units, meet, packed_documents, require, unpacked
 from tidemark.llm.words import BYTE_KIND, LOWER, Spans, raw
 
 COUNTED = "doc_id long, n_bytes long, n_tokens long"
@@ -59,19 +59,18 @@ def count_tokens(docs: DataFrame, vocabulary: str) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {c: batch.column(c)[i] for c in batch.schema.names}
-                n, place, freq = unpacked(row["units"].as_py(), row["place"].as_py(), row["freq"].as_py(), False)
-                values = row["values"].values if row["values"].is_valid else None
-                require(values, place, row["batch"].as_py())
+                n, place, freq = unpacked(row["units"].as_py(), row["at"].as_py(), row["freq"].as_py(), False)
+                require(row, place)
                 totals = np.zeros(len(n), dtype=np.int64)
                 if len(place):
-                    found = values.to_numpy(zero_copy_only=False).astype(np.int64)
+                    found = row["values"].values.to_numpy(zero_copy_only=False).astype(np.int64)
                     sums = np.concatenate([[0], np.cumsum(found[place] * freq)])
                     ends = np.cumsum(n)
                     totals = sums[ends] - sums[ends - n]
                 yield pa.RecordBatch.from_pydict({"doc_id": row["doc_id"].values.cast(pa.int64()), "n_bytes": row["n_bytes"].values, "n_tokens": pa.array(totals, pa.int64())})
 
     docs = docs.select("doc_id", "text")
-    units = distinct_units(docs, "text", pre_tokens)
-    per_unit = units.select("unit").distinct().mapInArrow(pieces, "unit string, pieces int")
-    values = values_of(units, per_unit, "pieces")
-    return meet(packed_documents(docs, "text", pre_tokens, ["doc_id"], sequence=False), values).mapInArrow(add, COUNTED)
+    units, checks = distinct_units(docs, "text", pre_tokens)
+    dealt, distinct = by_unit(units, max(spread(docs, 16), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    per_unit = distinct.mapInArrow(pieces, "unit string, pieces int")
+    return meet(packed_documents(docs, "text", pre_tokens, ["doc_id"], sequence=False), dealt, checks, per_unit, "pieces").mapInArrow(add, COUNTED)

@@ -1,19 +1,19 @@
 """Work per distinct piece of text instead of per occurrence.
 
 Documents are taken in batches of bounded bytes and cut into units. A batch's distinct units are rows
-(batch, at, unit), so a frequent unit costs one row for each batch, never one for each document; what
+(place, unit), so a frequent unit costs one row for each batch, never one for each document; what
 is computed once per distinct unit comes back to the batches by a join on the unit, and meets the
 documents' own units, kept as packed positions, by a join on the batch.
 
-A batch's name is a digest of its partition, its number and its contents. Both branches make
-the batches from the same scan; should a lost executor ever change how the scan is split, names no
-longer meet and the job fails rather than answering wrongly.
+A place is the batch's number (partition and count in it) and the unit's position. Both branches make
+the batches from the same scan, and each carries a checksum of the batch's units: should a lost executor
+ever change how the scan is split, the checksums differ and the job fails rather than answering wrongly.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -23,91 +23,146 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from tidemark.llm.common import pack, slices, unpack
+from tidemark.llm.common import pack, slices, stored, unpack
 from tidemark.llm.words import Spans
 
 Cutter = Callable[[pa.Array], Spans]
-#: Text of one batch: the arrays over its bytes and units take some thirty times as much.
-SLICE_BYTES = 12 << 20
-
-
-def _batches(batches: Iterator[pa.RecordBatch], column: str, cut: Cutter, limit: int) -> Iterator[tuple[int, pa.Table, Spans, np.ndarray]]:
-    part = TaskContext.get().partitionId()
-    for n, rows in enumerate(slices(batches, column, limit)):
+#: Text of one batch, and of the slices in which it is cut: the arrays over a slice take some thirty times as much.
+BATCH_BYTES, SLICE_BYTES = 32 << 20, 2 << 20
+
+
+@dataclass
+class _Batch:
+    number: int
+    rows: list[pa.Table] = field(default_factory=list)
+    hashes: list[np.ndarray] = field(default_factory=list)
+    counts: list[np.ndarray] = field(default_factory=list)
+    known: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    texts: dict[int, bytes] = field(default_factory=dict)
+    bytes: int = 0
+
+    def add(self, rows: pa.Table, spans: Spans, keep: list[str], with_texts: bool) -> None:
+        h = spans.hashes()
+        self.hashes.append(h)
+        self.counts.append(np.bincount(spans.row, minlength=spans.rows))
+        self.bytes += len(spans.data)
+        if with_texts:
+            distinct, first = np.unique(h, return_index=True)
+            new = ~np.isin(distinct, self.known, assume_unique=True)
+            self.texts.update(zip(distinct[new].tolist(), spans.texts(first[new]), strict=True))
+            self.known = np.concatenate([self.known, distinct[new]])
+        else:
+            size = pc.fill_null(pc.binary_length(rows[rows.column_names[-1]]), 0).cast(pa.int64())
+            self.rows.append(rows.select(keep).append_column("n_bytes", size))
+
+    def ranked(self) -> tuple[np.ndarray, np.ndarray]:
+        """(distinct hashes, their rank): frequent units come first, so that positions pack well."""
+        distinct, n = np.unique(np.concatenate([*self.hashes, np.zeros(0, np.uint64)]), return_counts=True)
+        order = np.argsort(-n, kind="stable")
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[order] = np.arange(len(order))
+        return distinct, rank
+
+
+def _check(distinct: np.ndarray, rank: np.ndarray) -> int:
+    with np.errstate(over="ignore"):
+        return int((distinct * (2 * rank.astype(np.uint64) + np.uint64(1))).sum(dtype=np.uint64).astype(np.int64))
+
+
+def _batches(batches: Iterator[pa.RecordBatch], column: str, cut: Cutter, keep: list[str], with_texts: bool) -> Iterator[_Batch]:
+    number = TaskContext.get().partitionId() << 11
+    batch = _Batch(number)
+    for rows in slices(batches, column, SLICE_BYTES):
         spans = cut(rows[column].combine_chunks())
-        digest = hashlib.blake2b(f"{part} {n}".encode(), digest_size=8)
-        digest.update(np.ascontiguousarray(spans.data))
-        digest.update(np.ascontiguousarray(spans.row))
-        yield int.from_bytes(digest.digest(), "big", signed=True), rows, spans, spans.hashes()
-
-
-def distinct_units(docs: DataFrame, column: str, cut: Cutter, limit: int = SLICE_BYTES) -> DataFrame:
-    """(batch, at, unit): the distinct units of each batch in order of their hashes."""
+        if batch.hashes and batch.bytes + len(spans.data) > BATCH_BYTES:
+            yield batch
+            batch = _Batch(batch.number + 1)
+            if batch.number >> 11 != number >> 11:
+                raise ValueError("too many batches in one partition: read smaller partitions")
+        batch.add(rows, spans, keep, with_texts)
+    if batch.hashes:
+        yield batch
+
+
+def distinct_units(docs: DataFrame, column: str, cut: Cutter) -> tuple[DataFrame, DataFrame]:
+    """((place, unit) for the distinct units of each batch, (batch, check)), written once."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, _, spans, hashes in _batches(batches, column, cut, limit):
-            first = np.unique(hashes, return_index=True)[1]
-            yield pa.RecordBatch.from_pydict({"batch": pa.array([name], pa.int64()), "units": pa.array([[b.decode() for b in spans.texts(first)]], pa.list_(pa.string()))})
+        for batch in _batches(batches, column, cut, [], True):
+            distinct, rank = batch.ranked()
+            order = np.argsort(rank)
+            units = [batch.texts[h].decode() for h in distinct[order].tolist()]
+            yield pa.RecordBatch.from_pydict({"batch": pa.array([batch.number], pa.int64()), "check": pa.array([_check(distinct, rank)], pa.int64()), "units": pa.array([units], pa.list_(pa.string()))})
 
-    return docs.select(column).mapInArrow(make, "batch long, units array<string>").select("batch", F.posexplode("units").alias("at", "unit"))
+    made = stored(docs.select(column).mapInArrow(make, "batch long, check long, units array<string>"), "units")
+    rows = made.select("batch", F.posexplode("units").alias("at", "unit"))
+    rows = rows.where("unit is not null")  # none is; said here, so that Spark adds it to neither use of the rows and can share their exchange
+    return rows.select((F.shiftleft("batch", 31) + F.col("at")).alias("place"), "unit"), made.select("batch", "check")
 
 
-def packed_documents(docs: DataFrame, column: str, cut: Cutter, keep: list[str], sequence: bool, limit: int = SLICE_BYTES) -> DataFrame:
+def packed_documents(docs: DataFrame, column: str, cut: Cutter, keep: list[str], sequence: bool) -> DataFrame:
     """A row per batch: the kept columns as arrays, each document's units packed.
 
     sequence: every occurrence in order; otherwise distinct positions and, in ``freq``, how often.
     """
     fields = [StructField(c, ArrayType(docs.schema[c].dataType)) for c in keep]
-    schema = StructType([StructField("batch", LongType()), *fields, StructField("n_bytes", ArrayType(LongType())),
-                         *[StructField(c, BinaryType()) for c in ("units", "place", "freq")]])
+    schema = StructType([StructField("batch", LongType()), StructField("own_check", LongType()), *fields, StructField("n_bytes", ArrayType(LongType())),
+                         *[StructField(c, BinaryType()) for c in ("units", "at", "freq")]])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, rows, spans, hashes in _batches(batches, column, cut, limit):
-            distinct, place = np.unique(hashes, return_inverse=True)
-            if sequence:
-                units, freq = np.bincount(spans.row, minlength=spans.rows), np.zeros(0, np.uint32)
-            else:
-                width = max(len(distinct), 1)
-                both, freq = np.unique(spans.row * width + place, return_counts=True)
-                row, place = both // width, both % width
-                units = np.bincount(row, minlength=spans.rows)
-                same = np.concatenate([[False], row[1:] == row[:-1]])[:len(row)]
-                place = np.where(same, np.diff(place, prepend=0), place)  # small steps pack well
-            size = pc.fill_null(pc.binary_length(rows[column]), 0).cast(pa.int64())
-            made = {"batch": pa.array([name], pa.int64())}
-            for c in [*keep, None]:
-                values = (size if c is None else rows[c]).combine_chunks()
-                made[c or "n_bytes"] = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-            for c, x in (("units", units), ("place", place), ("freq", freq)):
-                made[c] = pa.array([pack(x.astype(np.uint32))], pa.binary())
+        for batch in _batches(batches, column, cut, keep, False):
+            distinct, rank = batch.ranked()
+            units, place, freq = [], [], [np.zeros(0, np.int64)]
+            for h, n in zip(batch.hashes, batch.counts, strict=True):
+                at = rank[np.searchsorted(distinct, h)]
+                if not sequence:
+                    width = max(len(distinct), 1)
+                    both, f = np.unique(np.repeat(np.arange(len(n)), n) * width + at, return_counts=True)
+                    row, at = both // width, both % width
+                    n = np.bincount(row, minlength=len(n))
+                    same = np.concatenate([[False], row[1:] == row[:-1]])[:len(row)]
+                    at = np.where(same, np.diff(at, prepend=0), at)  # small steps pack well
+                    freq.append(f)
+                units.append(n)
+                place.append(at.astype(np.uint32))
+            rows = pa.concat_tables(batch.rows)
+            made = {"batch": pa.array([batch.number], pa.int64()), "own_check": pa.array([_check(distinct, rank)], pa.int64())}
+            for c in [*keep, "n_bytes"]:
+                values = rows[c].combine_chunks()
+                made[c] = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+            for c, x in (("units", units), ("at", place), ("freq", freq)):
+                made[c] = pa.array([pack(np.concatenate(x).astype(np.uint32))], pa.binary())
             yield pa.RecordBatch.from_pydict(made)
 
-    columns = list(dict.fromkeys([*keep, column]))
-    return docs.select(*columns).mapInArrow(make, schema)
+    return docs.select(*[c for c in keep if c != column], column).mapInArrow(make, schema)
 
 
-def unpacked(units: bytes, place: bytes, freq: bytes, sequence: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def unpacked(units: bytes, at: bytes, freq: bytes, sequence: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(units of each document, positions, frequencies) as packed_documents made them."""
-    n, at, f = unpack(units, np.uint32).astype(np.int64), unpack(place, np.uint32).astype(np.int64), unpack(freq, np.uint32).astype(np.int64)
+    n, at, f = unpack(units, np.uint32).astype(np.int64), unpack(at, np.uint32), unpack(freq, np.uint32)
     if not sequence and len(at):
-        total = np.cumsum(at)
+        total = np.cumsum(at, dtype=np.int64)
         begin = (np.cumsum(n) - n)[n > 0]
         at = total - np.repeat(total[begin] - at[begin], n[n > 0])
     return n, at, f
 
 
-def values_of(units: DataFrame, per_unit: DataFrame, value: str) -> DataFrame:
-    """(batch, found, values): the value of each unit of the batch, in order; a batch's units are bounded."""
-    met = units.join(per_unit, "unit")
-    sorted_ = F.array_sort(F.collect_list(F.struct("at", value)))
-    return met.groupBy("batch").agg(sorted_.alias("pairs")).select("batch", F.transform("pairs", lambda p: p[value]).alias("values"))
+def by_unit(units: DataFrame, partitions: int) -> tuple[DataFrame, DataFrame]:
+    """(units dealt by unit, the distinct ones of them): one exchange serves both."""
+    dealt = units.repartition(partitions, "unit")
+    return dealt, dealt.groupBy("unit").agg(F.max("place").alias("place")).where("place is not null").select("unit")
 
 
-def meet(documents: DataFrame, values: DataFrame) -> DataFrame:
-    """documents with their batch's values; a batch without any is an error unless it has no units."""
-    return documents.join(values, "batch", "left")
+def meet(documents: DataFrame, dealt: DataFrame, checks: DataFrame, per_unit: DataFrame, value: str) -> DataFrame:
+    """documents with ``check`` and ``values``: the value of each unit of the batch in order; a batch's units are bounded."""
+    met = dealt.join(per_unit, "unit").select(F.shiftright("place", 31).alias("batch"), F.col("place").bitwiseAND(2**31 - 1).cast("int").alias("at"), value)
+    values = met.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("at", value))).alias("pairs"))
+    values = values.select(F.col("batch").alias("_batch"), F.transform("pairs", lambda p: p[value]).alias("values"))
+    known = checks.join(values, F.col("batch").eqNullSafe(F.col("_batch")), "left").drop("_batch")
+    return documents.join(known, "batch", "left")
 
 
-def require(values, place: np.ndarray, batch: int) -> None:
-    have = 0 if values is None else len(values)
-    if len(place) and int(place.max()) >= have:
-        raise RuntimeError(f"batch {batch} has no values for its units: its scan was split differently; run the job again")
+def require(row: dict[str, pa.Scalar], at: np.ndarray) -> None:
+    """Fails unless both branches saw the same batch."""
+    have = len(row["values"].values) if row["values"].is_valid else 0
+    if row["check"].as_py() != row["own_check"].as_py() or len(at) and int(at.max()) >= have:
+        raise RuntimeError(f"batch {row['batch']}: its scan was split differently the second time; run the job again")
