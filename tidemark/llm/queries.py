@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import jaccard, mixing, pieces, quality, surrogates, token_counts, token_files, warc
+from tidemark.llm import hilbert, jaccard, mixing, pieces, quality, subspace, surrogates, token_counts, token_files, warc
 from tidemark.llm.common import table
 from tidemark.llm.registry import query
 
@@ -64,6 +64,11 @@ def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.replace(docs, SURROGATE_KEY).select("doc_id", F.col("_entities").cast("long").alias("n_entities"), "text")
 
 
+@query("op7_subspace")
+def op7_subspace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subspace.dedup(table(spark, sf_dir, "embeddings"))
+
+
 @query("op8_token_files")
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), vocabulary_size=50257, end_id=0)
@@ -79,3 +84,8 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = pieces.decode(pieces.encode(docs, path, keep), path, keep)
     return back.select("doc_id", "n_ids", "ids_crc32", F.octet_length("text").cast("long").alias("decoded_bytes"),
                        F.crc32("text").alias("decoded_crc32"), (F.crc32("text") == F.col("text_crc32")).alias("round_trip"))
+
+
+@query("op10_hilbert")
+def op10_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.search(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(50)) == 0)

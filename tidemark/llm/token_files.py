@@ -151,7 +151,7 @@ def write_ids(docs: DataFrame, vocabulary: str, vocabulary_size: int, end_id: in
                                               "documents": pa.array([documents], pa.int64()), "tokens": pa.array([tokens], pa.int64()), "width": pa.array([width], pa.int32())})
 
     rows = docs.select("doc_id", "text")
-    ordered = rows.repartitionByRange(max(spread(rows), docs.sparkSession.sparkContext.defaultParallelism), F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
+    ordered = rows.repartitionByRange(max(spread(rows, 32), docs.sparkSession.sparkContext.defaultParallelism), F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
     ordered = ordered.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
     path = scratch_path(docs.sparkSession, "manifest")
     ordered.mapInArrow(write, MANIFEST).write.parquet(path)  # writing is an action: the manifest is what it leaves
