@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import cut, scratch_path, shared_root
 
-__all__ = ["cut", "mark_hot", "open_shared", "pack", "scratch_path", "shared_root", "slices", "split_join", "spread", "stored", "table", "tokenizer", "unpack"]
+__all__ = ["cut", "discard", "mark_hot", "open_shared", "pack", "scratch_path", "shared_root", "slices", "split_join", "spread", "stored", "table", "tokenizer", "unpack"]
 
 #: Rows of one Arrow batch; slices() then cuts or joins batches by bytes.
 BATCH_ROWS = 1000
@@ -33,7 +33,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """df as a Parquet table in the shared folder: computed once, read by several branches."""
     path = scratch_path(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    kept.scratch = path
+    return kept
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of stored() that nothing reads any more."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.scratch)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def spread(df: DataFrame, mb: int = 64, least: int = 1) -> int:

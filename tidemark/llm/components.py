@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import discard, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -29,11 +29,15 @@ def components(edges: DataFrame) -> DataFrame:
         left = step.select(F.col("node").alias("a"), F.col("root").alias("ra"))
         right = step.select(F.col("node").alias("b"), F.col("root").alias("rb"))
         moved = e.join(left, "a").join(right, "b").where("ra <> rb")
-        e = stored(moved.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct(), "edges")
+        fewer = stored(moved.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct(), "edges")
+        discard(e)
+        e = fewer
     if not steps:
         return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
     found = steps[-1]
     for step in reversed(steps[:-1]):
         later = found.select(F.col("node").alias("root"), F.col("root").alias("_last"))
         found = step.join(later, "root", "left").select("node", F.coalesce("_last", "root").alias("root"))
-    return stored(found, "components")
+    found = stored(found, "components")
+    discard(e, *steps)
+    return found

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import mark_hot, pack, scratch_path, slices, split_join, spread, stored, unpack
+from tidemark.llm.common import discard, mark_hot, pack, scratch_path, slices, split_join, spread, stored, unpack
 from tidemark.llm.components import components
 from tidemark.llm.words import mix, shingles
 
@@ -148,7 +148,7 @@ class Sets:
 
     def __init__(self, docs: DataFrame, nodes: DataFrame, size: int, mb: int = 64):
         spark = docs.sparkSession
-        self.name = f"sets_{uuid.uuid4().hex}"
+        self.name, self.path = f"sets_{uuid.uuid4().hex}", scratch_path(spark, "sets")
         buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spread(docs, mb))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,11 +168,13 @@ class Sets:
         some = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("text")
         sets = some.mapInArrow(run, "key long, n long, hashes array<long>, tokens binary").repartition(buckets, "key").dropDuplicates(["key"])
         sets = sets.join(nodes.select("key"), "key", "left_semi")
-        sets.write.format("parquet").bucketBy(buckets, "key").sortBy("key").option("compression", "zstd").option("path", scratch_path(spark, "sets")).saveAsTable(self.name)
+        sets.write.format("parquet").bucketBy(buckets, "key").sortBy("key").option("compression", "zstd").option("path", self.path).saveAsTable(self.name)
         self.table = spark.table(self.name)
+        self.table.scratch = self.path
 
     def drop(self) -> None:
         self.table.sparkSession.sql(f"DROP TABLE {self.name}")
+        discard(self.table)
 
 
 def _least(s: np.ndarray, at: np.ndarray, rows: np.ndarray, salt: int) -> np.ndarray:
@@ -274,7 +276,7 @@ def frequent_tokens(sets: DataFrame, total: int, buckets: int) -> tuple[np.ndarr
 
 
 def candidates(sets: DataFrame, found: DataFrame, percent: int, frequent) -> DataFrame:
-    """Pairs (a, b) of different components that share a prefix token under the second order."""
+    """Pairs (a, b) of different components that share a prefix token under the second order; written."""
     spark = sets.sparkSession
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -323,7 +325,9 @@ def candidates(sets: DataFrame, found: DataFrame, percent: int, frequent) -> Dat
         return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
 
     grouped = lists.withColumn("_group", F.pmod(F.xxhash64("token", "lo", "hi"), F.lit(groups)))
-    return grouped.groupBy("_group").applyInArrow(pair, "a long, b long").distinct()
+    pairs = stored(grouped.groupBy("_group").applyInArrow(pair, "a long, b long").distinct(), "pairs")
+    discard(lists)
+    return pairs
 
 
 def linked(docs: DataFrame, size: int = 5, percent: int = 75) -> tuple[DataFrame, DataFrame]:
@@ -339,14 +343,15 @@ def linked(docs: DataFrame, size: int = 5, percent: int = 75) -> tuple[DataFrame
     sets = Sets(docs, nodes, size)
     links = stored(verified(stars(sets.table, [0], count), sets.table, percent), "links")
     found = components(links)
-    more = apart(stars(sets.table, list(range(1, HASHES)), count), found)
-    links = links.unionByName(stored(verified(more, sets.table, percent), "links"))
-    found = components(links)
+    more = stored(verified(apart(stars(sets.table, list(range(1, HASHES)), count), found), sets.table, percent), "links")
+    found = components(links.unionByName(more))
     frequent = spark.sparkContext.broadcast(frequent_tokens(sets.table, total, buckets))
-    last = verified(candidates(sets.table, found, percent, frequent), sets.table, percent, frequent)
-    found = components(links.unionByName(stored(last, "links")))
+    pairs = candidates(sets.table, found, percent, frequent)
+    last = stored(verified(pairs, sets.table, percent, frequent), "links")
+    every = components(links.unionByName(more).unionByName(last))
     sets.drop()
-    return named, found
+    discard(nodes, found, links, more, pairs, last)
+    return named, every
 
 
 def join(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
@@ -360,3 +365,14 @@ def join(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     some = split_join(named.where("n > 0"), stored(mark_hot(per_key, "rows"), "per-key"), ["key"])
     none = named.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return some.select("doc_id", "n", "component_id").unionByName(none).withColumnRenamed("n", "n_shingles")
+
+
+def first_of_each(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
+    """docs without all but one document of each component: that with its smallest id, of equal rows one."""
+    found = join(docs, size, percent).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = stored(found.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("rows")), "kept")
+
+    def of(ids: DataFrame) -> DataFrame:
+        return docs.join(ids.select("_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+
+    return of(kept.where("rows = 1")).unionByName(of(kept.where("rows > 1")).dropDuplicates(["doc_id", "text"]))

@@ -169,6 +169,41 @@ class Mix:
         self.documents = stored(laid_out(sized, sized.count()), "placed")
         self.spans = spans(self.documents, slots(self.sources, block_words, shard_slots, seed), block_words)
 
+    def rows(self, docs: DataFrame) -> DataFrame:
+        """The mix as rows of docs, with _pass: of each document the words that the mix takes in a pass.
+
+        Words next to each other keep the white space between them; a line end stands where words are left out.
+        """
+        columns = list(docs.columns)
+        same = Window.partitionBy("doc_id", "_tie")
+        number = F.row_number().over(same.orderBy(F.lit(0)))
+        pieces = self.spans.groupBy("source", "start", "pass").agg(F.array_sort(F.collect_list(F.struct("first_word", "n_words"))).alias("_words"))
+        pieces = pieces.select(F.col("source").alias("_source"), F.col("start").alias("_start"), F.col("pass").alias("_pass"), "_words")
+        placed = self.documents.where("size > 0").withColumn("_copy", F.row_number().over(same.orderBy("start"))).select("doc_id", "_tie", "_copy", "source", "start")
+        placed = placed.join(pieces, F.col("source").eqNullSafe(F.col("_source")) & (F.col("start") == F.col("_start")))
+        placed = placed.select(F.col("doc_id").alias("_id"), F.col("_tie").alias("_t"), F.col("_copy").alias("_c"), "_pass", "_words")
+        own = docs.withColumn("_tie", F.xxhash64("text")).withColumn("_copy", number)
+        met = own.join(placed, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_tie") == F.col("_t")) & (F.col("_copy") == F.col("_c")))
+        met = met.select(*docs.columns, "_pass", "_words")
+
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = words(batch.column("text"))
+                at, data = found.per_row(), found.data.tobytes()
+                texts = []
+                for i, pieces in enumerate(batch.column("_words").to_pylist()):
+                    runs: list[list[int]] = []
+                    for p in pieces:
+                        if runs and runs[-1][1] == p["first_word"]:
+                            runs[-1][1] += p["n_words"]
+                        else:
+                            runs.append([p["first_word"], p["first_word"] + p["n_words"]])
+                    texts.append(b"\n".join(data[found.start[at[i] + a]:found.end[at[i] + b - 1]] for a, b in runs).decode())
+                made = {c: batch.column(c) for c in [*columns, "_pass"]} | {"text": pa.array(texts, pa.string())}
+                yield pa.RecordBatch.from_pydict(made)
+
+        return met.mapInArrow(cut, StructType([*docs.schema.fields, StructField("_pass", LongType())]))
+
     def taken(self) -> DataFrame:
         """documents with source_size, target and taken: the words the mix takes, repeats counted."""
         per = self.spans.groupBy("source", "start").agg(F.sum("n_words").alias("taken"))
