@@ -10,12 +10,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import cut, scratch_path, shared_root
 
-__all__ = ["cut", "discard", "mark_hot", "open_shared", "pack", "scratch_path", "shared_root", "slices", "split_join", "spread", "stored", "table", "tokenizer", "unpack"]
+__all__ = ["aside", "cut", "discard", "mark_hot", "open_shared", "pack", "put_back", "scratch_path", "shared_root", "slices", "split_join", "spread", "stored", "table", "tokenizer", "unpack"]
 
 #: Rows of one Arrow batch; slices() then cuts or joins batches by bytes.
 BATCH_ROWS = 1000
@@ -92,6 +92,17 @@ def unpack(data: bytes, dtype) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(dtype).reshape(-1)
 
 
+def aside(df: DataFrame, *own: str) -> Column:
+    """All columns of df but own as one struct column _row, so that no name of theirs meets an operator's own."""
+    rest = [c for c in df.columns if c not in own]
+    return F.struct(*[df[f"`{c}`"] for c in rest] or [F.lit(None).alias("none")]).alias("_row")
+
+
+def put_back(columns: list[str], *own: str) -> list[Column]:
+    """The columns of a frame that went through aside(), in their order."""
+    return [F.col(c) if c in own else F.col(f"_row.`{c}`").alias(c) for c in columns]
+
+
 def mark_hot(keyed: DataFrame, count: str) -> DataFrame:
     """keyed, one row per key with the key's rows in count, with the flag _hot: over HOT_SHARE of all rows.
 

@@ -10,7 +10,8 @@ tokens, a prefix being the first n - ceil(t n) + 1 tokens. The join goes by thes
    components so found only serve to skip pairs whose ends are connected already, so large groups of near
    copies never become pairs.
 4. Second order (frequent tokens last): nodes of different components that share a prefix token are
-   candidates. Very common passages stand at the end of this order and make no candidates.
+   candidates, if what stands behind it in both suffices for the overlap needed. Very common passages stand
+   at the end of this order and make no candidates.
 5. Candidates whose prefixes also meet under the third and fourth order are verified on the whole sets.
 
 Tokens are 64-bit hashes of shingles. A token that many share is reduced to two postings in each
@@ -24,6 +25,7 @@ smallest id that isn't null; an empty table gives no rows; other columns are ign
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Iterator
 
@@ -40,7 +42,9 @@ SLICE_BYTES = 4 << 20
 #: The longer prefix of step 2: one more token for each so many of the set.
 EXTRA = 10
 #: Smallest hashes kept of each set (step 3).
-HASHES = 4
+HASHES = 8
+#: The rounds of step 3, each by some of the hashes; what one connects, the next leaves out.
+ROUNDS = ((0,), (1, 2, 3), (4, 5, 6, 7))
 #: Tokens in more sets than this, and than a millionth of all, count as frequent: a million of them at most.
 FREQUENT = 16
 FREQUENT_AT_MOST = 1_000_000
@@ -198,16 +202,22 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int, frequent=None) ->
     """The pairs (a, b) whose sets are similar; with frequent, those only that also pass the later orders."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         orders = frequent.value if frequent is not None else None
+
+        @functools.lru_cache(maxsize=2000)
+        def prefixes(tokens: bytes) -> tuple[np.ndarray, ...]:
+            t = np.frombuffer(tokens, dtype=np.uint64)
+            return tuple(np.sort(_prefix(t, len(t), percent, o, orders)) for o in (3, 4))
+
         for batch in batches:
             keep = np.zeros(batch.num_rows, dtype=bool)
-            for i, (x, y) in enumerate(zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist(), strict=True)):
-                x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-                if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+            for i, (a, b) in enumerate(zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist(), strict=True)):
+                small, large = sorted((len(a), len(b)))
+                if 100 * small < percent * large:
                     continue
-                if orders is not None and not all(np.intersect1d(_prefix(x, len(x), percent, o, orders), _prefix(y, len(y), percent, o, orders), assume_unique=True).size for o in (3, 4)):
+                if orders is not None and not all(_common(p, q) for p, q in zip(prefixes(a), prefixes(b), strict=True)):
                     continue
-                both = _common(x, y)
-                keep[i] = 100 * both >= percent * (len(x) + len(y) - both)
+                both = _common(np.frombuffer(a, dtype=np.uint64), np.frombuffer(b, dtype=np.uint64))
+                keep[i] = 100 * both >= percent * ((small + large) // 8 - both)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
 
     left = sets.select(F.col("key").alias("a"), F.col("tokens").alias("ta"))
@@ -229,11 +239,12 @@ def stars(sets: DataFrame, which: list[int], nodes: int) -> DataFrame:
     """Pairs (a, b) of nodes with an equal smallest hash: each with the first of its part, those with the first of all."""
     parts = max(1, nodes // TILE)
     rows = sets.select("key", F.posexplode("hashes").alias("k", "h")).where(F.col("k").isin(which)).withColumn("part", F.pmod(F.xxhash64("key"), F.lit(parts)))
-    first = rows.groupBy("k", "h", "part").agg(F.min("key").alias("b"))
-    top = first.groupBy("k", "h").agg(F.min("b").alias("top"))
-    inner = rows.join(first, ["k", "h", "part"]).select(F.col("key").alias("a"), "b")
-    outer = first.join(top, ["k", "h"]).select(F.col("b").alias("a"), F.col("top").alias("b"))
-    return inner.unionByName(outer).where("a <> b").distinct()
+    # another order for each hash: what isn't like one centre may be like the next
+    first = rows.groupBy("k", "h", "part").agg(F.min(F.struct(F.xxhash64("k", "key").alias("o"), F.col("key").alias("b"))).alias("first"))
+    top = first.groupBy("k", "h").agg(F.min("first").alias("top"))
+    inner = rows.join(first, ["k", "h", "part"]).select(F.col("key").alias("a"), F.col("first.b").alias("b"))
+    outer = first.join(top, ["k", "h"]).select(F.col("first.b").alias("a"), F.col("top.b").alias("b"))
+    return inner.unionByName(outer).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
@@ -275,8 +286,11 @@ def frequent_tokens(sets: DataFrame, total: int, buckets: int) -> tuple[np.ndarr
     return token[order], n[order]
 
 
-def candidates(sets: DataFrame, found: DataFrame, percent: int, frequent) -> DataFrame:
-    """Pairs (a, b) of different components that share a prefix token under the second order; written."""
+def candidates(sets: DataFrame, found: DataFrame, percent: int, frequent, all_members: bool) -> DataFrame:
+    """Pairs (a, b) of different components that share a prefix token under the second order; written.
+
+    Without all_members, each token's list has one node of each component, another one for each token.
+    """
     spark = sets.sparkSession
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,24 +298,28 @@ def candidates(sets: DataFrame, found: DataFrame, percent: int, frequent) -> Dat
         for batch in batches:
             out = [_prefix(np.frombuffer(t, dtype=np.uint64), n, percent, 2, orders) for t, n in zip(batch.column("tokens").to_pylist(), batch.column("n").to_pylist(), strict=True)]
             size = np.array([len(x) for x in out], dtype=np.int64)
-            made = {"token": pa.array(np.concatenate([*out, np.zeros(0, np.uint64)]).view(np.int64), pa.int64())}
+            spot = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            made = {"token": pa.array(np.concatenate([*out, np.zeros(0, np.uint64)]).view(np.int64), pa.int64()), "spot": pa.array(spot, pa.int64())}
             for c in ("key", "root", "n"):
                 made[c] = pa.array(np.repeat(batch.column(c).to_numpy(), size), pa.int64())
             yield pa.RecordBatch.from_pydict(made)
 
     roots = found.select(F.col("node").alias("key"), F.col("root").alias("_root"))
     rows = sets.join(roots, "key", "left").select("key", "n", "tokens", F.coalesce("_root", "key").alias("root"))
-    posted = rows.mapInArrow(post, "token long, key long, root long, n long")
+    posted = rows.mapInArrow(post, "token long, spot long, key long, root long, n long")
     per = posted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("rows")).where("low <> high").select("token", "rows")
     lists = posted.join(per, "token")
+    if not all_members:
+        pick = F.min(F.struct(F.xxhash64("token", "key").alias("o"), "key", "spot", "n", "rows"))
+        lists = lists.groupBy("token", "root").agg(pick.alias("one")).select("token", "root", "one.key", "one.spot", "one.n", "one.rows")
     tiles = F.ceil(F.col("rows") / TILE)
     lists = lists.withColumn("mine", F.pmod(F.xxhash64("key"), tiles)).withColumn("its", F.explode(F.sequence(F.lit(0).cast("long"), tiles - 1)))
-    lists = lists.select("token", "key", "root", "n", "mine", F.least("mine", "its").alias("lo"), F.greatest("mine", "its").alias("hi"))
+    lists = lists.select("token", "spot", "key", "root", "n", "mine", F.least("mine", "its").alias("lo"), F.greatest("mine", "its").alias("hi"))
     lists = stored(lists, "lists")
     groups = max(int(spark.conf.get("spark.sql.shuffle.partitions")), lists.count() // 100_000 + 1)
 
     def pair(group: pa.Table) -> pa.Table:
-        c = {k: group[k].to_numpy() for k in ("token", "key", "root", "n", "mine", "lo", "hi")}
+        c = {k: group[k].to_numpy() for k in ("token", "spot", "key", "root", "n", "mine", "lo", "hi")}
         order = np.lexsort((c["root"], c["hi"], c["lo"], c["token"]))
         c = {k: v[order] for k, v in c.items()}
         tile = np.stack([c["token"], c["lo"], c["hi"]])
@@ -309,12 +327,14 @@ def candidates(sets: DataFrame, found: DataFrame, percent: int, frequent) -> Dat
         left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for lo, hi in zip(begin.tolist(), [*begin[1:].tolist(), len(order)], strict=True):
             root, n, mine = c["root"][lo:hi], c["n"][lo:hi], c["mine"][lo:hi]
+            rest = n - c["spot"][lo:hi]  # from the token on
             if root[0] == root[-1]:
                 continue
             edge = np.searchsorted(root, root, side="right")  # partners stand behind the row's own component
             for i in np.flatnonzero(edge < hi - lo).tolist():
                 j = np.arange(edge[i], hi - lo)
-                fits = 100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i])
+                # if the token is the first that the two share, they share no more than what stands behind it
+                fits = (100 + percent) * np.minimum(rest[j], rest[i]) >= percent * (n[j] + n[i])
                 if c["lo"][lo] != c["hi"][lo]:
                     fits &= mine[j] != mine[i]
                 j = j[fits] + lo
@@ -341,17 +361,25 @@ def linked(docs: DataFrame, size: int = 5, percent: int = 75) -> tuple[DataFrame
     nodes = stored(per_key.join(shared_counts(docs, size, percent, buckets), "key").where(F.col("shared") >= need).select("key", "n", "doc_id"), "nodes")
     count, total = nodes.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     sets = Sets(docs, nodes, size)
-    links = stored(verified(stars(sets.table, [0], count), sets.table, percent), "links")
+    links = stored(nodes.select(F.col("key").alias("a"), F.col("key").alias("b")).limit(0), "links")
     found = components(links)
-    more = stored(verified(apart(stars(sets.table, list(range(1, HASHES)), count), found), sets.table, percent), "links")
-    found = components(links.unionByName(more))
+    for which in ROUNDS:
+        near = stars(sets.table, list(which), count)
+        new = stored(verified(near if which == ROUNDS[0] else apart(near, found), sets.table, percent), "links")
+        grown, more = stored(links.unionByName(new), "links"), components(links.unionByName(new))
+        discard(links, new, found)
+        links, found = grown, more
     frequent = spark.sparkContext.broadcast(frequent_tokens(sets.table, total, buckets))
-    pairs = candidates(sets.table, found, percent, frequent)
-    last = stored(verified(pairs, sets.table, percent, frequent), "links")
-    every = components(links.unionByName(more).unionByName(last))
+    # a node that is like many of a component is first held against a few of them
+    for all_members in (False, True):
+        pairs = candidates(sets.table, found, percent, frequent, all_members)
+        new = stored(verified(pairs, sets.table, percent, frequent), "links")
+        grown, more = stored(links.unionByName(new), "links"), components(links.unionByName(new))
+        discard(links, new, found, pairs)
+        links, found = grown, more
     sets.drop()
-    discard(nodes, found, links, more, pairs, last)
-    return named, every
+    discard(nodes, links)
+    return named, found
 
 
 def join(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:

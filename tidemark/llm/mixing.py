@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.llm.common import mark_hot, slices, split_join, stored
+from tidemark.llm.common import aside, mark_hot, put_back, slices, split_join, stored
 from tidemark.llm.words import mix as mixed_bits
 from tidemark.llm.words import words
 
@@ -182,9 +182,9 @@ class Mix:
         placed = self.documents.where("size > 0").withColumn("_copy", F.row_number().over(same.orderBy("start"))).select("doc_id", "_tie", "_copy", "source", "start")
         placed = placed.join(pieces, F.col("source").eqNullSafe(F.col("_source")) & (F.col("start") == F.col("_start")))
         placed = placed.select(F.col("doc_id").alias("_id"), F.col("_tie").alias("_t"), F.col("_copy").alias("_c"), "_pass", "_words")
-        own = docs.withColumn("_tie", F.xxhash64("text")).withColumn("_copy", number)
+        own = docs.select("doc_id", "text", aside(docs, "doc_id", "text")).withColumn("_tie", F.xxhash64("text")).withColumn("_copy", number)
         met = own.join(placed, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_tie") == F.col("_t")) & (F.col("_copy") == F.col("_c")))
-        met = met.select(*docs.columns, "_pass", "_words")
+        met = met.select(*put_back(columns, "doc_id", "text"), "_pass", "_words")
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:

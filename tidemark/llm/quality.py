@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tidemark.llm.common import mark_hot, slices, split_join, stored
+from tidemark.llm.common import aside, mark_hot, put_back, slices, split_join, stored
 from tidemark.llm.words import raw, words
 
 #: The bound of the sample that the model is fitted on.
@@ -158,11 +158,12 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column, path: Column, thr
     sites = sites.select(F.col("host").alias("_host"), F.col("path").alias("_path"), "n", "good", "host_posterior", "path_strength", "global_share")
     sites = sites.select("_host", "_path", *[F.col(c).alias(f"_{c}") for c in ("n", "good", "host_posterior", "path_strength", "global_share")])
     sites = stored(mark_hot(sites, "_n"), "sites")  # written, so that Spark knows its size
-    scored = with_evidence(docs.withColumn("_host", host).withColumn("_path", path), model, "_evidence")
+    columns = docs.columns
+    scored = with_evidence(docs.select("text", host.alias("_host"), path.alias("_path"), aside(docs, "text")), model, "_evidence")
     met = split_join(scored, sites, ["_host", "_path"])
     own = 1 / (1 + F.exp(-F.col("_evidence")))
     others = (F.col("_path_strength") * F.col("_host_posterior") + F.col("_good") - own) / (F.col("_path_strength") + F.col("_n") - 1)
     met = met.withColumn("_path_posterior", F.least(F.greatest(others, F.lit(1e-6)), F.lit(1 - 1e-6)))
     odds = F.col("_evidence") + _odds(F.col("_path_posterior")) - _odds(F.col("_global_share"))
     met = met.withColumn("_posterior", 1 / (1 + F.exp(-odds))).withColumn("_keep", F.col("_posterior") >= threshold)
-    return met.drop("_host", "_path", "_n", "_good", "_path_strength", "_global_share")
+    return met.select(*put_back(columns, "text"), "_evidence", "_host_posterior", "_path_posterior", "_posterior", "_keep")

@@ -22,7 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import mark_hot, split_join, stored
+from tidemark.llm.common import aside, mark_hot, put_back, split_join, stored
 
 TITLES = {"m": ("Mr", "Herr", "Señor", "Monsieur", "Господин", "Κύριος"), "f": ("Mrs", "Ms", "Miss", "Frau", "Señora", "Madame", "Mme", "Госпожа", "Κυρία")}
 _TITLE = "|".join(sorted((t for ts in TITLES.values() for t in ts), key=len, reverse=True))
@@ -177,6 +177,8 @@ def assign(forms: DataFrame, key: str, draw: Callable[[Column, Column, str, int]
 
 def replace(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """docs with entities of the text column replaced, and _entities: how many."""
+    columns = docs.columns
+    docs = docs.select(F.col(text), aside(docs, text))
     flagged = docs.withColumn("_found", F.when(F.col(text).rlike(TRIGGER), entities(F.col(text))))
     has = F.coalesce(F.size("_found"), F.lit(0)) > 0
     keyed = docs.where(F.col(text).rlike(TRIGGER)).select(F.sha2(text, 256).alias("_text"), entities(F.col(text)).alias("_found")).where(F.size("_found") > 0)
@@ -196,4 +198,4 @@ def replace(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     parts = F.zip_with(F.split(F.col(text), PATTERN, -1), F.col("_new"), lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
     some = some.withColumn(text, F.array_join(parts, "")).withColumn("_entities", F.size("_new"))
     none = flagged.where(~has).withColumn("_entities", F.lit(0))
-    return some.select(*docs.columns, "_entities").unionByName(none.select(*docs.columns, "_entities"))
+    return some.unionByName(none, allowMissingColumns=True).select(*put_back(columns, text), "_entities")
