@@ -39,6 +39,8 @@ NORMAL, UNKNOWN, BYTE = 1, 2, 6
 UNIGRAM, BPE = 1, 2
 
 LONG = 128
+#: Code points whose own pieces are looked up in a list.
+SINGLES = 0x250
 
 
 @dataclass(frozen=True)
@@ -135,15 +137,18 @@ def piece_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame([*rows, ("", 0, 0.0, 0)], "piece string, id int, score double, rank int")
 
 
-def lattice(units: DataFrame, pieces: DataFrame, longest: int, edge: Column) -> DataFrame:
+def lattice(units: DataFrame, pieces: DataFrame, longest: int, edge: Column, singles: bool = False) -> DataFrame:
     """(unit, edges): an edge for each place in a distinct unit where a piece stands.
 
-    edge says what an edge holds, from the columns at (begin * 256 + length), id, score and rank.
+    edge says what an edge holds, from the columns at (begin * 256 + length), id, score and rank. With
+    singles, characters below SINGLES have no edges of their own.
     """
     n = F.length("unit")
     begins = units.select("unit", n.alias("n"), F.explode(F.sequence(F.lit(0), n - 1)).alias("begin"))
-    least = F.when(F.col("begin") == 0, F.lit(0)).otherwise(F.lit(1))
-    parts = begins.select("unit", "begin", F.explode(F.sequence(least, F.least(F.lit(longest), F.col("n") - F.col("begin")))).alias("length"))
+    # the ids of single characters below SINGLES come from a list, they need no edge
+    least = F.when(F.lit(singles) & (F.ascii(F.expr("substring(unit, begin + 1, 1)")) < SINGLES), F.lit(2)).otherwise(F.lit(1))
+    lengths = F.filter(F.sequence(F.lit(0), F.least(F.lit(longest), F.col("n") - F.col("begin"))), lambda k: (k >= least) | (k + F.col("begin") == 0))
+    parts = begins.select("unit", "begin", F.explode(lengths).alias("length"))
     parts = parts.select("unit", (F.col("begin") * 256 + F.col("length")).alias("at"), F.expr("substring(unit, begin + 1, length)").alias("piece"))
     edges = parts.join(F.broadcast(pieces), "piece")  # the model's table, fixed in size
     return edges.groupBy("unit").agg(F.collect_list(edge).alias("edges"))
@@ -197,6 +202,9 @@ def best_path(n: Column, index: Column, unknown: float, longest: int) -> Column:
 
 def _ids(unit: Column, cuts: Column, found: Callable[[Column], Column], m: Model) -> Column:
     """Ids of the segments between cuts; segments without a piece are single characters."""
+    own = {p: i for p, i, _ in m.pieces if len(p) == 1}
+    single = F.lit([own.get(chr(c)) for c in range(SINGLES)]).cast("array<int>")
+
     def segment(i: Column) -> Column:
         a, b = F.get(cuts, i - 1), F.get(cuts, i)
         id_ = found((a * 255 + b).cast("long"))
@@ -205,6 +213,8 @@ def _ids(unit: Column, cuts: Column, found: Callable[[Column], Column], m: Model
         else:
             code = F.hex(F.encode(F.substr(unit, a + 1, F.lit(1)), "UTF-8"))
             spelt = F.transform(F.sequence(F.lit(1), F.length(code), F.lit(2)), lambda k: (F.conv(F.substr(code, k, F.lit(2)), 16, 10).cast("int") + m.first_byte))
+        if m.kind == BPE:
+            id_ = F.coalesce(id_, F.when(b - a == 1, F.get(single, F.ascii(F.substr(unit, a + 1, F.lit(1))))))
         return F.when(id_.isNotNull(), F.array(id_)).otherwise(spelt)
 
     return F.flatten(F.transform(F.sequence(F.lit(1), F.size(cuts) - 1), segment))
@@ -216,7 +226,7 @@ def encode_units(units: DataFrame, path: str) -> DataFrame:
     # more groups at a time than Spark would keep before it turns to sorting; each has a few dozen edges
     spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "50000")
     bpe = m.kind == BPE
-    met = lattice(units.where(F.length("unit") <= LONG), piece_table(spark, path), m.longest, packed_edge() if bpe else scored_edge())
+    met = lattice(units.where(F.length("unit") <= LONG), piece_table(spark, path), m.longest, packed_edge() if bpe else scored_edge(), singles=bpe)
     met = met.withColumn("n", F.length("unit")).withColumn("index", _packed_index(F.col("edges")) if bpe else F.map_from_entries("edges"))
     n, index = F.col("n"), F.col("index")
     cuts = merged(n, index) if bpe else best_path(n, index, min(s for _, _, s in m.pieces) - 10.0, m.longest)

@@ -28,7 +28,7 @@ from tidemark.llm.words import Spans
 
 Cutter = Callable[[pa.Array], Spans]
 #: Text of one batch, and of the slices in which it is cut: the arrays over a slice take some thirty times as much.
-BATCH_BYTES, SLICE_BYTES = 32 << 20, 2 << 20
+BATCH_BYTES, SLICE_BYTES = 16 << 20, 2 << 20
 
 
 @dataclass
