@@ -64,14 +64,15 @@ def test_ties_go_to_the_stronger_event(make):
     assert rows_of(C.latest_events(e), "event_type") == [("completed",)]
 
 
-def test_registration_is_insert_only_and_clipped(make):
+def test_registration_is_insert_only_and_keeps_texts_whole(make):
     cols = "batch_seq int, batch_id string, content_hash string, problems string"
     known = make(cols, (0, "a", "h", None), (1, "b", None, None))
     found = make(cols, (0, "a", "h", None), (0, "a", "h2", None), (1, "b", None, "x"), (2, "c", None, "p" * 5000))
     got = C.register_batches(found, known)
     assert rows_of(got, "batch_seq", "content_hash") == [(0, "h2"), (2, None)]
-    text = got.where("batch_seq = 2").first()["problems"]
-    assert len(text) == 4000 and text.endswith("...")
+    assert got.where("batch_seq = 2").first()["problems"] == "p" * 5000
+    long = make(cols, (3, "i" * 200 + "1", "h", None), (3, "i" * 200 + "2", "h", None))
+    assert rows_of(C.register_batches(long, known), "batch_id") == [("i" * 200 + "1",), ("i" * 200 + "2",)]
 
 
 def test_audit(make):

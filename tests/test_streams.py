@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
@@ -48,3 +49,32 @@ def test_merge_ignores_late_files(spark, make, tmp_path):
     assert run() == want
     land(older, root, 2)
     assert run() == want and run() == want
+
+
+def test_batch_numbers_of_any_length(spark, make, tmp_path):
+    root = str(tmp_path / "landing")
+    df = make("k int", (1,))
+    land(df, root, 1_000_001)
+    ingest(landed_stream(spark, root, df.schema), str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert rows_of(spark.read.parquet(str(tmp_path / "out")), "batch_seq") == [(1_000_001,)]
+    df.write.parquet(f"{root}/elsewhere")
+    with pytest.raises(Exception, match="no batch folder"):
+        ingest(landed_stream(spark, root, df.schema), str(tmp_path / "out"), str(tmp_path / "cp"))
+
+
+def test_merge_goes_on_after_a_run_that_died(spark, make, tmp_path, monkeypatch):
+    root, log = str(tmp_path / "landing"), TableLog(spark, str(tmp_path / "state"))
+    log.publish("start", {"t": make("k int, v string, _is_deleted_in_source boolean, _source_changed_at timestamp, _source_sequence bigint, _source_batch_id string",
+                                    (1, "a", False, T, 0, None))})
+    newer = make(EVENT, (1, "c", "UPDATE", "e", 5, T, "b2"))
+    land(newer, root, 1)
+
+    def run():
+        merge_stream(landed_stream(spark, root, newer.schema, 1), log, "t", "k", str(tmp_path / "cp"))
+
+    with monkeypatch.context() as m:
+        m.setattr("tidemark.sources.versions.write_text", lambda *_: (_ for _ in ()).throw(OSError("died before the commit")))
+        with pytest.raises(Exception, match="died"):
+            run()
+    run()
+    assert rows_of(log.read("t"), "k", "v") == [(1, "c")]

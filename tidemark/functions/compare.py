@@ -1,4 +1,4 @@
-"""Null-safe comparisons and small guards."""
+"""Null-safe comparisons and guards."""
 
 from __future__ import annotations
 
@@ -41,15 +41,6 @@ def lookup(values: dict, key: Column) -> Column:
     return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])[key]
 
 
-def small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Hint a broadcast only after counting that df is within max_rows.
-
-    The count reads at most max_rows + 1 rows per partition. A larger frame comes
-    back without a hint, and Spark picks a shuffled join for it.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 class CheckFailed(ValueError):
     """A data check that stops a load."""
 

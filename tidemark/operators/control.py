@@ -12,28 +12,18 @@ from tidemark.session import cut
 #: Which of several events at one instant counts.
 EVENT_RANK = {"waived": 1, "completed": 2, "rejected": 3, "failed": 4, "silver_applied": 5}
 CLOSED = ("completed", "waived", "duplicate_ignored", "superseded")
-#: The longest text a registration keeps.
-TEXT_LIMITS = {"batch_id": 128, "batch_mode": 20, "previous_batch_id": 128, "supersedes_batch_id": 128,
-               "problems": 4000, "producer": 256, "manifest_path": 1024, "discovery_run_id": 64}
 
 
 def event_rank(event_type: Column) -> Column:
     return F.coalesce(lookup(EVENT_RANK, event_type), F.lit(6))
 
 
-def clip(column: str, limit: int) -> Column:
-    """Text cut to limit characters, the last three of them dots when cut."""
-    c = F.col(column)
-    return F.when(F.length(c) > limit, F.concat(F.left(c, F.lit(limit - 3)), F.lit("..."))).otherwise(c)
-
-
 def register_batches(discovered: DataFrame, registered: DataFrame) -> DataFrame:
-    """Registrations not seen before, by folder, batch id and content. Insert-only."""
+    """Registrations not seen before, by folder, batch id and content. Insert-only, texts kept whole."""
     identity = ["batch_seq", "batch_id", "_content"]
     content = F.coalesce("content_hash", F.lit(""))
-    clipped = discovered.withColumns({c: clip(c, n) for c, n in TEXT_LIMITS.items() if c in discovered.columns})
     known = registered.select("batch_seq", "batch_id", content.alias("_content"))
-    fresh = clipped.withColumn("_content", content).join(known, identity, "left_anti")
+    fresh = discovered.withColumn("_content", content).join(known, identity, "left_anti")
     return fresh.dropDuplicates(identity).drop("_content")
 
 

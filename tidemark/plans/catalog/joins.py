@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.compare import differs, small
+from tidemark.functions.compare import differs
 from tidemark.functions.dates import date_key
 from tidemark.operators import facts as T
 from tidemark.operators.checks import two_way_difference
@@ -114,13 +114,13 @@ def join_theta_range(spark, sf):
     SELECT n_name, count(DISTINCT s_suppkey) AS suppliers, count(*) AS lines
     FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey GROUP BY n_name""")
 def join_broadcast(spark, sf):
-    """The small sides are hinted only after their size was counted."""
+    """Spark broadcasts the small sides by the bytes it estimates; none is hinted."""
     suppliers = given(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
     nations = given(spark, sf, "nation").select("n_nationkey", "n_name")
     # Counted per supplier first: a supplier half the lines share joins as one row.
     lines = given(spark, sf, "lineitem").groupBy("l_suppkey").agg(n_rows().alias("n"))
-    return (lines.join(small(suppliers), F.col("s_suppkey") == F.col("l_suppkey"))
-            .join(small(nations), F.col("n_nationkey") == F.col("s_nationkey"))
+    return (lines.join(suppliers, F.col("s_suppkey") == F.col("l_suppkey"))
+            .join(nations, F.col("n_nationkey") == F.col("s_nationkey"))
             .groupBy("n_name").agg(F.countDistinct("s_suppkey").alias("suppliers"), F.sum("n").alias("lines")))
 
 

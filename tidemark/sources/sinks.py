@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,14 +46,21 @@ def verify_export(spark: SparkSession, df: DataFrame, path: str) -> None:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """One small text file through the cluster's file system, never replacing one."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    stream = fs.create(hadoop, False)
+    """One small text file through the cluster's file system, there as a whole or not at all, never replacing one."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    final, aside = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.{uuid.uuid4().hex[:12]}.tmp"))
+    fs = final.getFileSystem(conf)
+    stream = fs.create(aside, False)
     try:
         stream.write(bytearray(text, "utf-8"))
     finally:
         stream.close()
+    no_options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(aside, final, no_options)
+    except Exception:
+        fs.delete(aside, False)
+        raise
 
 
 def exists(spark: SparkSession, path: str) -> bool:

@@ -8,6 +8,7 @@ readable, which is what a change feed and a restore need.
 from __future__ import annotations
 
 import json
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +29,7 @@ class TableLog:
         path = f"{self.root}/_commits"
         if not exists(self.spark, path):
             return self.spark.createDataFrame([], COMMIT)
-        return self.spark.read.schema(COMMIT).json(path)
+        return self.spark.read.schema(COMMIT).option("mode", "FAILFAST").option("pathGlobFilter", "*.json").json(path)
 
     def current(self) -> DataFrame:
         """The newest version per table: a few rows, one per table."""
@@ -40,15 +41,17 @@ class TableLog:
         """Write new versions of the tables and commit them together; returns the sequence.
 
         The commit is one new file whose name is its sequence. Creating it fails when another
-        run committed that sequence first, so two writers cannot both win.
+        run committed that sequence first, so two writers cannot both win. Folders are new with each
+        attempt: what a run that died has left behind is in nobody's way.
         """
+        attempt = uuid.uuid4().hex[:12]
         known = {r["table"]: r for r in self.current().collect()}  # one row per table
         sequence = max((r["commit_seq"] for r in known.values()), default=0) + 1
         rows = []
         for name in tables:
             version = known[name]["version"] + 1 if name in known else 1
             rows.append({"commit_seq": sequence, "run_id": run_id, "table": name, "version": version,
-                         "path": f"{self.root}/{name}/v{version:08d}-{run_id}"})
+                         "path": f"{self.root}/{name}/v{version:08d}-{run_id}-{attempt}"})
         # Independent writes; Spark runs the jobs of several threads side by side.
         with ThreadPoolExecutor(max_workers=min(8, len(rows))) as pool:
             list(pool.map(lambda r: tables[r["table"]].write.mode("errorifexists").parquet(r["path"]), rows))

@@ -14,11 +14,16 @@ from tidemark.sources.versions import TableLog
 
 def landed_stream(spark: SparkSession, landing: str, schema: T.StructType,
                   files_per_trigger: int = 1000) -> DataFrame:
-    """New files under landing/batch_seq=NNNNNN/, with their batch_seq as a column."""
+    """New files under landing/batch_seq=NNNNNN/, with their batch_seq as a column.
+
+    The number may have any length. A file in no such folder stops the stream.
+    """
+    path = F.col("_metadata.file_path")
+    seq = F.nullif(F.regexp_extract(path, r"/batch_seq=(\d+)/", 1), F.lit(""))
     return (
         spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
         .option("recursiveFileLookup", "true").parquet(landing)
-        .withColumn("batch_seq", F.regexp_extract(F.col("_metadata.file_path"), r"batch_seq=(\d{6})", 1).cast("int")))
+        .withColumn("batch_seq", F.coalesce(seq, F.raise_error(F.concat(F.lit("no batch folder: "), path)).cast("string")).cast("int")))
 
 
 def drain(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None]) -> None:
