@@ -14,6 +14,7 @@ from tidemark.operators.facts import FACTS, fact_trip
 from tidemark.plans import landing
 from tidemark.plans.oracle import define
 from tidemark.plans.oracle_star import dk
+from tidemark.plans.catalog.scalars import row_text_sql
 from tidemark.plans.registry import query
 from tidemark.plans.star import star
 from tidemark.plans.trucking import source
@@ -286,8 +287,7 @@ def heal_orphans(spark, sf):
 # --- row hashes -----------------------------------------------------------------------
 
 _PLAIN = ("customer_id", "customer_type", "account_status")
-_HASH = ("sha256('{\"customer_id\":' || customer_id || ',\"customer_type\":' || coalesce('\"' || customer_type || '\"', "
-         "'null') || ',\"account_status\":\"' || account_status || '\"}')")
+_HASH = f"sha256({row_text_sql(_PLAIN)})"
 
 
 @query("row_hash", "business_key string, row_hash string",

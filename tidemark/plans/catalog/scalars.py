@@ -97,17 +97,18 @@ def fn_conditional(spark, sf):
         (~differs([F.col("booking_type")], [F.col("load_status")])).alias("same"))
 
 
-_JSON = ("'{\"customer_id\":' || customer_id || ',\"customer_type\":' || coalesce('\"' || customer_type || '\"', 'null')"
-         " || ',\"contract_start_date\":\"' || CAST(contract_start_date AS VARCHAR) || '\",\"annual_revenue_potential\":'"
-         " || CAST(annual_revenue_potential AS VARCHAR) || ',\"_is_deleted_in_source\":'"
-         " || CAST(_is_deleted_in_source AS VARCHAR) || '}'")
 HASHED = ("customer_id", "customer_type", "contract_start_date", "annual_revenue_potential", "_is_deleted_in_source")
 
 
+def row_text_sql(columns) -> str:
+    """The SQL of hashing.row_text."""
+    return "concat_ws(',', " + ", ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in columns) + ")"
+
+
 @query("fn_hash_json", "customer_id bigint, row_hash string", f"""
-    SELECT customer_id, sha256({_JSON}) AS row_hash FROM raw_customers""")
+    SELECT customer_id, sha256({row_text_sql(HASHED)}) AS row_hash FROM raw_customers""")
 def fn_hash_json(spark, sf):
-    """SHA-256 of a JSON rendering that keeps nulls."""
+    """SHA-256 of a rendering that keeps nulls."""
     return source(spark, sf, "customers").select("customer_id", row_hash(HASHED).alias("row_hash"))
 
 
