@@ -105,4 +105,4 @@ def test_city_map_needs_agreement(make):
 
 
 def test_state_reference():
-    assert len(D.us_state_rows()) == 51
+    assert len(D.US_STATES) == 51

@@ -6,7 +6,7 @@ where the Spark side aggregates, so that an error in one is not repeated in the
 
 from __future__ import annotations
 
-from tidemark.operators.dims import us_state_rows
+from tidemark.operators.dims import US_STATES
 from tidemark.plans.oracle import define
 
 
@@ -90,7 +90,7 @@ define("silver_fuel_purchases", """
            CASE WHEN p.gallons > t.tank_capacity_gallons THEN 'flagged' ELSE 'valid' END AS _dq_status
     FROM raw_fuel_purchases AS p LEFT JOIN raw_trucks AS t ON t.truck_id = p.truck_id""")
 define("us_state", "SELECT * FROM (VALUES " + ", ".join(
-    f"('{code}', '{name}')" for code, name in us_state_rows()) + ") AS v(state_code, state_name)")
+    f"('{code}', '{name}')" for code, name in US_STATES.items()) + ") AS v(state_code, state_name)")
 
 # --- dimension sources -------------------------------------------------------------
 
