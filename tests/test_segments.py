@@ -78,3 +78,9 @@ def test_numbers_are_dense_unique_and_repeatable(spark):
     again = rows_of(numbered(df.repartition(7), ["member"], "key", 10), "member", "key")
     assert sorted(k for _, k in first) == list(range(11, 5011))
     assert first == again
+
+
+def test_a_far_off_value_does_not_undo_the_split(spark):
+    df = spark.range(2000).select(F.lit("hot").alias("k"), F.when(F.col("id") == 7, F.lit(10_000_000)).otherwise(F.col("id")).alias("t"))
+    sizes = [r["count"] for r in split_hot_keys(df, ["k"], "t", floor_rows=200).groupBy("_segment").count().collect()]
+    assert len(sizes) >= 9 and max(sizes) <= 2 * 200

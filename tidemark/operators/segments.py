@@ -20,6 +20,8 @@ _SEG = "_segment"
 FLOOR_ROWS = 1_000_000
 #: A key is hot from this share of all rows on, so there are never more hot keys than this.
 MOST_HOT_KEYS = 100_000
+#: Bins in which a hot key's rows are counted; only those that hold rows exist.
+BINS = 1 << 20
 
 
 def _position(df: DataFrame, column: str) -> Column:
@@ -34,11 +36,13 @@ def _position(df: DataFrame, column: str) -> Column:
 
 
 def split_hot_keys(df: DataFrame, keys: Sequence[str], order: str, floor_rows: int = FLOOR_ROWS) -> DataFrame:
-    """df with _segment: 0 for ordinary keys, equal stretches of `order` for hot ones.
+    """df with _segment: 0 for ordinary keys, stretches of `order` with about as many rows each for hot ones.
 
     The rows are counted per key first, with map-side combining. Hot is a key with more rows
     than floor_rows and than total / 100,000, so the hot keys that are broadcast are at most
-    100,000 rows whatever the data. Counts are exact, so a rerun cuts at the same places.
+    100,000 rows whatever the data. Their rows are then counted in BINS narrow bins of `order`, and the
+    running counts say where to cut, so neither bursts nor a far-off value undo the split. Counts
+    are exact, so a rerun cuts at the same places. Rows of one bin stay together.
     """
     place = _position(df, order)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("_lo"), F.max(place).alias("_hi"))
@@ -47,10 +51,19 @@ def split_hot_keys(df: DataFrame, keys: Sequence[str], order: str, floor_rows: i
     hot = counts.where(F.col("_n") > limit).select(
         *keys, "_lo", F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1.0)).alias("_span"),
         F.ceil(F.col("_n") / limit).alias("_pieces"))
-    piece = F.least(F.floor((place - F.col("_lo")) * F.col("_pieces") / F.col("_span")), F.col("_pieces"))
-    marked = df.join(F.broadcast(hot), list(keys), "left")
+    narrow = F.floor((place - F.col("_lo")) / F.col("_span") * BINS)
+    bins = (df.join(F.broadcast(hot), list(keys)).where(place.isNotNull())
+            .groupBy(*keys, "_pieces", narrow.alias("_bin")).agg(F.count(F.lit(1)).alias("_n")))
+    along = Window.partitionBy(*keys).orderBy("_bin")
+    before = F.coalesce(F.sum("_n").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    piece = F.floor(before * F.col("_pieces") / F.sum("_n").over(Window.partitionBy(*keys)))
+    cuts = (bins.withColumn("_piece", piece).groupBy(*keys, "_piece").agg(F.min("_bin").alias("_from"))
+            .groupBy(*keys).agg(F.array_sort(F.collect_list("_from")).alias("_cuts")))
+    marked = df.join(F.broadcast(hot), list(keys), "left").join(F.broadcast(cuts), list(keys), "left")
     # NULLs of the ordering column come first, as they do in the window.
-    segment = F.when(F.col("_pieces").isNull(), F.lit(0)).otherwise(F.coalesce(piece, F.lit(-1)))
+    mine = F.size(F.filter("_cuts", lambda c: c <= narrow)) - 1
+    segment = (F.when(F.col("_pieces").isNull(), F.lit(0)).when(place.isNull() | F.col("_cuts").isNull(), F.lit(-1))
+               .otherwise(mine))
     return marked.select(*df.columns, segment.cast("bigint").alias(_SEG))
 
 

@@ -262,7 +262,7 @@ def sort_within_partitions(spark, sf):
     """Rows of each partition in key order: none lies before its predecessor in the partition."""
     from pyspark.sql import Window
 
-    loads = source(spark, sf, "loads").select("load_id").repartitionByRange(8, "load_id").sortWithinPartitions("load_id")
+    loads = source(spark, sf, "loads").select("load_id").repartitionByRange("load_id").sortWithinPartitions("load_id")
     placed = loads.select("load_id", F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("i"))
     before = F.lag("load_id").over(Window.partitionBy("p").orderBy("i"))
     return placed.withColumn("before", before).agg(
