@@ -75,3 +75,27 @@ def test_surrogates_are_one_to_one_under_collisions(spark):
 
 def test_nothing(nothing):
     assert surrogates.replace(nothing, "k").collect() == []
+
+
+def forms_of(values):
+    return values.select(surrogates.kind_of(F.col("value")).alias("kind"), "value").select("kind", surrogates.canonical(F.col("kind"), F.col("value")).alias("form"), "value")
+
+
+def test_forms_without_room_get_longer_surrogates(spark):
+    bare = ["password: ****", "if token == null {", "token: {", "пароль password: секрет", "mail _@-.com", *[f"secret: {i:x}" for i in range(16)], "secret: ?"]
+    docs = spark.createDataFrame(list(enumerate(bare)), "doc_id long, text string")
+    texts = [r.text for r in surrogates.replace(docs, "key").orderBy("doc_id").collect()]
+    assert not set(texts) & set(bare) and len(set(texts)) == len(bare)
+    assert re.fullmatch(r"password: [a-z0-9]{4}", texts[0]) and re.fullmatch(r"if token =[a-z0-9]+ null {", texts[1])
+    assert re.fullmatch(r"пароль password: [a-z]{6}", texts[3]) and re.fullmatch(r"mail [a-z]+@[a-z]\.com", texts[4])
+    assert all(re.fullmatch(r"secret: [0-9a-f]{2,}", t) for t in texts[5:21])
+
+
+def test_every_kind_has_longer_surrogates_in_its_format(spark):
+    values = ["Ann.Bee@Foo.com", "(212) 555-1234", "+1 (212) 555-1234", "4387-5130-3523-7269", "123-45-6789", "token=Abc-1"]
+    known = forms_of(spark.createDataFrame([(v,) for v in values], "value string"))
+    drawn = known.withColumn("s", surrogates.surrogate(F.col("kind"), F.col("form"), "k", surrogates.SAME_LENGTH + 1))
+    new = {r.value: r.new for r in drawn.select("value", surrogates.in_format(F.col("kind"), F.col("value"), F.col("s")).alias("new")).collect()}
+    shapes = [r"[a-z]{2}[A-Z][a-z]{2}\.[A-Z][a-z]{2}@[A-Z][a-z]{2}\.com", r"\(\d{3}\) \d{3}-\d{6}", r"\+1 \(\d{3}\) \d{3}-\d{6}", r"4\d{3}-\d{4}-\d{4}-\d{6}", r"\d{3}-\d{2}-\d{6}", r"token=[a-z0-9]{7}"]
+    assert all(re.fullmatch(shape, new[v]) for v, shape in zip(values, shapes)), new
+    assert luhn(re.sub("-", "", new["4387-5130-3523-7269"]))

@@ -5,7 +5,8 @@ kind and canonical form, so mentions of it agree in every document (coreference)
 without the key. A surrogate has the type and format of what it stands for: digits for digits and
 letters for letters, addresses that are valid, card numbers with a valid check digit where the
 original has one, names of the gender that the title tells, in the name's script. Drawing goes
-on in rounds until no two entities share a surrogate and none equals an entity found in the texts.
+on in rounds until no two entities share a surrogate and none equals an entity found in the texts. Where that format
+has no room (left), surrogates become longer with each round, so every entity gets one.
 
 Texts are split at the entities and joined again with the surrogates between, so replacements never meet
 each other. Equal texts are worked out once.
@@ -17,6 +18,7 @@ kept; repeated rows get equal results.
 from __future__ import annotations
 
 import functools
+import itertools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -46,9 +48,12 @@ PATTERNS = {
 PATTERN = "|".join(PATTERNS.values())
 #: A text without any of these has no entity.
 TRIGGER = rf"[0-9@]|(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}}|{_SECRET}"
-#: Rounds of drawing before giving up.
+#: Rounds in which surrogates keep the length of their form; from then on each round makes them longer.
+SAME_LENGTH = 4
+#: Rounds without any new surrogate before giving up; a draw whose space grows never comes to that.
 ROUNDS = 30
 
+LETTERS, DIGITS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
 GIVEN = {
     ("latin", "m"): ("Adrian", "Bruno", "Conrad", "Daniel", "Edgar", "Felix", "Gustav", "Hugo"),
     ("latin", "f"): ("Alma", "Bettina", "Clara", "Dora", "Elena", "Flora", "Greta", "Hanna"),
@@ -99,9 +104,14 @@ def _each(value: Column, f: Callable[[Column, Column], Column]) -> Column:
 
 
 def _alike(value: Column, seed: Column, keep: Callable[[Column], Column]) -> Column:
-    """Another character of the same class for each; keep(position) says which stay."""
-    return _each(value, lambda c, i: F.when(keep(i), c).when(c.rlike("[a-z]"), _pick("abcdefghijklmnopqrstuvwxyz", seed, i))
-                 .when(c.rlike("[A-Z]"), _pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ", seed, i)).when(c.rlike("[0-9]"), _pick("0123456789", seed, i)).otherwise(c))
+    """Another character of the same class for each, ASCII for those of any script; keep(position) says which stay."""
+    return _each(value, lambda c, i: F.when(keep(i), c).when(c.rlike(r"\p{Lu}"), _pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ", seed, i))
+                 .when(c.rlike(r"[\p{L}\p{M}]"), _pick(LETTERS, seed, i)).when(c.rlike(r"\p{N}"), _pick(DIGITS, seed, i)).otherwise(c))
+
+
+def _more(values: str, seed: Column, n: int) -> Column:
+    """n characters of values; their draws count down from -1."""
+    return F.concat(F.lit(""), *[_pick(values, seed, F.lit(-k)) for k in range(1, n + 1)])
 
 
 def _luhn(digits: Column) -> Column:
@@ -131,27 +141,46 @@ def _name(words: Column, gender: Column, seed: Column) -> Column:
 
 
 def surrogate(kind: Column, form: Column, key: str, attempt: int) -> Column:
-    """A surrogate of a canonical form, itself in canonical form."""
+    """A surrogate of a canonical form, itself in canonical form.
+
+    A form without anything to draw another of its class for is drawn from letters and digits, and longer with each
+    attempt; the others have their own length for SAME_LENGTH attempts. So the surrogates of a form never run out.
+    """
     seed = F.concat_ws("|", F.lit(key), kind, form, F.lit(str(attempt)))
+    longer = max(0, attempt - SAME_LENGTH + 1)
     end = F.length(form) - F.length(F.substring_index(form, ".", -1))
     octets = [F.when(F.lit(k) == 0, _draw(seed, F.lit(0), 222) + 1).when(F.lit(k) == 3, _draw(seed, F.lit(3), 254) + 1).otherwise(_draw(seed, F.lit(k), 256)).cast("string") for k in range(4)]
     inner = F.when(form.startswith("10."), F.concat_ws(".", F.lit("10"), *octets[1:])).when(form.startswith("192.168."), F.concat_ws(".", F.lit("192.168"), *octets[2:]))
-    card = _alike(form, seed, lambda i: i == 0)
+    new_email = _each(form, lambda c, i: F.when((i >= end) | c.isin("@", "."), c).otherwise(_pick(LETTERS, seed, i)))
+    bare_email = ~F.substr(form, F.lit(1), end).rlike("[a-z0-9]")
+    email = F.when(bare_email, F.concat(_more(LETTERS, seed, attempt), new_email))
+    email = email.otherwise(F.concat(_more(LETTERS, seed, longer), new_email) if longer else _alike(form, seed, lambda i: i >= end))
+    phone = _alike(form, seed, lambda i: i < F.when(form.startswith("+"), F.lit(2)).otherwise(F.lit(0)))
+    card = F.concat(_alike(form, seed, lambda i: i == 0), _more(DIGITS, seed, longer))
     check = F.pmod(-_luhn(F.concat(F.substr(card, F.lit(1), F.length(card) - 1), F.lit("0"))), F.lit(10)).cast("string")
     gender, name = F.substr(form, F.lit(1), F.lit(1)), F.substr(form, F.lit(3), F.length(form))
-    return (F.when(kind == "email", _alike(form, seed, lambda i: i >= end)).when(kind == "ip", inner.otherwise(F.concat_ws(".", *octets)))
-            .when(kind == "phone", _alike(form, seed, lambda i: i < F.when(form.startswith("+"), F.lit(2)).otherwise(F.lit(0))))
+    hexed = F.concat(_each(form, lambda c, i: _pick("0123456789abcdef", seed, i)), _more("0123456789abcdef", seed, longer))
+    plain = _each(form, lambda c, i: _pick(LETTERS + DIGITS, seed, i))
+    secret = F.when(~form.rlike(r"[\p{L}\p{M}\p{N}]"), F.concat(plain, _more(LETTERS + DIGITS, seed, attempt)))
+    secret = secret.otherwise(F.concat(plain, _more(LETTERS + DIGITS, seed, longer)) if longer else _alike(form, seed, lambda i: F.lit(False)))
+    return (F.when(kind == "email", email).when(kind == "ip", inner.otherwise(F.concat_ws(".", *octets)))
+            .when(kind == "phone", F.concat(phone, _more(DIGITS, seed, longer)))
             .when(kind == "card", F.when(_luhn(form) % 10 == 0, F.concat(F.substr(card, F.lit(1), F.length(card) - 1), check)).otherwise(card))
             .when(kind == "key", _each(form, lambda c, i: F.when(i < 4, c).otherwise(_pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", seed, i))))
-            .when((kind == "hex") | form.rlike(r"\A[0-9a-f]+\z") & (kind == "secret"), _each(form, lambda c, i: _pick("0123456789abcdef", seed, i)))
+            .when((kind == "hex") | form.rlike(r"\A[0-9a-f]+\z") & (kind == "secret"), hexed)
             .when(kind == "person", F.concat(gender, F.lit(":"), _name(name, gender, seed)))
-            .otherwise(_alike(form, seed, lambda i: F.lit(False))))
+            .when(kind == "secret", secret).otherwise(F.concat(_alike(form, seed, lambda i: F.lit(False)), _more(DIGITS, seed, longer))))
 
 
 def in_format(kind: Column, value: Column, chosen: Column) -> Column:
     """A surrogate written like the mention it replaces."""
+    digits = F.length(F.regexp_replace(value, "[^0-9+]", ""))
     poured = _each(value, lambda c, i: F.when(c.rlike("[0-9+]"), F.substr(chosen, F.length(F.regexp_replace(F.substr(value, F.lit(1), i + 1), "[^0-9+]", "")), F.lit(1))).otherwise(c))
-    cased = _each(value, lambda c, i: F.when(c.rlike("[A-Z]"), F.upper(F.substr(chosen, i + 1, F.lit(1)))).otherwise(F.substr(chosen, i + 1, F.lit(1))))
+    poured = F.concat(poured, F.substr(chosen, digits + 1, F.length(chosen)))
+    # a longer address has the additional letters in front
+    more = F.greatest(F.length(chosen) - F.length(value), F.lit(0))
+    cased = _each(value, lambda c, i: F.when(c.rlike("[A-Z]"), F.upper(F.substr(chosen, more + i + 1, F.lit(1)))).otherwise(F.substr(chosen, more + i + 1, F.lit(1))))
+    cased = F.concat(F.substr(chosen, F.lit(1), more), cased)
     lead = F.when(kind == "secret", F.regexp_extract(value, rf"\A{_SECRET}", 0)).when(kind == "person", F.regexp_extract(value, rf"\A(?:{_TITLE})\.? ", 0)).otherwise(F.lit(""))
     bare = F.when(kind == "person", F.substr(chosen, F.lit(3), F.length(chosen))).otherwise(chosen)
     return F.when(kind == "email", cased).when(kind.isin("phone", "card", "ssn"), poured).otherwise(F.concat(lead, bare))
@@ -160,8 +189,8 @@ def in_format(kind: Column, value: Column, chosen: Column) -> Column:
 def assign(forms: DataFrame, key: str, draw: Callable[[Column, Column, str, int], Column] = surrogate) -> DataFrame:
     """(kind, form, surrogate) for distinct (kind, form): one-to-one, and no surrogate is a form of the kind."""
     forms = stored(forms, "forms")
-    left, done = forms, None
-    for attempt in range(ROUNDS):
+    left, done, idle = forms, None, 0
+    for attempt in itertools.count():
         drawn = left.withColumn("surrogate", draw(F.col("kind"), F.col("form"), key, attempt))
         free = drawn.join(forms.select("kind", F.col("form").alias("surrogate")), ["kind", "surrogate"], "left_anti")
         if done is not None:
@@ -172,7 +201,9 @@ def assign(forms: DataFrame, key: str, draw: Callable[[Column, Column, str, int]
         left = stored(left.join(won, ["kind", "form"], "left_anti"), "left")
         if left.isEmpty():
             return done
-    raise RuntimeError(f"entities are left without a surrogate of their own after {ROUNDS} rounds")
+        idle = idle + 1 if won.isEmpty() else 0
+        if idle == ROUNDS:
+            raise RuntimeError(f"entities are left without a surrogate of their own, and {ROUNDS} rounds drew none")
 
 
 def replace(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
