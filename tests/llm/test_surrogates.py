@@ -1,5 +1,6 @@
 """Surrogates: formats, coreference, distinctness, untouched text."""
 
+import ipaddress
 import re
 
 import pytest
@@ -99,3 +100,19 @@ def test_every_kind_has_longer_surrogates_in_its_format(spark):
     shapes = [r"[a-z]{2}[A-Z][a-z]{2}\.[A-Z][a-z]{2}@[A-Z][a-z]{2}\.com", r"\(\d{3}\) \d{3}-\d{6}", r"\+1 \(\d{3}\) \d{3}-\d{6}", r"4\d{3}-\d{4}-\d{4}-\d{6}", r"\d{3}-\d{2}-\d{6}", r"token=[a-z0-9]{7}"]
     assert all(re.fullmatch(shape, new[v]) for v, shape in zip(values, shapes)), new
     assert luhn(re.sub("-", "", new["4387-5130-3523-7269"]))
+
+
+def test_more_entities_than_short_surrogates(spark):
+    n, octet = F.col("id"), lambda k: F.pmod(F.floor(F.col("id") / 256 ** k), F.lit(256))
+    names = spark.range(100_000).select(F.lit("person").alias("kind"), F.concat(F.lit("m:N"), n.cast("string")).alias("form"))
+    addresses = spark.range(256 * 256).select(F.lit("ip").alias("kind"), F.concat_ws(".", F.lit("192.168"), octet(1), octet(0)).alias("form"))
+    forms = names.unionByName(addresses)
+    got = surrogates.assign(forms, "k").toPandas()
+    assert len(got) == 100_000 + 256 * 256 and not got.duplicated(["kind", "surrogate"]).any() and not set(got.form) & set(got.surrogate)
+    assert got.surrogate[got.kind == "ip"].str.fullmatch(r"10(\.\d{1,3}){3}").all() and got.surrogate[got.kind == "person"].str.fullmatch(r"m:[A-Z][a-z]+").all()
+
+
+def test_addresses_go_on_in_wider_ranges(spark):
+    known = spark.createDataFrame([("ip", "10.0.0.1"), ("ip", "8.8.8.8"), ("ip", "192.168.7.9")], "kind string, form string")
+    last = known.withColumn("s", surrogates.surrogate(F.col("kind"), F.col("form"), "k", 2 * surrogates.SAME_LENGTH)).collect()
+    assert all(ipaddress.IPv6Address(r.s).is_private for r in last) and len({r.s for r in last}) == 3

@@ -122,14 +122,15 @@ def _luhn(digits: Column) -> Column:
         lambda d: F.when(i % 2 == 1, d).when(d > 4, d * 2 - 9).otherwise(d * 2))[0])
 
 
-def _name(words: Column, gender: Column, seed: Column) -> Column:
-    """As many words as the name has: a given name of the gender before a family name."""
+def _name(words: Column, gender: Column, seed: Column, attempt: int) -> Column:
+    """As many words as the name has: a given name of the gender before a family name, which has one more syllable with each attempt."""
     script = F.when(words.rlike(r"\p{IsCyrillic}"), F.lit("cyrillic")).when(words.rlike(r"\p{IsGreek}"), F.lit("greek")).otherwise(F.lit("latin"))
 
     def family(kind: str) -> Column:
         parts = F.array(*map(F.lit, SYLLABLES[kind]))
         n = len(SYLLABLES[kind])
-        base = F.concat(*[F.element_at(parts, _draw(seed, F.lit(k), n) + 1) for k in range(3)])
+        # draw 9 is the given name's
+        base = F.concat(*[F.element_at(parts, _draw(seed, F.lit(k + (k > 8)), n) + 1) for k in range(3 + attempt)])
         ending = F.when(gender == "f", F.lit("ова")).otherwise(F.lit("ов")) if kind == "cyrillic" else F.lit("")
         return F.concat(F.initcap(base), ending)
 
@@ -150,7 +151,13 @@ def surrogate(kind: Column, form: Column, key: str, attempt: int) -> Column:
     longer = max(0, attempt - SAME_LENGTH + 1)
     end = F.length(form) - F.length(F.substring_index(form, ".", -1))
     octets = [F.when(F.lit(k) == 0, _draw(seed, F.lit(0), 222) + 1).when(F.lit(k) == 3, _draw(seed, F.lit(3), 254) + 1).otherwise(_draw(seed, F.lit(k), 256)).cast("string") for k in range(4)]
-    inner = F.when(form.startswith("10."), F.concat_ws(".", F.lit("10"), *octets[1:])).when(form.startswith("192.168."), F.concat_ws(".", F.lit("192.168"), *octets[2:]))
+    private, small = form.startswith("10.") | form.startswith("192.168."), form.startswith("192.168.")
+    address = F.when(private & (~small | F.lit(longer > 0)), F.concat_ws(".", F.lit("10"), *octets[1:])).when(small, F.concat_ws(".", F.lit("192.168"), *octets[2:])).otherwise(F.concat_ws(".", *octets))
+    # a range that is used up goes on in the next: 10.0.0.0/8, then the private and the documentation range of IPv6
+    groups = [F.lower(F.hex(_draw(seed, F.lit(k), 65_536))) for k in range(6)]
+    wide = F.concat_ws(":", F.when(private, F.lit("fd00:db8")).otherwise(F.lit("2001:db8")), *groups)
+    if longer:
+        address = F.when(small & F.lit(longer <= SAME_LENGTH), address).otherwise(wide)
     new_email = _each(form, lambda c, i: F.when((i >= end) | c.isin("@", "."), c).otherwise(_pick(LETTERS, seed, i)))
     bare_email = ~F.substr(form, F.lit(1), end).rlike("[a-z0-9]")
     email = F.when(bare_email, F.concat(_more(LETTERS, seed, attempt), new_email))
@@ -163,12 +170,12 @@ def surrogate(kind: Column, form: Column, key: str, attempt: int) -> Column:
     plain = _each(form, lambda c, i: _pick(LETTERS + DIGITS, seed, i))
     secret = F.when(~form.rlike(r"[\p{L}\p{M}\p{N}]"), F.concat(plain, _more(LETTERS + DIGITS, seed, attempt)))
     secret = secret.otherwise(F.concat(plain, _more(LETTERS + DIGITS, seed, longer)) if longer else _alike(form, seed, lambda i: F.lit(False)))
-    return (F.when(kind == "email", email).when(kind == "ip", inner.otherwise(F.concat_ws(".", *octets)))
+    return (F.when(kind == "email", email).when(kind == "ip", address)
             .when(kind == "phone", F.concat(phone, _more(DIGITS, seed, longer)))
             .when(kind == "card", F.when(_luhn(form) % 10 == 0, F.concat(F.substr(card, F.lit(1), F.length(card) - 1), check)).otherwise(card))
             .when(kind == "key", _each(form, lambda c, i: F.when(i < 4, c).otherwise(_pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", seed, i))))
             .when((kind == "hex") | form.rlike(r"\A[0-9a-f]+\z") & (kind == "secret"), hexed)
-            .when(kind == "person", F.concat(gender, F.lit(":"), _name(name, gender, seed)))
+            .when(kind == "person", F.concat(gender, F.lit(":"), _name(name, gender, seed, attempt)))
             .when(kind == "secret", secret).otherwise(F.concat(_alike(form, seed, lambda i: F.lit(False)), _more(DIGITS, seed, longer))))
 
 
