@@ -47,7 +47,7 @@ PATTERNS = {
 }
 PATTERN = "|".join(PATTERNS.values())
 #: A text without any of these has no entity.
-TRIGGER = rf"[0-9@]|(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}}|{_SECRET}"
+TRIGGER = rf"[0-9@]|(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}}|{_SECRET}|AKIA[0-9A-Z]{{16}}|[0-9a-f]{{32}}"
 #: Rounds in which surrogates keep the length of their form; from then on each round makes them longer.
 SAME_LENGTH = 4
 #: Rounds without any new surrogate before giving up; a draw whose space grows never comes to that.
