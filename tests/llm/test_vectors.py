@@ -100,6 +100,12 @@ def test_search_defined_cases(spark):
     assert hilbert.search(df.where("vec_id > 100"), F.lit(True)).collect() == []
 
 
+def test_repeated_rows_take_one_place(spark):
+    rows = [(0, [1.0, 0.0, 0.0])] + [(1, [1.0, 0.1, 0.0])] * 8 + [(i, [1.0, 0.1 * i, 0.0]) for i in range(2, 9)]
+    got = hilbert.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, 5).collect()
+    assert sorted((r["rank"], r.vec_id) for r in got) == [(k, k) for k in range(1, 6)]
+
+
 def test_curve_steps_to_neighbours():
     side = np.arange(8)
     cells = np.stack(np.meshgrid(side, side, side), axis=-1).reshape(-1, 3)

@@ -10,7 +10,7 @@ chosen for vectors without any structure, the worst case, where neighbours are h
 Blocks are cut by row counts with the id as the last sorting column, so equal vectors spread over blocks.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components take no part; ids that are null neither; vectors
-are compared with those of their own length; rows that repeat an id are candidates each, but never of that
+are compared with those of their own length; rows that repeat an id and its vector are one candidate, other vectors of an id candidates each, but never of that
 id's query, and queries of one id are answered together; ties go to the smaller id; with too few candidates a query has fewer rows; an empty table gives none.
 """
 
@@ -182,7 +182,7 @@ def _scored(k: int):
 
 def search(rows: DataFrame, is_query: Column, k: int = 5, share: float = WINDOW, orderings: int = ORDERINGS) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each query among rows(vec_id, embedding)."""
-    valid = stored(usable(rows.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").where("vec_id is not null"), "vec_id long"), "vectors")
+    valid = stored(usable(rows.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").where("vec_id is not null"), "vec_id long").dropDuplicates(["vec_id", "vec"]), "vectors")
     asked = valid.where(is_query)
     placed = place(valid, valid.count(), orderings)
     group = ["ordering", "dims", "near", "part"]
