@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import hilbert, jaccard, mixing, pieces, quality, subspace, surrogates, token_counts, token_files, warc
+from tidemark.llm import credentials, hilbert, jaccard, mixing, pieces, quality, subspace, surrogates, token_counts, token_files, warc
 from tidemark.llm.common import table
 from tidemark.llm.registry import query
 
@@ -89,3 +89,11 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_hilbert")
 def op10_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.search(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(50)) == 0)
+
+
+@query("op12_secrets")
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings of every whole text; an owner is a source, a repository its language in it."""
+    docs = table(spark, sf_dir, "documents")
+    scanned = credentials.scan(docs, "text", *site(docs), ["doc_id"])
+    return credentials.by_document(scanned, credentials.findings(scanned))
