@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import credentials, hilbert, jaccard, mixing, pieces, quality, subspace, surrogates, token_counts, token_files, warc
+from tidemark.llm import credentials, dialogue, hilbert, jaccard, mixing, pieces, quality, subspace, surrogates, token_counts, token_files, warc
 from tidemark.llm.common import table
 from tidemark.llm.registry import query
 
@@ -97,3 +97,8 @@ def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scanned = credentials.scan(docs, "text", *site(docs), ["doc_id"])
     return credentials.by_document(scanned, credentials.findings(scanned))
+
+
+@query("op13_dialogue")
+def op13_dialogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogue.repair_damaged(table(spark, sf_dir, "conversations"))
