@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import itertools
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import cut, scratch_path, shared_root
 
-__all__ = ["aside", "cut", "discard", "mark_hot", "open_shared", "pack", "put_back", "scratch_path", "shared_root", "slices", "split_join", "spread", "stored", "table", "tokenizer", "unpack"]
+__all__ = ["aside", "cut", "discard", "mark_hot", "open_shared", "pack", "put_back", "row_slices", "scratch_path", "shared_root", "slices", "split_join", "spread", "stored", "table", "tokenizer", "unpack"]
 
 #: Rows of one Arrow batch; slices() then cuts or joins batches by bytes.
 BATCH_ROWS = 1000
@@ -79,6 +80,13 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int) -> Iterat
         yield pa.Table.from_batches(held)
 
 
+def row_slices(batches: Iterable[pa.RecordBatch], column: str, limit: int, most: int = 64) -> Iterator[pa.Table]:
+    """slices() with also a bound on rows, those of ``most`` batches: texts may all be empty."""
+    rest = iter(batches)
+    for first in rest:
+        yield from slices(itertools.chain([first], itertools.islice(rest, most - 1)), column, limit)
+
+
 def pack(values: np.ndarray) -> bytes:
     """An integer array, its bytes by significance and compressed."""
     width = values.dtype.itemsize

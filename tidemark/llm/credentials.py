@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from tidemark.llm.common import mark_hot, slices, split_join, stored
+from tidemark.llm.common import mark_hot, row_slices, split_join, stored
 from tidemark.llm.words import _runs, raw
 
 # The kinds in their order, and the patterns that define the first three.
@@ -145,7 +145,7 @@ def scan(docs: DataFrame, text: str, owner: Column, repository: Column, keep: li
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
-        for rows in slices(batches, "_text", 4 << 20):
+        for rows in row_slices(batches, "_text", 4 << 20):
             column = rows["_text"].combine_chunks()
             data, offsets = raw(column)
             base = _base(column, data, offsets)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import credentials, dialogue, hilbert, jaccard, mixing, pieces, quality, subspace, surrogates, token_counts, token_files, warc
+from tidemark.llm import credentials, crosswalk, dialogue, hilbert, jaccard, mixing, pieces, quality, subspace, surrogates, token_counts, token_files, warc
 from tidemark.llm.common import table
 from tidemark.llm.registry import query
 
@@ -91,6 +91,13 @@ def op10_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.search(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(50)) == 0)
 
 
+@query("op11_crosswalk")
+def op11_crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = crosswalk.align_corpus(docs, "text", ["doc_id"], public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 @query("op12_secrets")
 def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Findings of every whole text; an owner is a source, a repository its language in it."""
