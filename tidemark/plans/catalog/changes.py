@@ -18,6 +18,8 @@ from tidemark.plans.catalog.scalars import row_text_sql
 from tidemark.plans.registry import query
 from tidemark.plans.star import star
 from tidemark.plans.trucking import source
+from tidemark.session import scratch_path
+from tidemark.sources.buckets import BucketLog, Merge
 
 
 #: Keys are split from this many rows on, so that splitting happens on small data too.
@@ -65,6 +67,15 @@ def incremental_revive(spark, sf):
 
 
 OLD, NOW = "2024-01-01", "2024-02-01"
+#: Of a bucket, so that the given tables have several.
+BUCKET_BYTES = 64 << 10
+
+
+def bucketed(spark, name, df, key):
+    """A new table of buckets, at version 1."""
+    log = BucketLog(spark, scratch_path(spark, name), BUCKET_BYTES)
+    log.create("run-1", {name: (df, [key])})
+    return log
 
 
 def _silver_target(spark, sf):
@@ -89,7 +100,12 @@ def _silver_target(spark, sf):
 def merge_upsert(spark, sf):
     """Rows that differ are updated, new ones inserted, equal ones left alone, none removed."""
     target, fresh = _silver_target(spark, sf)
-    return G.merge_upsert(target, fresh, "customer_id", now=F.lit(NOW).cast("timestamp"), with_action=True)
+    now = F.lit(NOW).cast("timestamp")
+    log = bucketed(spark, "customers", target, "customer_id")
+    log.merge("run-2", {"customers": Merge(fresh.select("customer_id"), lambda rows: G.merge_upsert(rows, fresh, "customer_id", now=now))})
+    action = (F.when(F.col("_silver_created_at") == now, "insert").when(F.col("_silver_updated_at") == now, "update")
+              .otherwise("keep"))
+    return log.read("customers").withColumn("_action", action)
 
 
 FEED_OUT = "customer_id bigint, account_status string, _change_type string"
@@ -105,7 +121,12 @@ FEED_OUT = "customer_id bigint, account_status string, _change_type string"
     UNION ALL SELECT s.customer_id, s.account_status, 'update_postimage' FROM raw_customers AS t
     JOIN customers_after AS s ON s.customer_id = t.customer_id WHERE s.account_status <> t.account_status""")
 def change_feed(spark, sf):
-    return G.change_feed(*landing.customer_versions(spark, sf), ["customer_id"])
+    """The images that the publish of the later version left, read by version."""
+    before, after = landing.customer_versions(spark, sf)
+    log = bucketed(spark, "customers", before, "customer_id")
+    keys = before.select("customer_id").unionByName(after.select("customer_id"))
+    log.merge("run-2", {"customers": Merge(keys, lambda rows: after)})
+    return log.changes("customers", 1)
 
 
 @query("change_window", "step_name string, source_table string, version_from bigint, version_to bigint, "
@@ -201,7 +222,12 @@ define("pub_list", "SELECT trip_id FROM fact_trip WHERE route_key % 10 IN (3, 4,
     FROM pub_target WHERE trip_id NOT IN (SELECT trip_id FROM pub_stage)
     UNION ALL SELECT trip_id, route_key, is_deleted_in_source FROM pub_stage""")
 def publish_by_key(spark, sf):
-    return G.publish_by_key(*_publish_case(spark, sf), "trip_id")
+    """Only the buckets of staged and listed trips are read and written."""
+    target, staged, listed = _publish_case(spark, sf)
+    log = bucketed(spark, "fact_trip", target, "trip_id")
+    keys = staged.select("trip_id").unionByName(listed)
+    log.merge("run-2", {"fact_trip": Merge(keys, lambda rows: G.publish_by_key(rows, staged, listed, "trip_id"))})
+    return log.read("fact_trip")
 
 
 COUNTS_SQL = """
@@ -362,7 +388,9 @@ def hash_baseline_compare(spark, sf):
 def apply_change_batch(spark, sf):
     """The last event of a user decides; a delete keeps the image, a later event revives."""
     snapshot, events = landing.user_change_events(spark, sf)
-    return I.apply_change_batch(snapshot, events, "user_id").select(
+    log = bucketed(spark, "users", I.sequenced(snapshot), "user_id")
+    log.merge("batch-1", {"users": Merge(events, lambda rows: I.apply_change_batch(rows, events, "user_id"))})
+    return log.read("users").select(
         "user_id", "event_type", "value", F.col("_is_deleted_in_source").alias("deleted"),
         F.col("_source_changed_at").alias("changed_at"), F.col("_source_sequence").alias("seq"))
 
@@ -392,10 +420,13 @@ def validate_change_batch(spark, sf):
 def touch_delete_restore(spark, sf):
     """Controlled changes: rewrite unchanged, flag deleted, restore from the earlier version."""
     table, _ = _silver_target(spark, sf)
-    keys = table.where("customer_id % 10 IN (1, 2)")
-    deleted = G.flag_deleted(table, keys, "customer_id", F.lit(NOW).cast("timestamp"))
-    steps = {"touched": G.touch_rows(table, keys, "customer_id", "touch"), "deleted": deleted,
-             "restored": G.restore_flags(deleted, table, keys, "customer_id")}
+    keys, key = table.where("customer_id % 10 IN (1, 2)").select("customer_id"), "customer_id"
+    touched, deleted = (bucketed(spark, "customers", table, key) for _ in range(2))
+    touched.merge("touch", {"customers": Merge(keys, lambda rows: G.touch_rows(rows, keys, key, "touch"))})
+    deleted.merge("delete", {"customers": Merge(keys, lambda rows: G.flag_deleted(rows, keys, key, F.lit(NOW).cast("timestamp")))})
+    earlier = deleted.rows_of("customers", keys, 1)
+    deleted.merge("restore", {"customers": Merge(keys, lambda rows: G.restore_flags(rows, earlier, keys, key))})
+    steps = {"touched": touched.read("customers"), "deleted": deleted.read("customers", 2), "restored": deleted.read("customers")}
     out = None
     for name, df in steps.items():
         part = df.groupBy("_is_deleted_in_source", "_silver_run_id").agg(F.count(F.lit(1)).alias("rows")).select(

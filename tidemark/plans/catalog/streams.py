@@ -4,21 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.operators.history import sequenced
 from tidemark.plans import landing
 from tidemark.plans.registry import query
 from tidemark.plans.trucking import given
 from tidemark.session import scratch_path
-from tidemark.sources.versions import TableLog
+from tidemark.sources.buckets import BucketLog
 from tidemark.streaming.landing import ingest, landed_stream, merge_stream
 
 
 def _write_batches(df, root):
-    """One folder batch_seq=NNNNNN per value of seq, the way batches land."""
-    named = df.withColumn("batch_seq", F.format_string("%06d", "seq")).drop("seq")
-    named.repartition("batch_seq").write.partitionBy("batch_seq").parquet(root)
+    """One folder batch_seq=NNNNNN per value of seq, the way batches land; a large batch is written by several tasks."""
+    named = df.withColumns({"batch_seq": F.format_string("%06d", "seq"), "_part": F.pmod(F.xxhash64(*df.columns), F.lit(8))}).drop("seq")
+    named.repartition("batch_seq", "_part").drop("_part").write.partitionBy("batch_seq").parquet(root)
 
 
-@query("stream_landing_ingest", "batch_seq int, rows bigint, total double", """
+@query("stream_landing_ingest", "batch_seq bigint, rows bigint, total double", """
     SELECT day(ts) - 1 AS batch_seq, count(*) AS rows, sum(CAST(value AS DECIMAL(14,2))) AS total
     FROM events GROUP BY 1""")
 def stream_landing_ingest(spark, sf):
@@ -48,9 +49,8 @@ def stream_merge_current_state(spark, sf):
     # Ten-day batches, the latest first, so that files arrive out of order.
     staged = events.withColumn("seq", (3 - F.floor(F.dayofmonth("_source_changed_at") / 10)).cast("int"))
     _write_batches(staged, root)
-    log = TableLog(spark, f"{root}-state")
-    log.publish("snapshot", {"users": snapshot.withColumns({
-        "_source_sequence": F.lit(0).cast("bigint"), "_source_batch_id": F.lit(None).cast("string")})})
+    log = BucketLog(spark, f"{root}-state", 64 << 10)
+    log.create("snapshot", {"users": (sequenced(snapshot), ["user_id"])})
     merge_stream(landed_stream(spark, root, events.schema, 1), log, "users", "user_id", f"{root}-checkpoint")
     return log.read("users").select("user_id", "event_type", "value", F.col("_is_deleted_in_source").alias("deleted"),
                                     F.col("_source_sequence").alias("seq"))

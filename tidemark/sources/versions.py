@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,12 @@ from tidemark.sources.sinks import exists, write_text
 COMMIT = "commit_seq bigint, run_id string, table string, version bigint, path string"
 
 
+def side_by_side(write: Callable, rows: list) -> list:
+    """Independent writes; Spark runs the jobs of several threads side by side."""
+    with ThreadPoolExecutor(max_workers=max(1, min(8, len(rows)))) as pool:
+        return list(pool.map(write, rows))
+
+
 class TableLog:
     """The versioned tables under one root folder."""
 
@@ -26,10 +33,14 @@ class TableLog:
         self.spark, self.root = spark, root.rstrip("/")
 
     def commits(self) -> DataFrame:
+        return self.logged(COMMIT)
+
+    def logged(self, schema: str) -> DataFrame:
+        """The commit rows, with the fields asked for."""
         path = f"{self.root}/_commits"
         if not exists(self.spark, path):
-            return self.spark.createDataFrame([], COMMIT)
-        return self.spark.read.schema(COMMIT).option("mode", "FAILFAST").option("pathGlobFilter", "*.json").json(path)
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("mode", "FAILFAST").option("pathGlobFilter", "*.json").json(path)
 
     def current(self) -> DataFrame:
         """The newest version per table: a few rows, one per table."""
@@ -52,9 +63,11 @@ class TableLog:
             version = known[name]["version"] + 1 if name in known else 1
             rows.append({"commit_seq": sequence, "run_id": run_id, "table": name, "version": version,
                          "path": f"{self.root}/{name}/v{version:08d}-{run_id}-{attempt}"})
-        # Independent writes; Spark runs the jobs of several threads side by side.
-        with ThreadPoolExecutor(max_workers=min(8, len(rows))) as pool:
-            list(pool.map(lambda r: tables[r["table"]].write.mode("errorifexists").parquet(r["path"]), rows))
+        side_by_side(lambda r: tables[r["table"]].write.mode("errorifexists").parquet(r["path"]), rows)
+        return self.commit(sequence, rows)
+
+    def commit(self, sequence: int, rows: list[dict]) -> int:
+        """One new file holds a run's rows; they are visible from then on. Fails where the sequence is taken."""
         lines = [json.dumps(r) for r in rows]
         write_text(self.spark, f"{self.root}/_commits/commit-{sequence:010d}.json", "\n".join(lines) + "\n")
         return sequence

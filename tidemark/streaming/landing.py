@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.history import apply_change_batch
-from tidemark.sources.versions import TableLog
+from tidemark.sources.buckets import BucketLog, Merge
 
 
 def landed_stream(spark: SparkSession, landing: str, schema: T.StructType,
@@ -23,7 +23,7 @@ def landed_stream(spark: SparkSession, landing: str, schema: T.StructType,
     return (
         spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
         .option("recursiveFileLookup", "true").parquet(landing)
-        .withColumn("batch_seq", F.coalesce(seq, F.raise_error(F.concat(F.lit("no batch folder: "), path)).cast("string")).cast("int")))
+        .withColumn("batch_seq", F.coalesce(seq, F.raise_error(F.concat(F.lit("no batch folder: "), path)).cast("string")).cast("bigint")))
 
 
 def drain(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None]) -> None:
@@ -46,16 +46,17 @@ def ingest(stream: DataFrame, target: str, checkpoint: str) -> None:
     drain(stream, checkpoint, write)
 
 
-def merge_stream(stream: DataFrame, log: TableLog, table: str, key: str, checkpoint: str) -> None:
-    """Fold change events into a versioned table, one committed version per micro-batch.
+def merge_stream(stream: DataFrame, log: BucketLog, table: str, key: str, checkpoint: str) -> None:
+    """Fold change events into a bucketed table, one committed version per micro-batch.
 
-    An event counts only when its sequence is beyond the stored row's, so late files and
+    A batch reads and writes the buckets of its own keys, so its work follows the batch, and leaves the rows it changed in the table's
+    feed. An event counts only when its sequence is beyond the stored row's, so late files and
     replayed batches leave the result unchanged. A batch whose commit exists is skipped.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         run_id = f"stream-{table}-{batch_id}"
         if not log.commits().where((F.col("run_id") == run_id) & (F.col("table") == table)).isEmpty():
             return
-        log.publish(run_id, {table: apply_change_batch(log.read(table), batch, key)})
+        log.merge(run_id, {table: Merge(batch.select(key), lambda rows: apply_change_batch(rows, batch, key))})
 
     drain(stream, checkpoint, write)
