@@ -135,9 +135,10 @@ class BucketLog(TableLog):
             keys = cut(merge.keys.select(*at.keys).distinct())
             touched = sorted(at.folders) if wide else self._touched(keys, at)
             rows = self._rows(at, touched)
-            batch = rows.join(keys, at.keys, "left_semi")
-            after = cut(merge.next(batch).select(*at.schema.names))
-            rest = rows.join(keys, at.keys, "left_anti")
+            names = at.schema.names
+            batch = rows.join(keys, at.keys, "left_semi").select(*names)
+            after = cut(merge.next(batch).select(*[F.col(f.name).cast(f.dataType) for f in at.schema]))
+            rest = rows.join(keys, at.keys, "left_anti").select(*names)
             return self._written(name, run_id, at.version + 1, at.keys, n, list(range(n)) if wide else touched,
                                  rest.unionByName(after), change_feed(batch, after, at.keys))
 
