@@ -80,7 +80,7 @@ def test_audit(make):
              event(2, "claimed", 0), event(2, "silver_applied", 1, run="other"), event(3, "claimed", 0),
              event(3, "failed", 1, run="other"), event(4, "waived", 0, actor="a"))
     gold = make("run_id string", ("r1",))
-    got = C.audit_transitions(e, gold, floor_rows=1)
+    got = C.audit_transitions(e, gold)
     assert rows_of(got, "batch_seq", "violation") == [
         (2, "not the owner"), (3, "needs a reason"), (3, "needs the operator"), (4, "incomplete waiver"),
         (4, "not a valid next state")]

@@ -83,7 +83,7 @@ def test_partial_special_members_are_an_error(make):
 def test_versions_from_history(make):
     df = make("id int, day int, v string", (1, 20240101, "a"), (1, 20240105, "a"), (1, 20240120, "b"), (1, 20240125, "a"),
               (2, 20240103, None), (2, 20240115, "x"))
-    got = D.scd2_from_history(df, "id", ["v"], "day", floor_rows=1)
+    got = D.scd2_from_history(df, "id", ["v"], "day")
     assert rows_of(got, "id", "v", "valid_from_date_key", "valid_to_date_key", "is_current") == [
         (1, "a", 20240101, 20240120, False), (1, "a", 20240125, 99991231, True), (1, "b", 20240120, 20240125, False),
         (2, "x", 20240115, 99991231, True), (2, None, 20240103, 20240115, False)]

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.compare import lookup
-from tidemark.operators.segments import FLOOR_ROWS, first_per_key, latest_per_key, segmented
+from tidemark.operators.segments import first_per_key, latest_per_key, segmented
 from tidemark.session import cut
 
 #: Which of several events at one instant counts.
@@ -167,7 +167,7 @@ ALLOWED_BEFORE = {
 }
 
 
-def audit_transitions(events: DataFrame, gold_success: DataFrame, floor_rows: int = FLOOR_ROWS) -> DataFrame:
+def audit_transitions(events: DataFrame, gold_success: DataFrame) -> DataFrame:
     """Every recorded event that was not allowed: (batch_seq, event_type, event_at, violation).
 
     The state before an event is the event before it, or discovered. The owner is the run
@@ -175,7 +175,7 @@ def audit_transitions(events: DataFrame, gold_success: DataFrame, floor_rows: in
     """
     who = F.when(F.col("event_type") == "claimed", F.col("run_id"))
     rows = segmented(events, ["batch_seq"], ["event_at", "event_type"], lag={"_before": F.col("event_type")},
-                     last={"_owner": who}, floor_rows=floor_rows)
+                     last={"_owner": who})
     rows = rows.withColumn("_state", F.coalesce("_before", F.lit("discovered")))
     done = gold_success.select("run_id").distinct().withColumn("_gold", F.lit(True))
     rows = rows.join(done, "run_id", "left")

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.compare import CheckFailed, differs, fail_if, lookup
 from tidemark.functions.dates import OPEN_END, date_key, month_name
-from tidemark.operators.segments import FLOOR_ROWS, numbered, segmented
+from tidemark.operators.segments import numbered, segmented
 
 #: The special members of every dimension.
 SPECIAL = ((0, "Missing"), (-1, "Unknown"), (-2, "Not Applicable"))
@@ -234,19 +234,18 @@ def scd2_apply(dim: DataFrame | None, source: DataFrame, id_column: str, key: st
     return (existing.select(*layout).unionByName(new.select(*layout)).unionByName(special.select(*layout)))
 
 
-def scd2_from_history(history: DataFrame, id_column: str, attributes: Sequence[str], date_column: str,
-                      floor_rows: int = FLOOR_ROWS) -> DataFrame:
+def scd2_from_history(history: DataFrame, id_column: str, attributes: Sequence[str], date_column: str) -> DataFrame:
     """Versions straight from a full history: islands of equal attributes, half-open.
 
     history has one row per (id, date_column), an int date key; values may repeat.
     """
     rows = segmented(history.select(id_column, date_column, *attributes), [id_column], [date_column],
-                     lag={"_before": F.struct(*attributes)}, floor_rows=floor_rows)
+                     lag={"_before": F.struct(*attributes)})
     starts = rows.where(F.col("_before").isNull() | differs(
         [F.col(a) for a in attributes], [F.col(f"_before.{a}") for a in attributes])).drop("_before")
     # The next start of a key is the previous one on the reversed order.
     closed = segmented(starts.withColumn("_reversed", -F.col(date_column)), [id_column], ["_reversed"],
-                       lag={"_next": F.col(date_column)}, floor_rows=floor_rows)
+                       lag={"_next": F.col(date_column)})
     return closed.select(
         id_column, *attributes, F.col(date_column).alias("valid_from_date_key"),
         F.coalesce("_next", F.lit(OPEN_END)).alias("valid_to_date_key"),

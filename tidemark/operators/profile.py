@@ -148,7 +148,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
                           for x in (F.lit(c), F.array(*[F.lit(v) for v in (q or [0.0])]))])
     cells = numeric_cells(df, columns)
     place = F.size(F.filter(cuts[F.col("column")], lambda cut: cut < F.col("value")))
-    running = segmented(cells, ["column"], ["value"], place, running={"upto": F.col("n")})
+    running = segmented(cells, ["column"], ["value"], running={"upto": F.col("n")})
     totals = cells.groupBy("column").agg(F.sum("n").alias("total"))
     # One row per profiled column: its total is a handful of numbers.
     ranked = running.join(F.broadcast(totals), "column")

@@ -1,10 +1,10 @@
-"""Ordered computations per key that survive a hot key.
+"""Ordered computations per key that survive a hot key: a scan over range partitions.
 
 A window partitioned by a key sorts all rows of that key in one task. When one key
-may hold a third of the table that task never ends. Here the rows of a hot key are cut
-into segments of the ordering column, the window runs per (key, segment), and one
-summary row per (key, segment) carries the state of all earlier segments into the
-next. The result is exact; the largest sort is one segment of one key.
+may hold a third of the table that task never ends. Here the rows are range-partitioned by key, order and tie, so a hot
+key lies in several partitions and every partition holds about as many rows. The window runs per (partition,
+key); a key that goes on over a border carries one row of state per partition into the next. The
+result is exact, whatever bursts, far-off values or equal order values the data holds: nothing is counted or binned.
 """
 
 from __future__ import annotations
@@ -13,75 +13,42 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-_SEG = "_segment"
-#: Keys below this many rows are never split.
-FLOOR_ROWS = 1_000_000
-#: A key is hot from this share of all rows on, so there are never more hot keys than this.
-MOST_HOT_KEYS = 100_000
-#: Bins in which a hot key's rows are counted; only those that hold rows exist.
-BINS = 1 << 20
-
-
-def _position(df: DataFrame, column: str) -> Column:
-    """The ordering column as a number that grows with it."""
-    kind = df.schema[column].dataType
-    c = F.col(column)
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(c).cast("double")
-    return c.cast("double")
-
-
-def split_hot_keys(df: DataFrame, keys: Sequence[str], order: str, floor_rows: int = FLOOR_ROWS) -> DataFrame:
-    """df with _segment: 0 for ordinary keys, stretches of `order` with about as many rows each for hot ones.
-
-    The rows are counted per key first, with map-side combining. Hot is a key with more rows
-    than floor_rows and than total / 100,000, so the hot keys that are broadcast are at most
-    100,000 rows whatever the data. Their rows are then counted in BINS narrow bins of `order`, and the
-    running counts say where to cut, so neither bursts nor a far-off value undo the split. Counts
-    are exact, so a rerun cuts at the same places. Rows of one bin stay together.
+
+from tidemark.session import stored
+
+_PART = "_part"
+
+
+def ranged(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """df with _part, the number of its range partition by keys and order, as a written table.
+
+    Spark samples the borders of the ranges, so another computation of the same rows may draw them elsewhere. They
+    are written once, and every use reads the same partitions. Partitions are as many as a shuffle has.
     """
-    place = _position(df, order)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("_lo"), F.max(place).alias("_hi"))
-    limit = F.greatest(F.lit(float(floor_rows)),
-                       counts.agg((F.sum("_n") / MOST_HOT_KEYS).cast("double").alias("t")).scalar())
-    hot = counts.where(F.col("_n") > limit).select(
-        *keys, "_lo", F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1.0)).alias("_span"),
-        F.ceil(F.col("_n") / limit).alias("_pieces"))
-    narrow = F.floor((place - F.col("_lo")) / F.col("_span") * BINS)
-    bins = (df.join(F.broadcast(hot), list(keys)).where(place.isNotNull())
-            .groupBy(*keys, "_pieces", narrow.alias("_bin")).agg(F.count(F.lit(1)).alias("_n")))
-    along = Window.partitionBy(*keys).orderBy("_bin")
-    before = F.coalesce(F.sum("_n").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    piece = F.floor(before * F.col("_pieces") / F.sum("_n").over(Window.partitionBy(*keys)))
-    cuts = (bins.withColumn("_piece", piece).groupBy(*keys, "_piece").agg(F.min("_bin").alias("_from"))
-            .groupBy(*keys).agg(F.array_sort(F.collect_list("_from")).alias("_cuts")))
-    marked = df.join(F.broadcast(hot), list(keys), "left").join(F.broadcast(cuts), list(keys), "left")
-    # NULLs of the ordering column come first, as they do in the window.
-    mine = F.size(F.filter("_cuts", lambda c: c <= narrow)) - 1
-    segment = (F.when(F.col("_pieces").isNull(), F.lit(0)).when(place.isNull() | F.col("_cuts").isNull(), F.lit(-1))
-               .otherwise(mine))
-    return marked.select(*df.columns, segment.cast("bigint").alias(_SEG))
+    dealt = df.repartitionByRange(*[F.col(c).asc() for c in (*keys, *order)])
+    return stored(dealt.withColumn(_PART, F.spark_partition_id()), "ranged")
+
+
+def spanning(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys that go on over a border of partitions: at most one per partition."""
+    ends = rows.groupBy(_PART).agg(F.min(F.struct(*keys)).alias("_lo"), F.max(F.struct(*keys)).alias("_hi"))
+    along = Window.orderBy(_PART)  # one row per partition
+    return ends.select("_hi", F.lead("_lo").over(along).alias("_next")).where(F.col("_hi") == F.col("_next")).select("_hi.*").distinct()
 
 
 def segmented(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    segment: Column | None = None,
     *,
     lag: dict[str, Column] | None = None,
     last: dict[str, Column] | None = None,
     running: dict[str, Column] | None = None,
-    floor_rows: int = FLOOR_ROWS,
 ) -> DataFrame:
     """Add ordered per-key columns to df.
 
-    keys must be non-null and order ascending and total within a key. Without a segment the
-    hot keys are found and split; a given segment must not decrease along order within a key.
+    keys must be non-null and order ascending and total within a key: its later columns break the ties of the first. The rows are
+    written on the way, see ranged().
 
     lag      {name: expression}  the expression's value on the previous row
     last     {name: expression}  its latest non-null value up to this row
@@ -89,35 +56,33 @@ def segmented(
     """
     lag, last, running = lag or {}, last or {}, running or {}
     place = F.struct(*[F.col(c) for c in order])
-    inner = Window.partitionBy(*keys, _SEG).orderBy(*[F.col(c).asc() for c in order])
+    inner = Window.partitionBy(_PART, *keys).orderBy(*[F.col(c).asc() for c in order])
     upto = inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-    rows = split_hot_keys(df, keys, order[0], floor_rows) if segment is None else df.withColumn(_SEG, segment)
-    for name, value in lag.items():
-        # Wrapped, so that a NULL value and a missing previous row stay different.
-        rows = rows.withColumn(f"_v_{name}", F.struct(value.alias("v")))
-    for name, value in {**last, **running}.items():
-        rows = rows.withColumn(f"_v_{name}", value)
+    rows = ranged(df, keys, order)
+    # Wrapped, so that a NULL value and a missing previous row stay different.
+    values = {f"_v_{n}": F.struct(v.alias("v")) for n, v in lag.items()} | {f"_v_{n}": v for n, v in {**last, **running}.items()}
+    rows = rows.withColumns(values)
     own = {f"_i_{n}": F.lag(f"_v_{n}").over(inner) for n in lag}
     own.update({f"_i_{n}": F.last(f"_v_{n}", ignorenulls=True).over(upto) for n in last})
     own.update({f"_i_{n}": F.sum(f"_v_{n}").over(upto) for n in running})
-    rows = rows.withColumns(own)
 
-    summary = rows.groupBy(*keys, _SEG).agg(
+    # at most one key per border, so two rows of state per partition
+    few = rows.join(F.broadcast(spanning(rows, keys)), list(keys), "left_semi")
+    summary = few.groupBy(*keys, _PART).agg(
         *[F.max_by(f"_v_{n}", place).alias(f"_s_{n}") for n in lag],
         *[F.max_by(f"_v_{n}", F.when(F.col(f"_v_{n}").isNotNull(), place)).alias(f"_s_{n}") for n in last],
         *[F.sum(f"_v_{n}").alias(f"_s_{n}") for n in running],
     )
-    # One row per segment of a key from here on.
-    across = Window.partitionBy(*keys).orderBy(_SEG)
+    across = Window.partitionBy(*keys).orderBy(_PART)
     before = across.rowsBetween(Window.unboundedPreceding, -1)
     carried = summary.select(
-        *keys, _SEG,
+        *keys, _PART,
         *[F.lag(f"_s_{n}").over(across).alias(f"_c_{n}") for n in lag],
         *[F.last(f"_s_{n}", ignorenulls=True).over(before).alias(f"_c_{n}") for n in last],
         *[F.sum(f"_s_{n}").over(before).alias(f"_c_{n}") for n in running],
     )
-    joined = rows.join(carried, [*keys, _SEG], "left")
+    joined = rows.withColumns(own).join(F.broadcast(carried), [*keys, _PART], "left")
     result = {n: F.coalesce(f"_i_{n}", f"_c_{n}")["v"] for n in lag}
     result.update({n: F.coalesce(f"_i_{n}", f"_c_{n}") for n in last})
     result.update({

@@ -17,9 +17,6 @@ from tidemark.plans.trucking import given, source
 
 
 
-#: Keys are split from this many rows on, so that splitting happens on small data too.
-SPLIT = 10
-
 
 def n_rows():
     return F.count(F.lit(1))
@@ -205,8 +202,7 @@ def win_latest(spark, sf):
 def win_lag_version(spark, sf):
     """The previous row of the same key, exact across the pieces of a split key."""
     events = given(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
-    rows = segmented(events, ["user_id"], ["ts", "event_id"], lag={"p": F.struct("event_type", "ts")},
-                     floor_rows=SPLIT)
+    rows = segmented(events, ["user_id"], ["ts", "event_id"], lag={"p": F.struct("event_type", "ts")})
     return rows.select("event_id", "user_id", F.col("p.event_type").alias("previous_type"),
                        F.col("p.ts").alias("previous_at"))
 
@@ -217,7 +213,7 @@ def win_lag_version(spark, sf):
     FROM events""")
 def win_last_ignore_nulls(spark, sf):
     events = given(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
-    return segmented(events, ["user_id"], ["ts", "event_id"], floor_rows=SPLIT,
+    return segmented(events, ["user_id"], ["ts", "event_id"],
                      last={"last_signup": F.when(F.col("event_type") == "signup", F.col("ts"))})
 
 
@@ -232,9 +228,8 @@ def win_last_ignore_nulls(spark, sf):
            sum(CAST(starts AS INT)) OVER (PARTITION BY user_id ORDER BY seen_at) AS island FROM s""")
 def win_gaps_islands(spark, sf):
     """Runs broken by a change of value or by a complete snapshot without the key."""
-    rows = versions(landing.user_history(spark, sf), "user_id", floor_rows=SPLIT)
-    rows = segmented(rows, ["user_id"], ["_ingested_at"], running={"island": F.col("starts").cast("int")},
-                     floor_rows=SPLIT)
+    rows = versions(landing.user_history(spark, sf), "user_id")
+    rows = segmented(rows, ["user_id"], ["_ingested_at"], running={"island": F.col("starts").cast("int")})
     return rows.select("user_id", F.col("_ingested_at").cast("date").alias("day"), "starts", "island")
 
 
@@ -270,8 +265,7 @@ def win_lag_difference(spark, sf):
     """Miles since the previous service of the same truck."""
     rows = source(spark, sf, "maintenance_records").where("truck_id IS NOT NULL")
     rows = segmented(rows.select("maintenance_id", "truck_id", "maintenance_date", "odometer_reading"), ["truck_id"],
-                     ["maintenance_date", "maintenance_id"], lag={"before": F.col("odometer_reading")},
-                     floor_rows=SPLIT)
+                     ["maintenance_date", "maintenance_id"], lag={"before": F.col("odometer_reading")})
     return rows.withColumn("miles_since_last", F.col("odometer_reading") - F.col("before"))
 
 

@@ -22,10 +22,6 @@ from tidemark.session import scratch_path
 from tidemark.sources.buckets import BucketLog, Merge
 
 
-#: Keys are split from this many rows on, so that splitting happens on small data too.
-SPLIT = 10
-
-
 STATE_OUT = "user_id bigint, event_type string, seen_on date, changed_at ts, deleted flag"
 
 
@@ -37,7 +33,7 @@ def _state(df):
 @query("current_state", STATE_OUT, "SELECT *, CAST(seen_at AS DATE) AS seen_on FROM user_state")
 def current_state(spark, sf):
     """One row per user: latest version, start of its unbroken run, or when it went away."""
-    return _state(I.current_state(landing.user_history(spark, sf), "user_id", floor_rows=SPLIT))
+    return _state(I.current_state(landing.user_history(spark, sf), "user_id"))
 
 
 @query("latest_live_snapshot", "user_id bigint, event_type string, seen_on date", """
@@ -60,15 +56,15 @@ def incremental_revive(spark, sf):
     """Recent loads only, against a stored state in which some users are deleted."""
     history = landing.user_history(spark, sf)
     at = F.col("_ingested_at")
-    stored = I.current_state(history.where(at <= F.lit("2024-01-20").cast("timestamp")), "user_id", floor_rows=SPLIT)
+    stored = I.current_state(history.where(at <= F.lit("2024-01-20").cast("timestamp")), "user_id")
     recent = history.where(at >= F.lit("2024-01-15").cast("timestamp"))
-    return _state(I.incremental_state(recent, stored, "user_id", floor_rows=SPLIT).withColumn(
+    return _state(I.incremental_state(recent, stored, "user_id").withColumn(
         "_is_deleted_in_source", F.lit(False)))
 
 
 OLD, NOW = "2024-01-01", "2024-02-01"
 #: Of a bucket, so that the given tables have several.
-BUCKET_BYTES = 64 << 10
+BUCKET_BYTES = 256 << 10
 
 
 def bucketed(spark, name, df, key):
@@ -408,7 +404,7 @@ def apply_change_batch(spark, sf):
     HAVING min(seq) <> 1 OR max(seq) <> count(*) OR count(DISTINCT seq) <> count(*)""")
 def validate_change_batch(spark, sf):
     snapshot, events = landing.user_change_events(spark, sf)
-    return I.validate_change_batch(snapshot, events, "user_id", F.lit("2024-01-28").cast("date"), floor_rows=SPLIT)
+    return I.validate_change_batch(snapshot, events, "user_id", F.lit("2024-01-28").cast("date"))
 
 
 @query("touch_delete_restore", "step string, _is_deleted_in_source flag, _silver_run_id string, rows bigint", """

@@ -142,7 +142,7 @@ def audit_transitions(spark, sf):
     """Recorded events that should not have been accepted; two thirds of the applied runs finished gold."""
     events = landing.batch_events(spark, sf)
     gold = events.where("event_type = 'silver_applied' AND batch_seq % 3 <> 0")
-    return C.audit_transitions(events, gold, floor_rows=1)
+    return C.audit_transitions(events, gold)
 
 
 @query("cdf_checkpoint", "step_name string, source_table string, last_version bigint", """

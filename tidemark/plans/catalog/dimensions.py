@@ -154,7 +154,7 @@ def scd2_from_history(spark, sf):
     """Versions from a full history; busy users are split, so no window holds all their days."""
     daily = given(spark, sf, "events").groupBy("user_id", date_key("ts").alias("day")).agg(
         F.max_by("event_type", "ts").alias("event_type"))
-    return D.scd2_from_history(daily, "user_id", ["event_type"], "day", floor_rows=10)
+    return D.scd2_from_history(daily, "user_id", ["event_type"], "day")
 
 
 for _name, _cols in (("load_type", ("booking_type", "load_type")),

@@ -101,7 +101,7 @@ def join_theta_range(spark, sf):
     loads = load_batches(history)
     total = loads.agg(F.max("full_upto")).scalar()
     rows = history.join(loads, "_ingested_at")
-    rows = segmented(rows, ["user_id"], ["_ingested_at"], lag={"before": F.col("full_upto")}, floor_rows=10)
+    rows = segmented(rows, ["user_id"], ["_ingested_at"], lag={"before": F.col("full_upto")})
     last = rows.groupBy("user_id").agg(F.max("_ingested_at").alias("last_at"))
     return rows.join(last, "user_id").select(
         "user_id", F.col("_ingested_at").cast("date").alias("day"),

@@ -77,6 +77,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """df as a Parquet table in the shared folder: computed once, whatever reads it, and there if executors are lost."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise df in the shared folder and drop its lineage.
 
