@@ -106,3 +106,34 @@ def test_city_map_needs_agreement(make):
 
 def test_state_reference():
     assert len(D.US_STATES) == 51
+
+
+def test_as_of_by_scan_equals_the_range_join(make):
+    import random
+
+    from tidemark.operators.lookups import as_of, as_of_scan
+
+    rng = random.Random(2)
+    dim, n = [], 0
+    for i in [*range(6), None]:
+        at = rng.randrange(5)
+        while at < 60:
+            n, until = n + 1, at + rng.randrange(1, 9)
+            dim.append((i, n, at, until, f"why{n}"))
+            at = until + rng.choice([0, 0, 3])
+    dim = make("id int, key bigint, valid_from_date_key int, valid_to_date_key int, reason string", *dim, (0, -1, 0, 99, "no"))
+    facts = make("f int, ref int, day int", *[(i, rng.choice([*range(8), None]), rng.choice([*range(70), None])) for i in range(400)])
+    joined = as_of(facts, dim, "id", "key", "day", "hit", reference="ref").join(dim.select(F.col("key").alias("hit"), "reason"), "hit", "left")
+    scanned = as_of_scan(facts, dim, "id", "key", "day", "hit", reference="ref", carry=["reason"])
+    assert rows_of(scanned, "f", "ref", "day", "hit", "reason") == rows_of(joined, "f", "ref", "day", "hit", "reason")
+
+
+def test_an_id_with_100000_versions_and_facts(spark):
+    from tidemark.operators.lookups import as_of_scan
+
+    n = 100_000
+    dim = spark.range(n).select(F.lit(1).alias("id"), (F.col("id") + 1).alias("key"), F.col("id").cast("int").alias("valid_from_date_key"), (F.col("id") + 1).cast("int").alias("valid_to_date_key"))
+    facts = spark.range(n).select(F.col("id").alias("f"), F.lit(1).alias("ref"), F.col("id").cast("int").alias("day"))
+    got = as_of_scan(facts, dim, "id", "key", "day", "hit", reference="ref")
+    assert got.where("hit = f + 1").count() == n
+    assert "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()

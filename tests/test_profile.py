@@ -23,6 +23,26 @@ def test_exact_quantiles_with_a_heavy_value(make):
     assert np.allclose(got["y"], np.quantile(ys, [0, 0.1, 0.25, 0.5, 0.9, 1]))
 
 
+def test_exact_quantiles_whatever_the_sketches_say(make, monkeypatch):
+    values, df = skewed(make, n=800)
+    monkeypatch.setattr(P, "approximate_quantiles", lambda df, columns, around, error: make("column string, q array<double>", *[(c, [5000.0] * len(around)) for c in columns]))
+    got = {r["column"]: r["q"] for r in P.exact_quantiles(df, ["x"], [0.25, 0.5, 0.75]).collect()}
+    assert np.allclose(got["x"], np.quantile(values, [0.25, 0.5, 0.75]))
+
+
+def test_exact_quantiles_of_odd_columns(make):
+    df = make("a double, b double, c int, d double", (float("nan"), None, 1, 5.0), (1.0, None, None, float("inf")), (2.0, None, 3, -1.0), (float("nan"), None, 7, 0.0))
+    got = {r["column"]: r["q"] for r in P.exact_quantiles(df, ["a", "b", "c", "d"], [0.25, 0.5, 1]).collect()}
+    assert "b" not in got and got["c"] == [2, 3, 7] and got["d"][1] == 2.5 and got["d"][2] == float("inf")
+    assert got["a"][0] == 1.75 and np.isnan(got["a"][2])
+
+
+def test_rank_errors_count_ranks(make):
+    df = make("x double", *[(float(i),) for i in range(101)])
+    given = make("column string, q array<double>", ("x", [25.0, 60.0]))
+    assert rows_of(P.rank_errors(df, given, ["x"], [0.25, 0.5]), "probability", "rank_error") == [(0.25, 0.0), (0.5, 10 / 101)]
+
+
 def test_approximate_quantiles_are_within_their_error(make):
     values, df = skewed(make)
     got = P.approximate_quantiles(df, ["x"], [0.25, 0.5, 0.75], 0.01).first()["q"]
@@ -41,12 +61,26 @@ def test_outliers_against_numpy(make):
 
 
 def test_columns_and_categories(make):
-    df = make("a string, b int, flag boolean", ("x", 1, True), ("x", None, None), ("y", 3, False))
-    assert rows_of(P.profile_columns(df), "column", "nulls", "distinct") == [("a", 0, 2), ("b", 1, 2), ("flag", 1, 2)]
-    assert rows_of(P.profile_columns(df, approximate=True), "column", "nulls", "distinct") == [
-        ("a", 0, 2), ("b", 1, 2), ("flag", 1, 2)]
-    assert rows_of(P.profile_categoricals(df, exclude=["a"]), "column", "value", "n") == [
-        ("flag", "false", 1), ("flag", "true", 1), ("flag", None, 1)]
+    t = make("a string, b int, flag boolean", ("x", 1, True), ("x", None, None), ("y", 3, False))
+    ids = make("id int, c string", *[(i, f"v{i % 40}") for i in range(500)])
+    empty = t.where("false")
+    got = P.profile_columns({"t": t, "ids": ids, "empty": empty}, limit=100)
+    assert rows_of(got, "table", "column", "nulls", "distinct", "many") == sorted([
+        ("t", "a", 0, 2, False), ("t", "b", 1, 2, False), ("t", "flag", 1, 2, False), ("ids", "id", 0, None, True), ("ids", "c", 0, 40, False),
+        *[("empty", c, 0, 0, False) for c in ("a", "b", "flag")]], key=lambda x: tuple((v is None, str(v)) for v in x))
+    assert rows_of(P.profile_categoricals({"t": t, "ids": ids}, exclude=["a"]), "table", "column", "value", "n") == [
+        ("t", "flag", "false", 1), ("t", "flag", "true", 1), ("t", "flag", None, 1)]
+    assert P.profile_categoricals({"ids": ids}).isEmpty()
+
+
+def test_mapped_columns_are_those_of_the_tables(spark):
+    from tidemark.plans.trucking import COLUMNS, columns, source
+
+    names = {"bigint": "long", "int": "int", "string": "text", "boolean": "flag", "date": "date", "timestamp": "ts"}
+    for table in COLUMNS:
+        kinds = source(spark, "/root/testdata/sf0.001", table).dtypes
+        assert [c for c, _ in kinds] == columns(table)
+        assert all(c in columns(table, names.get(kind, "decimal")) for c, kind in kinds)
 
 
 def test_tables_and_duplicates(make):

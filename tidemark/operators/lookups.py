@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.compare import CheckFailed
+from tidemark.operators.segments import segmented
 
 MISSING, UNKNOWN, NOT_APPLICABLE = 0, -1, -2
 
@@ -39,6 +40,28 @@ def as_of(rows: DataFrame, dim: DataFrame, id_column: str, key_column: str, date
     return rows.join(versions, valid, "left").drop("_id", "_from", "_to")
 
 
+def as_of_scan(rows: DataFrame, dim: DataFrame, id_column: str, key_column: str, date_key: str, out: str,
+               reference: str | None = None, carry: Sequence[str] = ()) -> DataFrame:
+    """as_of() for ids with very many versions: no row meets more than the one version it takes.
+
+    Rows and versions are stacked in order of (id, day) and the version opened last is carried forward along the scan of
+    ``segmented``, so the work is the sum of both sides, not their product. Versions of an id don't overlap. carry names
+    columns of dim that come along.
+    """
+    reference = reference or id_column
+    opened = F.struct(F.col(key_column).alias("key"), F.col("valid_to_date_key").alias("until"), *carry)
+    versions = dim.where((F.col(key_column) > 0) & F.col(id_column).isNotNull()).select(
+        F.col(id_column).alias("_id"), F.col("valid_from_date_key").alias("_at"), F.lit(0).alias("_kind"),
+        F.col(key_column).cast("bigint").alias("_tie"), opened.alias("_version"))
+    # a digest tells rows of one id and day apart, so that the ranges can part them
+    mine = rows.select(F.col(reference).alias("_id"), F.col(date_key).alias("_at"), F.lit(1).alias("_kind"),
+                       F.xxhash64(*rows.columns).alias("_tie"), F.struct(*rows.columns).alias("_row"))
+    stacked = versions.unionByName(mine, allowMissingColumns=True)
+    met = segmented(stacked, ["_id"], ["_at", "_kind", "_tie"], last={"_open": F.col("_version")}).where("_kind = 1")
+    valid = F.col("_id").isNotNull() & (F.col("_at") < F.col("_open.until"))
+    return met.select("_row.*", *[F.when(valid, F.col(f"_open.{c}")).alias(n) for c, n in (("key", out), *((c, c) for c in carry))])
+
+
 def by_columns(rows: DataFrame, dim: DataFrame, columns: Sequence[str] | dict[str, str], key_column: str,
                out: str) -> DataFrame:
     """Add `out`: the key of the dimension row equal on the given columns."""

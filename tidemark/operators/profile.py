@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -12,10 +14,14 @@ from tidemark.functions.compare import lookup
 from tidemark.functions.hashing import row_hash
 from tidemark.operators.history import LINEAGE
 from tidemark.operators.segments import segmented
+from tidemark.session import stored
 
 ID_SUFFIXES = ("_id", "_number")
 CATEGORICAL_LIMIT = 25
-CUTS = 64
+#: Values of a column up to which they are counted, and the relative error of the sketch that says so.
+FEW_VALUES, DISTINCT_ERROR = 10_000, 0.02
+#: Rank errors: of the sketches, and how far from a rank its bracket reaches.
+SKETCH_ERROR, BRACKET = 1e-4, 3e-4
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
@@ -54,42 +60,73 @@ def duplicate_content(df: DataFrame, key: str) -> DataFrame:
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, value as text, n): map-side combined, so a frequent value costs one row per task."""
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    cells = F.expr("array({})".format(", ".join(f"struct('{c}' AS column, CAST(`{c}` AS STRING) AS value)" for c in columns)))
     return (df.select(F.explode(cells).alias("_c")).groupBy("_c.column", "_c.value")
             .agg(F.count(F.lit(1)).alias("n")).select("column", "value", "n"))
 
 
-def profile_columns(df: DataFrame, approximate: bool = False) -> DataFrame:
-    """Nulls, null share and distinct values of every column.
+def column_sketches(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table, column, data_type, rows, nulls, estimate) of every column of every table: one pass per table, mergeable sketches only."""
+    def one(name: str, df: DataFrame) -> DataFrame:
+        columns = {f.name: f.dataType.simpleString() for f in df.schema.fields if f.name not in LINEAGE}
+        # as SQL text: a call into the JVM for each operator of each column would take longer than the pass
+        text = {c: f"`{c}`" if kind in ("int", "bigint", "string") else f"CAST(`{c}` AS STRING)" for c, kind in columns.items()}
+        wide = df.agg(F.expr("count(1) AS _rows"), *[F.expr(a) for c in columns for a in (
+            f"count_if(`{c}` IS NULL) AS `{c}__nulls`", f"hll_sketch_estimate(hll_sketch_agg({text[c]}, 12)) AS `{c}__estimate`")])
+        cells = F.expr("array({})".format(", ".join(
+            f"struct('{c}' AS column, '{kind}' AS data_type, _rows AS rows, `{c}__nulls` AS nulls, `{c}__estimate` AS estimate)" for c, kind in columns.items())))
+        return wide.select(F.lit(name).alias("table"), F.explode(cells).alias("_c")).select("table", "_c.*")
 
-    Exact by default. approximate counts distinct values with a sketch instead, in a
-    single pass without a shuffle of the values.
+    return union_all([one(name, df) for name, df in tables.items()])
+
+
+def _counted(tables: dict[str, DataFrame], chosen: Sequence[tuple[str, str]]) -> DataFrame | None:
+    """(table, column, value, n) of the chosen columns, exactly."""
+    parts = [value_counts(df, mine).withColumn("table", F.lit(name)) for name, df in tables.items()
+             if (mine := [c for t, c in chosen if t == name])]
+    return union_all(parts) if parts else None
+
+
+def profile_columns(tables: dict[str, DataFrame], limit: int = FEW_VALUES) -> DataFrame:
+    """(table, column, data_type, nulls, null_pct, distinct, many) of every column of every table.
+
+    Sketches of all columns come first. Values are then counted exactly, cell by cell, in the columns that may have up
+    to limit of them; those with more, such as ids, are never shuffled: many is true and distinct is null.
     """
-    names = [c for c in df.columns if c not in LINEAGE]
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    if approximate:
-        wide = df.agg(*[a for c in names for a in (
-            F.count(F.lit(1)).alias(f"{c}__rows"), F.count_if(F.col(c).isNull()).alias(f"{c}__nulls"),
-            F.approx_count_distinct(c).alias(f"{c}__distinct"))])
-        per_column = _as_rows(wide, names, ["rows", "nulls", "distinct"])
+    sketched = column_sketches(tables).collect()  # a row per column
+    # a column near the limit is counted; the exact count then decides
+    chosen = [(r["table"], r["column"]) for r in sketched if r["estimate"] <= limit * (1 + 10 * DISTINCT_ERROR)]
+    known = tables[next(iter(tables))].sparkSession.createDataFrame(
+        [(*r, (r["table"], r["column"]) in chosen) for r in sketched],
+        '`table` string, `column` string, data_type string, rows bigint, nulls bigint, estimate bigint, chosen boolean')
+    counted = _counted(tables, chosen)
+    if counted is None:
+        met = known.withColumn("distinct", F.lit(None).cast("bigint"))
     else:
-        per_column = value_counts(df, names).groupBy("column").agg(
-            F.sum("n").alias("rows"),
-            F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
-            F.count("value").alias("distinct"))
-    return per_column.select(
-        "column", lookup(types, F.col("column")).alias("data_type"), "nulls",
-        F.round(100.0 * F.col("nulls") / F.col("rows"), 2).alias("null_pct"), "distinct")
+        exact = counted.groupBy("table", "column").agg(F.count("value").alias("distinct"))
+        met = known.join(exact, ["table", "column"], "left")
+    # a column that was chosen and has no counts belongs to an empty table
+    distinct = F.when(F.col("chosen"), F.coalesce("distinct", F.lit(0)))
+    many = distinct.isNull() | (distinct > limit)
+    return met.select("table", "column", "data_type", "nulls", F.round(100.0 * F.col("nulls") / F.nullif("rows", F.lit(0)), 2).alias("null_pct"),
+                      F.when(~many, distinct).alias("distinct"), many.alias("many"))
+
 
+def profile_categoricals(tables: dict[str, DataFrame], exclude: Sequence[str] = ()) -> DataFrame:
+    """(table, column, value, n): frequencies of the text and boolean columns with 2 to 25 distinct values.
 
-def profile_categoricals(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
-    """Frequencies of the text and boolean columns with 2 to 25 distinct values."""
-    columns = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BooleanType))
-               and f.name not in LINEAGE and f.name not in exclude]
-    counts = value_counts(df, columns)
-    few = (counts.groupBy("column").agg(F.count("value").alias("d"))
-           .where(F.col("d").between(2, CATEGORICAL_LIMIT)).select("column"))
-    return counts.join(F.broadcast(few), "column")
+    Only columns whose sketch says that they may have so few are counted.
+    """
+    kinds = {t: {f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BooleanType)) and f.name not in exclude} for t, df in tables.items()}
+    chosen = [(r["table"], r["column"]) for r in column_sketches(tables).collect()
+              if r["column"] in kinds[r["table"]] and r["estimate"] <= CATEGORICAL_LIMIT * (1 + 10 * DISTINCT_ERROR)]
+    counts = _counted(tables, chosen)
+    if counts is None:
+        return tables[next(iter(tables))].sparkSession.createDataFrame([], "`table` string, `column` string, value string, n bigint")
+    counts = stored(counts, "values")
+    few = (counts.groupBy("table", "column").agg(F.count("value").alias("d"))
+           .where(F.col("d").between(2, CATEGORICAL_LIMIT)).select("table", "column"))
+    return counts.join(F.broadcast(few), ["table", "column"])  # a row per column
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -134,36 +171,89 @@ def approximate_quantiles(df: DataFrame, columns: Sequence[str], probabilities:
     return _as_rows(wide, list(columns), ["q"])
 
 
+def _brackets(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], error: float) -> dict[str, list[list[float]]]:
+    """For each column the disjoint value ranges [lo, hi] that should hold the ranks, from sketches in one pass."""
+    around = sorted({min(max(p + side * error, 0.0), 1.0) for p in probabilities for side in (-1, 1)})
+    found = {r["column"]: r["q"] for r in approximate_quantiles(df, columns, around, SKETCH_ERROR).collect()}  # a row per column
+    out = {}
+    for c in columns:
+        at = dict(zip(around, found[c] or [], strict=False))
+        ranges: list[list[float]] = []
+        for p in sorted(probabilities) if at else ():
+            lo, hi = p - error, p + error
+            r = [at[lo] if lo > 0 else -math.inf, at[hi] if hi < 1 else math.inf]
+            if ranges and r[0] <= ranges[-1][1]:
+                ranges[-1][1] = max(ranges[-1][1], r[1])
+            else:
+                ranges.append(r)
+        out[c] = ranges
+    return out
+
+
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
-    """(column, q: array): exact interpolated quantiles without collecting a column anywhere.
+    """(column, q: array): exact interpolated quantiles in two passes over df, without collecting a column anywhere.
 
-    Equal values are counted first, so a value half the table holds is one row. Distinct
-    values are then cut into segments at approximate quantiles, a short list per column
-    that only decides how the work is split, and running counts locate the ranks.
+    Mergeable sketches bracket each rank by two values. The second pass counts: values inside a bracket by value, all
+    others only by the gap between brackets that they fall in. What is left is about a thousandth of the rows, in order and with exact
+    counts before it, and running counts find the ranks. Should a sketch have missed a rank, its column is
+    bracketed anew, ten times as wide, so the result is exact whatever the sketches say.
     """
-    steps = [i / CUTS for i in range(1, CUTS)]
-    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    found = doubles.approxQuantile(list(columns), steps, 0.01)
-    cuts = F.create_map(*[x for c, q in zip(columns, found)
-                          for x in (F.lit(c), F.array(*[F.lit(v) for v in (q or [0.0])]))])
-    cells = numeric_cells(df, columns)
-    place = F.size(F.filter(cuts[F.col("column")], lambda cut: cut < F.col("value")))
-    running = segmented(cells, ["column"], ["value"], running={"upto": F.col("n")})
-    totals = cells.groupBy("column").agg(F.sum("n").alias("total"))
+    missing, wide, done = list(columns), BRACKET, []
+    while missing:
+        found = stored(_ranked(df, missing, probabilities, wide), "quantiles")
+        done.append(found.where("met").drop("met"))
+        missing, wide = [r[0] for r in found.where("NOT met").select("column").collect()], wide * 10
+    return functools.reduce(DataFrame.unionByName, done)
+
+
+def _ranked(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], error: float) -> DataFrame:
+    """(column, q, met): met is false where a rank lies outside the brackets."""
+    brackets = _brackets(df, columns, probabilities, error)
+
+    def cell(c: str) -> Column:
+        value = F.col(c).cast("double")
+        ends = [(F.lit(lo), F.lit(math.nan if hi == math.inf else hi)) for lo, hi in brackets[c]]  # NaN is the greatest value
+        inside = functools.reduce(lambda a, b: a | b, [value.between(lo, hi) for lo, hi in ends], F.lit(False))
+        gap = functools.reduce(lambda a, b: a + b, [F.when(value > hi, 1).otherwise(0) for _, hi in ends], F.lit(0))
+        return F.struct(F.lit(c).alias("column"), value.isNotNull().alias("known"), gap.alias("gap"), F.when(inside, value).alias("value"))
+
+    cells = (df.select(F.explode(F.array(*map(cell, columns))).alias("_c")).where("_c.known")
+             .groupBy("_c.column", "_c.gap", "_c.value").agg(F.count(F.lit(1)).alias("n")))
+    # the values of a gap come first, those of its bracket behind them; a null stands for all values of a gap
+    running = segmented(cells, ["column"], ["gap", "value"], running={"upto": F.col("n")})
     # One row per profiled column: its total is a handful of numbers.
+    totals = running.groupBy("column").agg(F.max("upto").alias("total"))
     ranked = running.join(F.broadcast(totals), "column")
 
     def at(rank: Column) -> Column:
-        """The value at a zero-based rank: the least whose running count exceeds it."""
-        return F.min(F.when(F.col("upto") > rank, F.col("value")))
+        """The value at a zero-based rank: of the least running count that exceeds it."""
+        return F.min_by("value", F.when(F.col("upto") > rank, F.col("upto")))
 
-    picks, out = [], []
+    picks, out, met = [], [], F.lit(True)
     for i, p in enumerate(probabilities):
         position = (F.col("total") - 1) * F.lit(float(p))
         picks += [at(F.floor(position)).alias(f"lo{i}"), at(F.ceil(position)).alias(f"hi{i}"),
                   F.max(position - F.floor(position)).alias(f"w{i}")]
-        out.append(F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"w{i}"))
-    return ranked.groupBy("column").agg(*picks).select("column", F.array(*out).alias("q"))
+        lo, hi = F.col(f"lo{i}"), F.col(f"hi{i}")
+        out.append(F.when(lo == hi, lo).otherwise(lo + (hi - lo) * F.col(f"w{i}")))
+        met = met & F.col(f"lo{i}").isNotNull() & F.col(f"hi{i}").isNotNull()
+    return ranked.groupBy("column").agg(*picks).select("column", F.array(*out).alias("q"), met.alias("met"))
+
+
+def rank_errors(df: DataFrame, quantiles: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
+    """(column, probability, rank_error): how far the rank of a given quantile is from the one asked for, as a share of the rows.
+
+    Counted in one pass: a value's ranks reach from the rows below it to the rows up to it.
+    """
+    given = {r["column"]: r["q"] for r in quantiles.collect()}  # a row per column
+    asked = [(c, p, given[c][i]) for c in columns for i, p in enumerate(probabilities) if given.get(c)]
+    value = [F.col(c).cast("double") for c, _, _ in asked]
+    counted = df.agg(*[F.array(F.count_if(v < q), F.count_if(v <= q), F.count(v)).alias(f"a{i}") for i, (v, (_, _, q)) in enumerate(zip(value, asked, strict=True))])
+    rows = [F.struct(F.lit(c).alias("column"), F.lit(float(p)).alias("probability"), F.col(f"a{i}").alias("n")) for i, (c, p, _) in enumerate(asked)]
+    each = counted.select(F.explode(F.array(*rows)).alias("r")).select("r.column", "r.probability", "r.n")
+    rank = F.col("probability") * (F.col("n")[2] - 1)
+    off = F.greatest(F.col("n")[0] - rank, rank - (F.col("n")[1] - 1), F.lit(0.0)) / F.col("n")[2]
+    return each.select("column", "probability", off.alias("rank_error"))
 
 
 def profile_outliers(df: DataFrame, columns: Sequence[str] | None = None, error: float | None = None) -> DataFrame:
@@ -197,13 +287,18 @@ def profile_outliers(df: DataFrame, columns: Sequence[str] | None = None, error:
 # --- dates and text ------------------------------------------------------------
 
 def profile_dates(df: DataFrame, columns: Sequence[str], today: Column) -> DataFrame:
-    """Range, distinct values, rows per value, future and missing dates."""
-    wide = df.agg(*[a for c in columns for a in (
-        F.min(F.col(c).cast("timestamp")).alias(f"{c}__min"), F.max(F.col(c).cast("timestamp")).alias(f"{c}__max"),
-        F.countDistinct(c).alias(f"{c}__distinct_dates"),
-        F.count_if(F.col(c).cast("date") > today).alias(f"{c}__future_dated"),
-        F.count_if(F.col(c).isNull()).alias(f"{c}__nulls"), F.count(F.lit(1)).alias(f"{c}__rows"))])
-    rows = _as_rows(wide, list(columns), ["min", "max", "distinct_dates", "future_dated", "nulls", "rows"])
+    """Range, distinct dates, rows per date, future and missing dates of all columns in one pass.
+
+    Rows are counted per date first, so what is shuffled is bounded by the calendar.
+    """
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("timestamp").alias("at")) for c in columns])
+    days = (df.select(F.explode(cells).alias("_c")).groupBy("_c.column", F.col("_c.at").cast("date").alias("day"))
+            .agg(F.min("_c.at").alias("lo"), F.max("_c.at").alias("hi"), F.count(F.lit(1)).alias("n")))
+    zero = F.lit(0).cast("bigint")
+    rows = days.groupBy("column").agg(
+        F.min("lo").alias("min"), F.max("hi").alias("max"), F.count("day").alias("distinct_dates"),
+        F.coalesce(F.sum(F.when(F.col("day") > today, F.col("n"))), zero).alias("future_dated"),
+        F.coalesce(F.sum(F.when(F.col("day").isNull(), F.col("n"))), zero).alias("nulls"), F.sum("n").alias("rows"))
     return rows.withColumn("rows_per_date", F.round(F.col("rows") / F.nullif("distinct_dates", F.lit(0)), 1))
 
 

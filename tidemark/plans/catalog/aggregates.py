@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.facts import fulfilling_trips, trip_milestones
 from tidemark.operators.history import versions
 from tidemark.operators.control import cdf_checkpoint, first_registrations, latest_events
-from tidemark.operators.profile import approximate_quantiles, exact_quantiles
+from tidemark.operators.profile import approximate_quantiles, exact_quantiles, rank_errors
 from tidemark.operators.segments import latest_per_key, segmented
 from tidemark.plans import landing
 from tidemark.plans.measures import variance_band
@@ -122,12 +122,16 @@ def agg_quantiles(spark, sf):
                     F.col("q")[2].alias("q3"))
 
 
-@query("agg_quantiles_approx", "column_name string, q1 r4, median r4, q3 r4")
+@query("agg_quantiles_approx", "column_name string, probability r4, rows bigint, within flag", " UNION ALL ".join(f"""
+    SELECT '{c}' AS column_name, {p} AS probability, count({c}) AS rows, TRUE AS within FROM raw_loads"""
+                                                                                      for c in ("revenue", "fuel_surcharge", "weight_lbs") for p in (0.25, 0.5, 0.75)))
 def agg_quantiles_approx(spark, sf):
-    """The sketched form, one pass, within one percent of the rank."""
-    q = approximate_quantiles(source(spark, sf, "loads"), ["revenue", "fuel_surcharge", "weight_lbs"], [0.25, 0.5, 0.75])
-    return q.select(F.col("column").alias("column_name"), F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
-                    F.col("q")[2].alias("q3"))
+    """The sketched form, one pass; the ranks of its values are counted and must be within one percent."""
+    loads, columns, quarters = source(spark, sf, "loads"), ["revenue", "fuel_surcharge", "weight_lbs"], [0.25, 0.5, 0.75]
+    off = rank_errors(loads, approximate_quantiles(loads, columns, quarters), columns, quarters)
+    counts = loads.agg(*[F.count(c).alias(c) for c in columns]).select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("rows")) for c in columns])).alias("c"))
+    return off.join(F.broadcast(counts.select("c.*")), "column").select(
+        F.col("column").alias("column_name"), "probability", "rows", (F.col("rank_error") <= 0.01).alias("within"))
 
 
 @query("agg_histogram_bucket", "kind string, bucket int, n bigint", """

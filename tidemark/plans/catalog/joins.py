@@ -11,7 +11,7 @@ from tidemark.operators.checks import two_way_difference
 from tidemark.operators.control import first_registrations, repeated_ids
 from tidemark.operators.hashes import difference_examples, row_hashes
 from tidemark.operators.history import load_batches
-from tidemark.operators.lookups import as_of, by_columns
+from tidemark.operators.lookups import as_of_scan, by_columns
 from tidemark.operators.segments import segmented
 from tidemark.plans import landing
 from tidemark.plans.measures import drill_across
@@ -75,11 +75,10 @@ def join_anti(spark, sf):
     LEFT JOIN dim_driver AS d ON d.driver_id = t.driver_id AND d.driver_key > 0
         AND t.day >= d.valid_from_date_key AND t.day < d.valid_to_date_key""")
 def join_scd2_asof(spark, sf):
-    """The version valid at the trip's date: equality on the id, half-open range as residual."""
+    """The version valid at the trip's date, carried forward along the days of its driver."""
     dim = star(spark, sf).dim("driver")
     trips = source(spark, sf, "trips").select("trip_id", "driver_id", date_key("dispatch_date").alias("day"))
-    reasons = dim.select("driver_key", "version_reason")
-    return as_of(trips, dim, "driver_id", "driver_key", "day", "driver_key").join(reasons, "driver_key", "left")
+    return as_of_scan(trips, dim, "driver_id", "driver_key", "day", "driver_key", carry=["version_reason"])
 
 
 

@@ -15,74 +15,71 @@ from tidemark.plans.contract import FOREIGN_KEYS, TABLES, change_tables, key_of
 from tidemark.plans.oracle import define
 from tidemark.plans.registry import query
 from tidemark.plans.star import star
-from tidemark.plans.trucking import given, source
+from tidemark.plans.trucking import columns, given, source
 
 
 def n_rows():
     return F.count(F.lit(1))
 
 
-PROFILED = (("loads", "load_id", 13), ("trips", "trip_id", 13), ("customers", "customer_id", 9),
-            ("trailers", "trailer_id", 6))
 FLAG = "_is_deleted_in_source"
+ALL = " UNION ALL "
+
+
+def sources(spark, sf):
+    """The twelve mapped tables."""
+    return {t: source(spark, sf, t) for t in TABLES}
 
 
 @query("profile_tables", "table_name string, rows bigint, distinct_keys bigint, duplicate_keys bigint, null_keys bigint, "
-                         "columns bigint, batches bigint", " UNION ALL ".join(f"""
-    SELECT '{t}' AS table_name, count(*) AS rows, count(DISTINCT {k}) AS distinct_keys,
-           count(*) - count(DISTINCT {k}) AS duplicate_keys, count(*) FILTER ({k} IS NULL) AS null_keys, {n} AS columns,
-           count(DISTINCT {FLAG}) AS batches FROM raw_{t}""" for t, k, n in PROFILED))
+                         "columns bigint, batches bigint", ALL.join(f"""
+    SELECT '{t}' AS table_name, count(*) AS rows, count(DISTINCT {key_of(t)}) AS distinct_keys,
+           count(*) - count(DISTINCT {key_of(t)}) AS duplicate_keys, count(*) FILTER ({key_of(t)} IS NULL) AS null_keys,
+           {len(columns(t))} AS columns, count(DISTINCT {FLAG}) AS batches FROM raw_{t}""" for t in TABLES))
 def profile_tables(spark, sf):
-    return P.union_all([P.profile_table(source(spark, sf, t), t, k, F.col(FLAG)).withColumnRenamed("table", "table_name")
-                        for t, k, _ in PROFILED])
+    return P.union_all([P.profile_table(df, t, key_of(t), F.col(FLAG)).withColumnRenamed("table", "table_name")
+                        for t, df in sources(spark, sf).items()])
 
 
-@query("profile_duplicate_content", "table_name string, repeated_rows bigint", """
-    SELECT 'trailers' AS table_name, count(*) - (SELECT count(*) FROM (SELECT DISTINCT trailer_type, model_year,
-           _is_deleted_in_source FROM raw_trailers)) AS repeated_rows FROM raw_trailers
-    UNION ALL SELECT 'customers', count(*) - (SELECT count(*) FROM (SELECT DISTINCT * EXCLUDE (customer_id)
-           FROM raw_customers)) FROM raw_customers""")
+@query("profile_duplicate_content", "table_name string, repeated_rows bigint", ALL.join(f"""
+    SELECT '{t}' AS table_name, count(*) - (SELECT count(*) FROM (SELECT DISTINCT * EXCLUDE ({key_of(t)}) FROM raw_{t})) AS repeated_rows
+    FROM raw_{t}""" for t in TABLES))
 def profile_duplicate_content(spark, sf):
-    trailers = source(spark, sf, "trailers").select("trailer_id", "trailer_type", "model_year", FLAG)
-    return P.union_all([
-        P.duplicate_content(df, key).select(F.lit(t).alias("table_name"), "repeated_rows")
-        for t, df, key in (("trailers", trailers, "trailer_id"),
-                           ("customers", source(spark, sf, "customers"), "customer_id"))])
-
+    return P.union_all([P.duplicate_content(df, key_of(t)).select(F.lit(t).alias("table_name"), "repeated_rows")
+                        for t, df in sources(spark, sf).items()])
 
-_LOAD_COLUMNS = ("load_id", "customer_id", "route_id", "load_date", "load_type", "weight_lbs", "pieces", "revenue",
-                 "fuel_surcharge", "accessorial_charges", "load_status", "booking_type", FLAG)
 
-
-@query("profile_columns", "column_name string, nulls bigint, null_pct r2, distinct_values bigint", " UNION ALL ".join(f"""
-    SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS nulls,
-           100.0 * count(*) FILTER ({c} IS NULL) / count(*) AS null_pct, count(DISTINCT {c}) AS distinct_values
-    FROM raw_loads""" for c in _LOAD_COLUMNS))
+@query("profile_columns", "table_name string, column_name string, nulls bigint, null_pct r2, distinct_values bigint, many flag", ALL.join(f"""
+    SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS nulls,
+           100.0 * count(*) FILTER ({c} IS NULL) / nullif(count(*), 0) AS null_pct,
+           CASE WHEN count(DISTINCT {c}) <= {P.FEW_VALUES} THEN count(DISTINCT {c}) END AS distinct_values,
+           count(DISTINCT {c}) > {P.FEW_VALUES} AS many FROM raw_{t}""" for t in TABLES for c in columns(t)))
 def profile_columns(spark, sf):
-    out = P.profile_columns(source(spark, sf, "loads"))
-    return out.withColumnsRenamed({"column": "column_name", "distinct": "distinct_values"})
+    """Every column of the twelve tables; distinct values are counted up to a limit."""
+    return P.profile_columns(sources(spark, sf)).withColumnsRenamed(
+        {"table": "table_name", "column": "column_name", "distinct": "distinct_values"})
 
 
-@query("profile_categoricals", "column_name string, value string, n bigint", """
-    SELECT 'load_type' AS column_name, load_type AS value, count(*) AS n FROM raw_loads GROUP BY 2
-    UNION ALL SELECT 'load_status', load_status, count(*) FROM raw_loads GROUP BY 2
-    UNION ALL SELECT 'booking_type', booking_type, count(*) FROM raw_loads GROUP BY 2
-    UNION ALL SELECT '_is_deleted_in_source', CAST(_is_deleted_in_source AS VARCHAR), count(*) FROM raw_loads GROUP BY 2""")
+@query("profile_categoricals", "table_name string, column_name string, value string, n bigint", ALL.join(f"""
+    SELECT '{t}' AS table_name, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS n FROM raw_{t}
+    WHERE (SELECT count(DISTINCT {c}) FROM raw_{t}) BETWEEN 2 AND 25 GROUP BY 3""" for t in TABLES for c in columns(t, "text", "flag")))
 def profile_categoricals(spark, sf):
-    return P.profile_categoricals(source(spark, sf, "loads")).withColumnRenamed("column", "column_name")
+    return P.profile_categoricals(sources(spark, sf)).withColumnsRenamed({"table": "table_name", "column": "column_name"})
 
 
-_MEASURES = ("weight_lbs", "pieces", "revenue", "fuel_surcharge", "accessorial_charges")
+def _measures(t):
+    return [c for c in columns(t, "int", "long", "decimal") if not c.endswith(P.ID_SUFFIXES)]
 
 
-@query("profile_numeric", "column_name string, min double, max double, mean r4, stddev r4, negatives bigint, "
-                          "zeros bigint, nulls bigint, zero_pct r2", " UNION ALL ".join(f"""
-    SELECT '{c}' AS column_name, min({c}) AS min, max({c}) AS max, avg(CAST({c} AS DOUBLE)) AS mean,
+@query("profile_numeric", "table_name string, column_name string, min double, max double, mean r4, stddev r4, negatives bigint, "
+                          "zeros bigint, nulls bigint, zero_pct r2", ALL.join(f"""
+    SELECT '{t}' AS table_name, '{c}' AS column_name, min({c}) AS min, max({c}) AS max, avg(CAST({c} AS DOUBLE)) AS mean,
            stddev_samp(CAST({c} AS DOUBLE)) AS stddev, count(*) FILTER ({c} < 0) AS negatives,
            count(*) FILTER ({c} = 0) AS zeros, count(*) FILTER ({c} IS NULL) AS nulls,
-           100.0 * count(*) FILTER ({c} = 0) / count(*) AS zero_pct FROM raw_loads""" for c in _MEASURES))
+           100.0 * count(*) FILTER ({c} = 0) / count(*) AS zero_pct FROM raw_{t}""" for t in TABLES for c in _measures(t)))
 def profile_numeric(spark, sf):
-    return P.profile_numeric(source(spark, sf, "loads")).withColumnRenamed("column", "column_name")
+    return P.union_all([P.profile_numeric(df).withColumn("table_name", F.lit(t)) for t, df in sources(spark, sf).items()]) \
+        .withColumnRenamed("column", "column_name")
 
 
 @query("profile_outliers", "column_name string, q1 r6, median r6, q3 r6, lower_fence r6, upper_fence r6, "
@@ -101,16 +98,18 @@ def profile_outliers(spark, sf):
     return out.withColumnRenamed("column", "column_name")
 
 
-@query("profile_dates", "column_name string, min ts, max ts, distinct_dates bigint, rows_per_date double, "
-                        "future_dated bigint, nulls bigint", """
-    SELECT 'dispatch_date' AS column_name, CAST(min(dispatch_date) AS TIMESTAMP) AS min,
-           CAST(max(dispatch_date) AS TIMESTAMP) AS max, count(DISTINCT dispatch_date) AS distinct_dates,
-           round(CAST(count(*) AS DOUBLE) / count(DISTINCT dispatch_date), 1) AS rows_per_date,
-           count(*) FILTER (dispatch_date > DATE '2001-01-01') AS future_dated,
-           count(*) FILTER (dispatch_date IS NULL) AS nulls FROM raw_trips""")
+@query("profile_dates", "table_name string, column_name string, min ts, max ts, distinct_dates bigint, rows_per_date double, "
+                        "future_dated bigint, nulls bigint", ALL.join(f"""
+    SELECT '{t}' AS table_name, '{c}' AS column_name, CAST(min({c}) AS TIMESTAMP) AS min, CAST(max({c}) AS TIMESTAMP) AS max,
+           count(DISTINCT CAST({c} AS DATE)) AS distinct_dates,
+           round(CAST(count(*) AS DOUBLE) / nullif(count(DISTINCT CAST({c} AS DATE)), 0), 1) AS rows_per_date,
+           count(*) FILTER (CAST({c} AS DATE) > DATE '2001-01-01') AS future_dated,
+           count(*) FILTER ({c} IS NULL) AS nulls FROM raw_{t}""" for t in TABLES for c in columns(t, "date", "ts")))
 def profile_dates(spark, sf):
-    return P.profile_dates(source(spark, sf, "trips"), ["dispatch_date"], F.lit("2001-01-01").cast("date")) \
-        .withColumnRenamed("column", "column_name")
+    """Every date and timestamp of the twelve tables."""
+    today = F.lit("2001-01-01").cast("date")
+    return P.union_all([P.profile_dates(df, columns(t, "date", "ts"), today).withColumn("table_name", F.lit(t))
+                        for t, df in sources(spark, sf).items() if columns(t, "date", "ts")]).withColumnRenamed("column", "column_name")
 
 
 @query("profile_continuity", "first_day date, last_day date, span_days bigint, days_present bigint, days_missing bigint, "

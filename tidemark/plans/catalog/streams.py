@@ -51,6 +51,6 @@ def stream_merge_current_state(spark, sf):
     _write_batches(staged, root)
     log = BucketLog(spark, f"{root}-state", 256 << 10)
     log.create("snapshot", {"users": (sequenced(snapshot), ["user_id"])})
-    merge_stream(landed_stream(spark, root, events.schema, 1), log, "users", "user_id", f"{root}-checkpoint")
+    merge_stream(landed_stream(spark, root, events.schema, 8), log, "users", "user_id", f"{root}-checkpoint")
     return log.read("users").select("user_id", "event_type", "value", F.col("_is_deleted_in_source").alias("deleted"),
                                     F.col("_source_sequence").alias("seq"))
