@@ -8,9 +8,12 @@ from tidemark.functions.dates import date_key
 from tidemark.operators import dims as D
 from tidemark.operators import facts as T
 from tidemark.operators import transforms as X
+from tidemark.operators.facts import FACTS
 from tidemark.plans import oracle_star
+from tidemark.plans.loading import BATCHES, Warehouse, batch
+from tidemark.plans.oracle import variant
 from tidemark.plans.oracle_star import CLASS
-from tidemark.plans.registry import query
+from tidemark.plans.registry import outputs, query
 from tidemark.plans.star import CUSTOMER, DIMS, DRIVER_2, FACILITY, ROUTE, TRAILER, star
 from tidemark.plans.trucking import given
 
@@ -320,3 +323,21 @@ def grain_assert(spark, sf):
     return out
 
 
+# --- incremental loads --------------------------------------------------------------------
+
+#: The raw tables after their batch: live rows updated or flagged deleted.
+_LANDED = {f"raw_{t}": f"""
+    SELECT * REPLACE ({", ".join(f"CASE WHEN NOT _is_deleted_in_source AND ({update}) AND NOT coalesce({gone}, FALSE) THEN {v} ELSE {c} END AS {c}"
+                                 for c, v in values.items())},
+                      _is_deleted_in_source OR coalesce({gone}, FALSE) AS _is_deleted_in_source)
+    FROM raw_{t}""" for t, (update, values, gone) in BATCHES.items()}
+
+for _fact in FACTS:
+    @query(f"load_incremental_{_fact}", outputs(f"fact_{_fact}"), f"SELECT * FROM {variant(f'fact_{_fact}', '_landed', _LANDED)}")
+    def load_incremental(spark, sf, fact=_fact):
+        """The fact after one landed batch per source table: gate, worklist, stage, checks, publish; equal to a rebuild."""
+        warehouse = Warehouse(spark, sf, [fact])
+        for table in warehouse.tables:
+            warehouse.land(table, batch(spark, sf, table), f"land-{table}")
+        warehouse.load(fact)
+        return warehouse.log.read(f"fact_{fact}")

@@ -17,6 +17,7 @@ from tidemark.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, tuple[str, str]] = {}
+_OUTPUTS: dict[str, str] = {}
 
 # kind: (Spark column -> column, SQL text with {c} for the column)
 _KINDS = {
@@ -53,7 +54,7 @@ def query(name: str, out: str, sql: str | None = None):
         if name in QUERIES:
             raise ValueError(f"query {name} registered twice")
         run.__name__, run.__doc__ = name, build.__doc__
-        QUERIES[name] = run
+        QUERIES[name], _OUTPUTS[name] = run, out
         if sql is not None:
             casts = ", ".join(f"{_KINDS[kind][1].format(c=col)} AS {col}" for col, kind in _fields(out))
             _ORACLES[name] = (sql, casts)
@@ -61,6 +62,11 @@ def query(name: str, out: str, sql: str | None = None):
     return register
 
 
+def outputs(name: str) -> str:
+    """The declared output of a registered query, for another of the same shape."""
+    return _OUTPUTS[name]
+
+
 def oracles() -> dict[str, str]:
     """The oracle statements, each with the definitions of the relations it uses."""
     from tidemark.plans import oracle_landing, oracle_star  # noqa: F401  (define the relations)

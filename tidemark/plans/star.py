@@ -93,7 +93,10 @@ class Star:
 
     def silver(self, name: str) -> DataFrame:
         """A current-state table as a plan: source rows with their derived columns."""
-        df = self.raw(name)
+        return self.derived(name, self.raw(name))
+
+    def derived(self, name: str, df: DataFrame) -> DataFrame:
+        """Source rows of a table with their derived columns. Delivery events need all events of their loads."""
         if name == "facilities":
             return X.dq_status(X.centroid_flag(df), [])
         if name in ("drivers", "drivers_later"):
