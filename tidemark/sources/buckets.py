@@ -70,21 +70,36 @@ class BucketLog(TableLog):
     def __init__(self, spark, root: str, bucket_bytes: int = BUCKET_BYTES):
         super().__init__(spark, root)
         self.bucket_bytes = bucket_bytes
+        self._read: dict[str, list[dict]] = {}
 
     def commits(self) -> DataFrame:
         return self.logged(f"{COMMIT}, {LAYOUT}")
 
+    def entries(self) -> list[dict]:
+        """The commit rows on the driver, in order. Commit files never change, so each is read once."""
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        folder = jvm.org.apache.hadoop.fs.Path(f"{self.root}/_commits")
+        fs = folder.getFileSystem(conf)
+        for status in fs.listStatus(folder) if fs.exists(folder) else ():
+            name = status.getPath().getName()
+            if name.endswith(".json") and name not in self._read:
+                stream = fs.open(status.getPath())
+                try:
+                    text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+                finally:
+                    stream.close()
+                self._read[name] = [json.loads(line) for line in text.splitlines()]
+        return [row for name in sorted(self._read) for row in self._read[name]]
+
     def publish(self, run_id: str, tables: dict[str, DataFrame]) -> int:
         raise TypeError("a bucketed table has keys: use create")
 
     def layout(self, table: str, version: int | None = None) -> Layout:
         """Where the table's rows lie: its commits since it was last written whole, a short list, folded."""
-        rows = self.commits().where(F.col("table") == table)
-        if version is not None:
-            rows = rows.where(F.col("version") <= version)
+        rows = [r for r in self.entries() if r["table"] == table and (version is None or r["version"] <= version)]
         folders: dict[int, str] = {}
         row = None
-        for row in rows.orderBy("version").collect():  # one row per merge
+        for row in rows:
             if len(row["touched"]) == row["buckets"]:
                 folders = {}
             for b in row["touched"]:
@@ -106,7 +121,7 @@ class BucketLog(TableLog):
 
     def create(self, run_id: str, tables: dict[str, tuple[DataFrame, Sequence[str]]], buckets: int | None = None) -> int:
         """Write tables (rows, keys) whole, as their next version; there is no feed over such a version."""
-        sequence, known = self._next(), {r["table"]: r["version"] for r in self.current().collect()}  # one row per table
+        sequence, known = self._next(), {r["table"]: r["version"] for r in self.entries()}
 
         def whole(item) -> dict:
             name, (df, keys) = item
@@ -145,7 +160,7 @@ class BucketLog(TableLog):
         return self.commit(sequence, [{"commit_seq": sequence, **r} for r in side_by_side(one, list(merges.items()))])
 
     def _next(self) -> int:
-        return (self.commits().agg(F.max("commit_seq")).first()[0] or 0) + 1
+        return max((r["commit_seq"] for r in self.entries()), default=0) + 1
 
     def _written(self, name: str, run_id: str, version: int, keys: list[str], n: int, touched: list[int], rows: DataFrame,
                  images: DataFrame | None) -> dict:
@@ -180,7 +195,7 @@ class BucketLog(TableLog):
         Equal versions give no rows. A version that was written whole has no feed: the window can't be read.
         """
         at = self.layout(table, upto)
-        rows = self.commits().where((F.col("table") == table) & F.col("version").between(after + 1, at.version)).select("version", "path", "feed").collect()
+        rows = [r for r in self.entries() if r["table"] == table and after < r["version"] <= at.version]
         if len(rows) != at.version - after or not all(r["feed"] for r in rows):
             raise CheckFailed(f"{table}: the changes after version {after} can't be read up to {at.version}")
         schema = StructType([*at.schema.fields, *StructType.fromDDL("_change_type string, _version bigint").fields])
