@@ -92,10 +92,29 @@ def test_tables_and_duplicates(make):
 
 def test_references(make):
     child = make("p int, q string", (1, "a"), (1, None), (9, "z"), (None, "z"))
-    got = P.referential_integrity(child, "c", {"p": ("P", make("k int", (1,), (1,), (2,)), "k"),
-                                               "q": ("Q", make("k string", ("a",),), "k")})
-    assert rows_of(got, "column", "parent", "rows", "nulls", "orphans", "orphan_pct") == [
-        ("p", "P", 4, 1, 1, 25.0), ("q", "Q", 4, 1, 2, 50.0)]
+    tables = {"c": child, "P": make("k int", (1,), (1,), (2,)), "Q": make("k string", ("a",))}
+    got = P.reference_checks(tables, {"c": "p", "P": "k", "Q": "k"}, [("c", "p", "P"), ("c", "q", "Q")])
+    assert rows_of(got, "child", "column", "parent", "rows", "nulls", "orphans", "orphan_pct") == [
+        ("c", "p", "P", 4, 1, 1, 25.0), ("c", "q", "Q", 4, 1, 2, 50.0)]
+
+
+def test_references_read_each_table_once(spark):
+    from tidemark.plans.contract import FOREIGN_KEYS, TABLES, key_of
+    from tidemark.plans.trucking import source
+
+    tables = {t: source(spark, "/root/testdata/sf0.001", t) for t in TABLES}
+    one_each = sum(df._jdf.queryExecution().executedPlan().toString().count("FileScan") for df in tables.values())
+    plan = P.reference_checks(tables, {t: key_of(t) for t in tables}, FOREIGN_KEYS)._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[-1].count("FileScan") <= one_each
+
+
+def test_rules_on_groups_share_the_pass_too(make):
+    df = make("x int, city string, state string", (1, "A", "TX"), (5, "A", "CA"), (None, "B", "TX"), (2, "B", None), (2, None, "TX"), (2, None, "CA"))
+    many = R.GroupRule("many", "document", "city", {"lo": F.min("state"), "hi": F.max("state")}, F.col("lo") != F.col("hi"))
+    pairs = R.GroupRule("not two", "fail", "x", {"n": F.count(F.lit(1))}, F.col("n") != 2)
+    got = R.count_rules(df, [R.Rule("small", "fail", F.col("x") < 3)], [many, pairs])
+    assert rows_of(got, "check_name", "failures") == [("many", 2), ("not two", 4), ("small", 4)]
+    assert rows_of(R.count_rules(df.where("false"), [R.Rule("small", "fail", F.col("x") < 3)], [many]), "check_name", "failures") == [("many", 0), ("small", 0)]
 
 
 def test_rules_share_a_pass(make):

@@ -335,27 +335,33 @@ def top_values(df: DataFrame, column: str, k: int = 20) -> DataFrame:
 
 # --- referential integrity -------------------------------------------------------
 
-def referential_integrity(child: DataFrame, name: str,
-                          references: dict[str, tuple[str, DataFrame, str]]) -> DataFrame:
-    """Rows, NULL references and orphans of all foreign keys of one table.
+def reference_checks(tables: dict[str, DataFrame], keys: dict[str, str], references: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """(child, column, parent, rows, nulls, null_pct, orphans, orphan_pct) of each foreign key (child, column, parent).
 
-    references maps a column to (parent name, parent, parent key). The child is read once and
-    counted per (column, reference) before it meets any parent, so a reference half the rows
-    share is one row of the join.
+    One pass per table: a row says its references and, if its table is a parent, its key. All of it is stacked and counted by
+    (parent, value), map-side combined, so a reference half the rows share is one row per task, and a value's
+    parent and children meet without a join, whatever the number of foreign keys.
     """
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("ref")) for c in references])
-    refs = (child.select(F.explode(cells).alias("_c")).groupBy("_c.column", "_c.ref")
-            .agg(F.count(F.lit(1)).alias("n")).select("column", "ref", "n"))
-    known = union_all([
-        parent.select(F.lit(c).alias("column"), F.col(key).cast("string").alias("ref")).distinct()
-        for c, (_, parent, key) in references.items()]).withColumn("_hit", F.lit(True))
-    missing, zero = F.col("ref").isNull(), F.lit(0)
-    orphan = ~missing & F.col("_hit").isNull()
-    counted = refs.join(known, ["column", "ref"], "left").groupBy("column").agg(
-        F.sum("n").alias("rows"), F.sum(F.when(missing, F.col("n")).otherwise(zero)).alias("nulls"),
-        F.sum(F.when(orphan, F.col("n")).otherwise(zero)).alias("orphans"))
-    parents = {c: parent for c, (parent, _, _) in references.items()}
-    return counted.select(
-        F.lit(name).alias("child"), "column", lookup(parents, F.col("column")).alias("parent"), "rows", "nulls",
+    parents = {parent for _, _, parent in references}
+
+    def said(table: str, df: DataFrame) -> DataFrame:
+        cells = [f"struct({i} AS fk, '{parent}' AS parent, CAST(`{column}` AS STRING) AS value)"
+                 for i, (child, column, parent) in enumerate(references) if child == table]
+        cells += [f"struct(-1 AS fk, '{table}' AS parent, CAST(`{keys[table]}` AS STRING) AS value)"] if table in parents else []
+        return df.select(F.expr(f"inline(array({', '.join(cells)}))"))
+
+    used = [t for t in tables if t in parents or any(t == child for child, _, _ in references)]
+    counts = [f"count_if(fk = {i}) AS n{i}" for i in range(len(references))]
+    met = union_all([said(t, tables[t]) for t in used]).groupBy("parent", "value").agg(F.expr("max(fk = -1) AS known"), *map(F.expr, counts))
+    each = ", ".join(f"struct({i} AS fk, n{i} AS n)" for i in range(len(references)))
+    per_key = met.selectExpr("value", "known", f"inline(array({each}))").where("n > 0").groupBy("fk").agg(
+        F.sum("n").alias("rows"), F.sum(F.expr("CASE WHEN value IS NULL THEN n ELSE 0 END")).alias("nulls"),
+        F.sum(F.expr("CASE WHEN value IS NOT NULL AND NOT known THEN n ELSE 0 END")).alias("orphans"))
+
+    def named(at: int) -> Column:
+        return F.element_at(F.array(*[F.lit(r[at]) for r in references]), F.col("fk") + 1)
+
+    return per_key.select(
+        named(0).alias("child"), named(1).alias("column"), named(2).alias("parent"), "rows", "nulls",
         F.round(100.0 * F.col("nulls") / F.col("rows"), 2).alias("null_pct"), "orphans",
         F.round(100.0 * F.col("orphans") / F.col("rows"), 2).alias("orphan_pct"))

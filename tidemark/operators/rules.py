@@ -17,11 +17,33 @@ class Rule:
     broken: Column
 
 
-def count_rules(frame: DataFrame, rules: list[Rule]) -> DataFrame:
-    """(check_name, failures, severity): one aggregate over frame for all its rules."""
-    wide = frame.agg(*[F.count_if(r.broken).alias(f"r{i}") for i, r in enumerate(rules)])
-    items = F.array(*[F.struct(F.lit(r.name).alias("check_name"), F.col(f"r{i}").alias("failures"),
-                               F.lit(r.severity).alias("severity")) for i, r in enumerate(rules)])
+@dataclass(frozen=True)
+class GroupRule:
+    """A rule on groups of rows: what is taken of a group, and when that breaks the rule. Groups that do are its failures."""
+    name: str
+    severity: str
+    key: str
+    taken: dict[str, Column]
+    broken: Column
+
+
+def count_rules(frame: DataFrame, rules: list[Rule], groups: list[GroupRule] | None = None) -> DataFrame:
+    """(check_name, failures, severity): all rules over one frame in one pass, those on groups included.
+
+    Each row is said once for the row rules and once for each key it belongs to; all are aggregated together, map-side combined.
+    """
+    flags = [F.count_if(r.broken).alias(f"r{i}") for i, r in enumerate(rules)]
+    if groups:
+        cells = F.array(F.struct(F.lit(-1).alias("g"), F.lit(None).cast("string").alias("k")),
+                        *[F.struct(F.lit(i).alias("g"), F.col(x.key).cast("string").alias("k")) for i, x in enumerate(groups)])
+        taken = {name: column for x in groups for name, column in x.taken.items()}
+        each = frame.withColumn("_cell", F.explode(cells)).groupBy("_cell.g", "_cell.k").agg(*flags, *[c.alias(n) for n, c in taken.items()])
+        wide = each.agg(*[F.coalesce(F.sum(F.when(F.col("g") == -1, F.col(f"r{i}"))), F.lit(0)).alias(f"r{i}") for i in range(len(rules))],
+                        *[F.count_if((F.col("g") == i) & x.broken).alias(f"g{i}") for i, x in enumerate(groups)])
+    else:
+        wide = frame.agg(*flags)
+    said = [(r, f"r{i}") for i, r in enumerate(rules)] + [(x, f"g{i}") for i, x in enumerate(groups or [])]
+    items = F.array(*[F.struct(F.lit(r.name).alias("check_name"), F.col(at).alias("failures"), F.lit(r.severity).alias("severity")) for r, at in said])
     return wide.select(F.explode(items).alias("_i")).select("_i.*")
 
 
@@ -31,6 +53,12 @@ def cities_in_many_states(df: DataFrame) -> DataFrame:
             .where(F.col("states") > 1))
 
 
+def _many_states(table: str) -> GroupRule:
+    """A city has several states exactly when its least and greatest differ."""
+    return GroupRule(f"{table}: city mapped to multiple states", "document", "location_city",
+                     {"lo": F.min("location_state"), "hi": F.max("location_state")}, F.col("lo") != F.col("hi"))
+
+
 def event_pairs(events: DataFrame) -> DataFrame:
     """Per load: its last pickup and delivery, its events and its kinds of event."""
     def last(kind: str) -> Column:
@@ -50,10 +78,16 @@ def rule_checks(t: dict[str, DataFrame]) -> DataFrame:
     # Trips counted per load first: a load with very many trips joins as one row.
     trips_per_load = t["trips"].groupBy("load_id").agg(F.count("trip_id").alias("n_trips"))
     day = c("incident_date").cast("date")
+
+    def last(kind: str) -> Column:
+        return F.max(F.when(c("event_type") == kind, c("actual_datetime")))
+
     parts = [
-        count_rules(t["safety_incidents"], [
+        count_rules(t["safety_incidents"].join(drivers, "driver_id", "left"), [
             Rule("claim = vehicle + cargo damage", "quarantine",
-                 F.abs(c("claim_amount") - (c("vehicle_damage_cost") + c("cargo_damage_cost"))) > 0.01)]),
+                 F.abs(c("claim_amount") - (c("vehicle_damage_cost") + c("cargo_damage_cost"))) > 0.01),
+            Rule("incident outside driver employment period", "quarantine",
+                 (day < c("hire_date")) | (day > c("termination_date")))], [_many_states("safety_incidents")]),
         count_rules(t["maintenance_records"].join(trucks, "truck_id", "left"), [
             Rule("maintenance total = labour + parts", "quarantine",
                  F.abs(c("total_cost") - (c("labor_cost") + c("parts_cost"))) > 0.01),
@@ -65,7 +99,7 @@ def rule_checks(t: dict[str, DataFrame]) -> DataFrame:
             Rule("fuel cost = gallons x price", "quarantine",
                  F.abs(c("total_cost") - c("gallons") * c("price_per_gallon")) > 0.05),
             Rule("fuel purchase exceeds tank capacity", "quarantine",
-                 c("gallons") > c("tank_capacity_gallons"))]),
+                 c("gallons") > c("tank_capacity_gallons"))], [_many_states("fuel_purchases")]),
         count_rules(t["trips"].join(booked, "load_id", "left"), [
             Rule("idle time exceeds trip duration", "quarantine",
                  c("idle_time_hours") > c("actual_duration_hours")),
@@ -74,23 +108,20 @@ def rule_checks(t: dict[str, DataFrame]) -> DataFrame:
                  & (F.abs(c("average_mpg") - c("actual_distance_miles")
                           / F.nullif(c("fuel_gallons_used"), F.lit(0))) > 0.5)),
             Rule("trip dispatched before load booked", "quarantine", c("dispatch_date") < c("load_date"))]),
-        count_rules(t["safety_incidents"].join(drivers, "driver_id"), [
-            Rule("incident outside driver employment period", "quarantine",
-                 (day < c("hire_date")) | (day > c("termination_date")))]),
         count_rules(t["drivers"], [
             Rule("driver terminated before hired", "fail", c("termination_date") < c("hire_date")),
             Rule("active driver has a termination date", "quarantine",
                  (c("employment_status") == "Active") & c("termination_date").isNotNull()),
             Rule("inactive driver has no termination date", "quarantine",
                  (c("employment_status") != "Active") & c("termination_date").isNull())]),
-        *[count_rules(cities_in_many_states(t[name]), [
-            Rule(f"{name}: city mapped to multiple states", "document", F.lit(True))])
-          for name in ("safety_incidents", "fuel_purchases", "delivery_events")],
         count_rules(t["loads"].select("load_id").join(trips_per_load, "load_id", "left"), [
             Rule("load without exactly one trip", "fail", F.coalesce("n_trips", F.lit(0)) != 1)]),
-        count_rules(event_pairs(t["delivery_events"]), [
-            Rule("load without exactly one pickup and one delivery", "fail",
-                 (c("n_kinds") != 2) | (c("n_events") != 2)),
-            Rule("delivery recorded before its pickup", "fail", c("delivered") < c("picked"))]),
+        count_rules(t["delivery_events"], [], [
+            _many_states("delivery_events"),
+            GroupRule("load without exactly one pickup and one delivery", "fail", "load_id",
+                      {"n_events": F.count(F.lit(1)), "least": F.min("event_type"), "most": F.max("event_type")},
+                      (c("n_events") != 2) | F.coalesce(c("least") == c("most"), F.lit(True))),
+            GroupRule("delivery recorded before its pickup", "fail", "load_id", {"picked": last("Pickup"), "delivered": last("Delivery")},
+                      c("delivered") < c("picked"))]),
     ]
     return union_all(parts)

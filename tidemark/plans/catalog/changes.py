@@ -17,7 +17,7 @@ from tidemark.plans.oracle_star import dk
 from tidemark.plans.catalog.scalars import row_text_sql
 from tidemark.plans.registry import query
 from tidemark.plans.star import star
-from tidemark.plans.trucking import source
+from tidemark.plans.trucking import columns, source
 from tidemark.session import scratch_path
 from tidemark.sources.buckets import BucketLog, Merge
 
@@ -308,7 +308,7 @@ def heal_orphans(spark, sf):
 
 # --- row hashes -----------------------------------------------------------------------
 
-_PLAIN = ("customer_id", "customer_type", "account_status")
+_PLAIN = columns("customers")
 _HASH = f"sha256({row_text_sql(_PLAIN)})"
 
 

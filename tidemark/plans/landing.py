@@ -239,31 +239,26 @@ def user_change_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
 # --- one change later -----------------------------------------------------------------
 
 def edited(spark: SparkSession, sf_dir: str, table: str) -> tuple[DataFrame, DataFrame]:
-    """(before, after) of the columns the key propagation reads: moved, re-routed and removed rows."""
-    columns, sql = EDITS[table]
-    before = source(spark, sf_dir, table).select(*columns)
-    return before, spark.sql(sql.format(t="{before}"), before=before)
+    """(before, after) of whole rows: moved, re-routed, corrected and removed ones."""
+    values, kept = EDITS[table]
+    before = source(spark, sf_dir, table)
+    return before, before.where(kept).withColumns({c: F.expr(v).cast(before.schema[c].dataType) for c, v in values.items()})
 
 
-# Table -> columns and the edit, in a text both engines read.
+# Table -> new values of columns, and which rows stay, in a text both engines read. Any column may change.
 EDITS = {
-    "loads": (("load_id", "route_id"), """
-        SELECT load_id, CASE WHEN load_id % 89 = 0 THEN 101 ELSE route_id END AS route_id
-        FROM {t} WHERE load_id % 127 <> 0"""),
-    "trips": (("trip_id", "load_id", "driver_id"), """
-        SELECT trip_id, CASE WHEN driver_id % 17 = 3 AND load_id % 5 = 0 THEN load_id + 1 ELSE load_id END AS load_id,
-               driver_id FROM {t}"""),
-    "delivery_events": (("event_id", "load_id", "event_type"), """
-        SELECT event_id, CASE WHEN load_id % 71 = 0 AND event_type = 'Pickup' THEN load_id + 2 ELSE load_id END
-               AS load_id, event_type FROM {t} WHERE load_id IS NULL OR load_id % 301 <> 5"""),
-    "fuel_purchases": (("fuel_purchase_id", "trip_id", "gallons"), """
-        SELECT fuel_purchase_id, trip_id, CAST(CASE WHEN gallons = 13 THEN gallons + 1 ELSE gallons END
-               AS DECIMAL(10,2)) AS gallons
-        FROM {t}"""),
-    "maintenance_records": (("maintenance_id", "labor_hours"), """
-        SELECT maintenance_id, CAST(CASE WHEN maintenance_id % 61 = 0 THEN labor_hours + 1
-               ELSE labor_hours END AS DECIMAL(8,2)) AS labor_hours FROM {t} WHERE maintenance_id % 83 <> 0"""),
-    "safety_incidents": (("incident_id", "vehicle_damage_cost"), """
-        SELECT incident_id, CAST(CASE WHEN incident_id % 59 = 0 THEN vehicle_damage_cost + 1
-               ELSE vehicle_damage_cost END AS DECIMAL(14,2)) AS vehicle_damage_cost FROM {t} WHERE incident_id % 79 <> 0"""),
+    "loads": ({"route_id": "CASE WHEN load_id % 89 = 0 THEN 101 ELSE route_id END",
+               "pieces": "CASE WHEN load_id % 97 = 5 THEN pieces + 1 ELSE pieces END"}, "load_id % 127 <> 0"),
+    "trips": ({"load_id": "CASE WHEN driver_id % 17 = 3 AND load_id % 5 = 0 THEN load_id + 1 ELSE load_id END",
+               "trip_status": "CASE WHEN load_id % 103 = 7 THEN NULL ELSE trip_status END"}, "TRUE"),
+    "delivery_events": ({"load_id": "CASE WHEN load_id % 71 = 0 AND event_type = 'Pickup' THEN load_id + 2 ELSE load_id END",
+                         "detention_minutes": "CASE WHEN load_id % 107 = 2 THEN detention_minutes + 1 ELSE detention_minutes END"},
+                        "load_id IS NULL OR load_id % 301 <> 5"),
+    "fuel_purchases": ({"gallons": "CASE WHEN gallons = 13 THEN gallons + 1 ELSE gallons END",
+                        "location_city": "CASE WHEN truck_id % 109 = 4 THEN 'Elsewhere' ELSE location_city END"}, "TRUE"),
+    "maintenance_records": ({"labor_hours": "CASE WHEN maintenance_id % 61 = 0 THEN labor_hours + 1 ELSE labor_hours END",
+                             "service_description": "CASE WHEN maintenance_id % 113 = 1 THEN 'Corrected' ELSE service_description END"},
+                            "maintenance_id % 83 <> 0"),
+    "safety_incidents": ({"vehicle_damage_cost": "CASE WHEN incident_id % 59 = 0 THEN vehicle_damage_cost + 1 ELSE vehicle_damage_cost END",
+                          "injury_flag": "CASE WHEN incident_id % 127 = 3 THEN NOT injury_flag ELSE injury_flag END"}, "incident_id % 79 <> 0"),
 }

@@ -7,16 +7,19 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.batches import MANIFEST, Expected, batch_files, manifest_text
 from tidemark.operators.detect import READS
 from tidemark.operators.facts import FACTS
 from tidemark.operators.history import sequenced
 from tidemark.operators.load import control_tables, land_batch, load_fact
 from tidemark.operators.segments import numbered
-from tidemark.plans.contract import key_of
+from tidemark.plans.contract import TABLES, key_of
 from tidemark.plans.star import FACT_DIMS, star
 from tidemark.plans.trucking import source
 from tidemark.session import scratch_path
 from tidemark.sources.buckets import BucketLog, Merge
+from tidemark.sources.sinks import write_text
+from tidemark.sources.versions import side_by_side
 
 BUCKET_BYTES = 1 << 20
 DAY = "2024-02-01"
@@ -79,3 +82,44 @@ class Warehouse:
 
     def load(self, fact: str, run_id: str = "run-1", allow_mass_delete: bool = False) -> dict:
         return load_fact(self.log, fact, self.star.dims(FACT_DIMS[fact]), run_id, datetime(2024, 2, 1), allow_mass_delete)
+
+
+# --- a snapshot batch as files, with planted damage -----------------------------------------
+
+AS_OF = "2024-01-01"
+
+
+def land_snapshot(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, Expected]]:
+    """(folder, what its tables are held against): the live rows of the twelve tables as files with their manifest.
+
+    Each check fails somewhere: the digest of facilities' files is wrong, routes hold a file that is no Parquet, trailers and trucks have
+    other schemas in the contract and in bronze, the manifest says one load too many and the source one trip, current state
+    lacks purchases, a hundredth of the services have no key, a hundredth of the loads' events come twice, and a folder is left over.
+    """
+    folder = f"{scratch_path(spark, 'landing')}/batch_seq=000000"
+    rows, expected = {}, {}
+
+    def land(table: str) -> None:
+        key, silver = key_of(table), source(spark, sf_dir, table)
+        live = silver.where("NOT _is_deleted_in_source").drop("_is_deleted_in_source", "_source_changed_at")
+        n, schema = live.count(), live.schema.simpleString()
+        if table == "maintenance_records":
+            live = live.withColumn(key, F.expr(f"CASE WHEN {key} % 100 = 1 THEN NULL ELSE {key} END"))
+        if table == "delivery_events":
+            live = live.unionByName(live.where("load_id % 100 = 1"))
+        if table == "routes":
+            write_text(spark, f"{folder}/{table}/part-0.parquet", "no Parquet at all")
+        else:
+            live.coalesce(2).write.parquet(f"{folder}/{table}")
+        rows[table] = live.count() + (table == "loads")
+        other = schema.replace("string", "int", 1)
+        expected[table] = Expected(key, other if table == "trailers" else schema, other if table == "trucks" else schema, n + (table == "trips"),
+                                   silver.where("truck_id % 10 <> 3") if table == "fuel_purchases" else silver)
+
+    side_by_side(land, list(TABLES))
+    files = batch_files(spark, folder)
+    listed = files.withColumn("sha256", F.when(F.col("path").startswith("facilities/"), F.reverse("sha256")).otherwise(F.col("sha256")))
+    text = listed.agg(manifest_text(rows, "batch-000000", AS_OF)).first()[0]
+    write_text(spark, f"{folder}/{MANIFEST}", text)
+    write_text(spark, f"{folder}/leftover/note.txt", "not listed")
+    return folder, {t: expected[t] for t in TABLES}

@@ -16,10 +16,9 @@ define("run_log", landing.RUN_LOG.format(**DUCK.given))
 define("worklist", landing.WORKLIST.format(**DUCK.given))
 
 # Both versions of each edited table, and the images that changed between them.
-for _table, (_columns, _sql) in landing.EDITS.items():
-    _list = ", ".join(_columns)
-    define(f"{_table}_before", f"SELECT {_list} FROM raw_{_table}")
-    define(f"{_table}_edited", _sql.format(t=f"{_table}_before"))
+for _table, (_values, _kept) in landing.EDITS.items():
+    define(f"{_table}_before", f"SELECT * FROM raw_{_table}")
+    define(f"{_table}_edited", f"SELECT * REPLACE ({', '.join(f'{v} AS {c}' for c, v in _values.items())}) FROM raw_{_table} WHERE {_kept}")
     define(f"{_table}_changes", f"""
         SELECT * FROM (SELECT * FROM {_table}_before EXCEPT SELECT * FROM {_table}_edited)
         UNION ALL SELECT * FROM (SELECT * FROM {_table}_edited EXCEPT SELECT * FROM {_table}_before)""")

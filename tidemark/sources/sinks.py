@@ -66,3 +66,25 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 def exists(spark: SparkSession, path: str) -> bool:
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """One small text file on the driver, also one whose name Spark's sources skip; None where there is none."""
+    jvm = spark.sparkContext._jvm
+    file = jvm.org.apache.hadoop.fs.Path(path)
+    fs = file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(file):
+        return None
+    stream = fs.open(file)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def names_in(spark: SparkSession, folder: str) -> set[str]:
+    """The names in a folder, without those of checksums and of Spark's own marks."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = {s.getPath().getName() for s in fs.listStatus(path)} if fs.exists(path) else set()
+    return {n for n in names if not n.startswith(".") and n != "_SUCCESS"}
