@@ -83,6 +83,15 @@ def test_one_of_each_stays(documents):
         {(r.doc_id or 0, r.text or "") for r in documents.collect() if r.doc_id not in (2, 7)})
 
 
+def test_near_copies_without_or_with_repeated_ids(spark):
+    base = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon phi chi psi omega one two three"
+    rows = [(None, base), (None, base + " four"), (7, base + " five"), (8, "quite another text of more than five words"), (8, base + " six"),
+            (None, ""), (None, ""), (9, None), (None, "lone words without any id at all"), (None, "lone words without any id at all")]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, _id string")
+    kept = sorted((str(r.doc_id), str(r.text)) for r in jaccard.first_of_each(docs).collect())
+    assert kept == sorted([("7", base + " five"), ("8", "quite another text of more than five words"), ("None", ""), ("9", "None"), ("None", "lone words without any id at all")])
+
+
 def test_nothing(nothing):
     assert jaccard.join(nothing).collect() == []
     assert jaccard.first_of_each(nothing).collect() == []

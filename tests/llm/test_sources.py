@@ -67,13 +67,24 @@ def test_rows_hold_the_words_taken(sources):
         words = word_list(r.text)
         at = iter(text[r.doc_id, r.source])
         assert all(w in at for w in words) and r.extra == 1  # a subsequence
-        found[str(r.doc_id)] += len(words)
+        found[str(r.doc_id), r.source] += len(words)
     taken = Counter()
     for r in mix.taken().collect():
-        taken[str(r.doc_id)] += r.taken
+        taken[str(r.doc_id), r.source] += r.taken
     assert +found == +taken
 
 
+def test_copies_under_several_sources_keep_their_words(spark):
+    text = "one two three four five six seven eight nine ten eleven twelve"
+    docs = spark.createDataFrame([(1, text, s) for s in "abc"] + [(i, "some other words here", s) for i in range(5, 9) for s in "ab"], "doc_id long, text string, source string")
+    for df in (docs, docs.orderBy(F.rand(3)), docs.orderBy(F.rand(8))):
+        mix = mixing.Mix(df, block_words=4)
+        found = Counter()
+        for r in mix.rows(df).collect():
+            found[r.doc_id, r.source] += len(word_list(r.text))
+        assert +found == +Counter({(r.doc_id, r.source): r.taken for r in mix.taken().collect()})
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 17, 64, 1000])
 def test_permutations(n):
     assert sorted(mixing.permute(np.arange(n), n, 5).tolist()) == list(range(n))

@@ -72,13 +72,14 @@ def _distinct_rows(s: np.ndarray, at: np.ndarray, key: np.ndarray) -> np.ndarray
 
 
 def classes(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, n, key) of every row of docs(doc_id, text)."""
+    """(doc_id, n, key, tie) of every row of docs(doc_id, text); tie is a hash of the text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batches, "text", SLICE_BYTES):
             s, at = shingles(rows["text"].combine_chunks(), size)
-            yield pa.RecordBatch.from_pydict({"doc_id": rows["doc_id"].combine_chunks(), "n": pa.array(np.diff(at), pa.int64()), "key": pa.array(_keys(s, at), pa.int64())})
+            yield pa.RecordBatch.from_pydict({"doc_id": rows["doc_id"].combine_chunks(), "n": pa.array(np.diff(at), pa.int64()), "key": pa.array(_keys(s, at), pa.int64()),
+                                               "tie": rows["tie"].combine_chunks()})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, key long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie")).mapInArrow(run, "doc_id long, n long, key long, tie long")
 
 
 def shared_counts(docs: DataFrame, size: int, percent: int, buckets: int) -> DataFrame:
@@ -396,11 +397,20 @@ def join(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
 
 
 def first_of_each(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
-    """docs without all but one document of each component: that with its smallest id, of equal rows one."""
-    found = join(docs, size, percent).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = stored(found.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("rows")), "kept")
+    """docs without all but one document of each component: that with its smallest id, nulls last, of equal rows one.
 
-    def of(ids: DataFrame) -> DataFrame:
-        return docs.join(ids.select("_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    Rows are told apart by id and text, so a component keeps one row also where its ids are null or repeated. Documents without
+    words are components of their own.
+    """
+    named, found = linked(docs, size, percent)
+    row = F.struct(F.col("doc_id").isNull().alias("_none"), "doc_id", "tie")
+    per_key = named.where("n > 0").groupBy("key").agg(F.min(row).alias("first"))
+    rooted = per_key.join(found.select(F.col("node").alias("key"), "root"), "key", "left").groupBy(F.coalesce("root", "key")).agg(F.min("first").alias("first"))
+    chosen = rooted.select("first.doc_id", "first.tie").unionByName(named.where("n = 0").select("doc_id", "tie").distinct())
+    counts = named.groupBy("doc_id", "tie").agg(F.count("*").alias("rows")).select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"), "rows")
+    kept = stored(chosen.join(counts, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie"))).select("_id", "_tie", "rows"), "kept")
+
+    def of(rows: DataFrame) -> DataFrame:
+        return docs.join(rows, docs["doc_id"].eqNullSafe(rows["_id"]) & (F.xxhash64(docs["text"]) == rows["_tie"]), "left_semi")
 
     return of(kept.where("rows = 1")).unionByName(of(kept.where("rows > 1")).dropDuplicates(["doc_id", "text"]))

@@ -175,15 +175,16 @@ class Mix:
         Words next to each other keep the white space between them; a line end stands where words are left out.
         """
         columns = list(docs.columns)
-        same = Window.partitionBy("doc_id", "_tie")
-        number = F.row_number().over(same.orderBy(F.lit(0)))
+        # copies of a row are numbered within their source, so that each gets words of its own source
+        same = Window.partitionBy("doc_id", "_tie", "source")
         pieces = self.spans.groupBy("source", "start", "pass").agg(F.array_sort(F.collect_list(F.struct("first_word", "n_words"))).alias("_words"))
         pieces = pieces.select(F.col("source").alias("_source"), F.col("start").alias("_start"), F.col("pass").alias("_pass"), "_words")
         placed = self.documents.where("size > 0").withColumn("_copy", F.row_number().over(same.orderBy("start"))).select("doc_id", "_tie", "_copy", "source", "start")
         placed = placed.join(pieces, F.col("source").eqNullSafe(F.col("_source")) & (F.col("start") == F.col("_start")))
-        placed = placed.select(F.col("doc_id").alias("_id"), F.col("_tie").alias("_t"), F.col("_copy").alias("_c"), "_pass", "_words")
-        own = docs.select("doc_id", "text", aside(docs, "doc_id", "text")).withColumn("_tie", F.xxhash64("text")).withColumn("_copy", number)
-        met = own.join(placed, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_tie") == F.col("_t")) & (F.col("_copy") == F.col("_c")))
+        placed = placed.select(F.col("doc_id").alias("_id"), F.col("_tie").alias("_t"), F.col("_copy").alias("_c"), "_source", "_pass", "_words")
+        own = docs.select("doc_id", "text", F.col("source"), aside(docs, "doc_id", "text")).withColumn("_tie", F.xxhash64("text"))
+        own = own.withColumn("_copy", F.row_number().over(same.orderBy(F.xxhash64("_row"))))
+        met = own.join(placed, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_tie") == F.col("_t")) & (F.col("_copy") == F.col("_c")) & F.col("source").eqNullSafe(F.col("_source")))
         met = met.select(*put_back(columns, "doc_id", "text"), "_pass", "_words")
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
