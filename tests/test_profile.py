@@ -108,15 +108,6 @@ def test_references_read_each_table_once(spark):
     assert plan.split("== Initial Plan ==")[-1].count("FileScan") <= one_each
 
 
-def test_rules_on_groups_share_the_pass_too(make):
-    df = make("x int, city string, state string", (1, "A", "TX"), (5, "A", "CA"), (None, "B", "TX"), (2, "B", None), (2, None, "TX"), (2, None, "CA"))
-    many = R.GroupRule("many", "document", "city", {"lo": F.min("state"), "hi": F.max("state")}, F.col("lo") != F.col("hi"))
-    pairs = R.GroupRule("not two", "fail", "x", {"n": F.count(F.lit(1))}, F.col("n") != 2)
-    got = R.count_rules(df, [R.Rule("small", "fail", F.col("x") < 3)], [many, pairs])
-    assert rows_of(got, "check_name", "failures") == [("many", 2), ("not two", 4), ("small", 4)]
-    assert rows_of(R.count_rules(df.where("false"), [R.Rule("small", "fail", F.col("x") < 3)], [many]), "check_name", "failures") == [("many", 0), ("small", 0)]
-
-
 def test_rules_share_a_pass(make):
     df = make("x int", (1,), (5,), (None,))
     got = R.count_rules(df, [R.Rule("small", "fail", F.col("x") < 3), R.Rule("big", "document", F.col("x") > 4)])

@@ -63,8 +63,8 @@ def incremental_revive(spark, sf):
 
 
 OLD, NOW = "2024-01-01", "2024-02-01"
-#: Of a bucket, so that the given tables have several.
-BUCKET_BYTES = 256 << 10
+#: Of a bucket, so that the larger of the given tables have several.
+BUCKET_BYTES = 4 << 20
 
 
 def bucketed(spark, name, df, key):

@@ -49,7 +49,7 @@ def stream_merge_current_state(spark, sf):
     # Ten-day batches, the latest first, so that files arrive out of order.
     staged = events.withColumn("seq", (3 - F.floor(F.dayofmonth("_source_changed_at") / 10)).cast("int"))
     _write_batches(staged, root)
-    log = BucketLog(spark, f"{root}-state", 256 << 10)
+    log = BucketLog(spark, f"{root}-state", 4 << 20)
     log.create("snapshot", {"users": (sequenced(snapshot), ["user_id"])})
     merge_stream(landed_stream(spark, root, events.schema, 8), log, "users", "user_id", f"{root}-checkpoint")
     return log.read("users").select("user_id", "event_type", "value", F.col("_is_deleted_in_source").alias("deleted"),
