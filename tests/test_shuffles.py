@@ -5,7 +5,9 @@ import re
 from conftest import rows_of
 
 from tidemark.operators import transforms as X
+from tidemark.operators.merge import change_feed
 from tidemark.plans import trucking
+from tidemark.plans.catalog.changes import _changes
 from tidemark.plans.star import Star
 
 SF = "/root/testdata/sf0.001"
@@ -30,3 +32,20 @@ def test_delivery_events_equal_the_oracles_form(spark):
     assert new.columns == told.columns and rows_of(new, *told.columns) == rows_of(told, *told.columns)
     told, new = X.delivery_events(told), Star(spark, SF).silver("delivery_events")
     assert new.columns == told.columns and rows_of(new, *told.columns) == rows_of(told, *told.columns)
+
+
+def test_narrow_feed_sees_a_change_of_any_column(make):
+    schema = "k int, parent string, a int, b int, c string"
+    before = make(schema, (1, "p", 5, None, "x"), (2, "p", 1, 1, None), (3, None, 1, 1, "x"), (4, "p", 1, 1, "x"), (5, "p", 7, 7, ""))
+    after = make(schema, (1, "p", None, 5, "x"), (2, "q", 1, 1, None), (3, None, 1, 1, "x"), (5, "p", 7, 7, None), (6, "r", 1, 1, "x"))
+    feed = change_feed(before, after, ["k"], ["parent"])
+    assert feed.columns == ["k", "parent", "_change_type"]
+    assert rows_of(feed, *feed.columns) == rows_of(change_feed(before, after, ["k"]), *feed.columns)
+    assert {r["k"] for r in feed.collect()} == {1, 2, 4, 5, 6}
+
+
+def test_affected_keys_ask_for_keys_and_links_alone(spark):
+    feeds = _changes(spark, SF, "load_lifecycle")
+    assert {t: feed.columns for t, feed in feeds.items()} == {
+        "loads": ["load_id", "_change_type"], "trips": ["trip_id", "load_id", "_change_type"],
+        "delivery_events": ["event_id", "load_id", "_change_type"]}
