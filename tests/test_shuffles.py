@@ -49,3 +49,15 @@ def test_affected_keys_ask_for_keys_and_links_alone(spark):
     assert {t: feed.columns for t, feed in feeds.items()} == {
         "loads": ["load_id", "_change_type"], "trips": ["trip_id", "load_id", "_change_type"],
         "delivery_events": ["event_id", "load_id", "_change_type"]}
+
+
+def test_purchases_are_spelled_out_after_the_shuffles(spark, capsys):
+    star = Star(spark, SF)
+    told, new = X.capacity_flag(trucking.source(spark, SF, "fuel_purchases"), star.raw("trucks")), star.silver("fuel_purchases")
+    assert sorted(new.columns) == sorted(told.columns) and rows_of(new, *told.columns) == rows_of(told, *told.columns)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        exchanges = shuffled(Star(spark, SF).silver("fuel_purchases"), capsys)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert exchanges and not [e for e in exchanges if e & {"fuel_purchase_id", "trip_id", "location_city"}]
