@@ -122,3 +122,10 @@ def test_empty_tables_and_batches(make, log):
     log.merge("r3", {"t": Merge(one, replaced(one))})
     log.merge("r4", {"t": Merge(one, replaced(empty))})
     assert log.read("t").isEmpty() and rows_of(log.changes("t", 3), "k", "_change_type") == [(1, "delete")]
+
+
+def test_buckets_are_written_compactly(spark, tmp_path):
+    log = BucketLog(spark, str(tmp_path / "log"))
+    log.create("run-1", {"t": (spark.range(10).withColumnRenamed("id", "k"), ["k"])})
+    files = [f.name for f in (tmp_path / "log").rglob("*.parquet") if f.is_file()]
+    assert files and all(".zstd." in f for f in files)
