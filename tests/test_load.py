@@ -5,6 +5,7 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 from tidemark.functions.compare import CheckFailed
+from tidemark.plans import loading
 from tidemark.plans.loading import Warehouse, batch
 
 SF = "/root/testdata/sf0.001"
@@ -67,3 +68,13 @@ def test_a_batch_that_breaks_a_rule_lands_nothing(spark):
     with pytest.raises(CheckFailed, match="needs_live_key"):
         house.land("maintenance_records", events.withColumn("maintenance_id", -F.col("maintenance_id")), "land")
     assert house.log.layout("raw_maintenance_records") == before
+
+
+def test_files_of_a_landed_snapshot_do_not_grow_with_their_table(spark, monkeypatch):
+    monkeypatch.setattr(loading, "FILE_ROWS", 500, raising=False)
+    folder, tables = loading.land_snapshot(spark, SF)
+    for table in ("delivery_events", "loads", "trips"):
+        files = spark.read.parquet(f"{folder}/{table}").groupBy(F.input_file_name().alias("file")).count()
+        assert files.agg(F.max("count")).first()[0] <= 500
+    landed = spark.read.parquet(f"{folder}/delivery_events")
+    assert tables["delivery_events"].source_rows == landed.distinct().count() < landed.count()
