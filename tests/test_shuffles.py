@@ -61,3 +61,16 @@ def test_purchases_are_spelled_out_after_the_shuffles(spark, capsys):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert exchanges and not [e for e in exchanges if e & {"fuel_purchase_id", "trip_id", "location_city"}]
+
+
+def test_dimensions_take_columns_without_the_joins_of_others(spark, capsys):
+    star = Star(spark, SF)
+    for table, columns, kept in (("delivery_events", ("location_city", "location_state"), 0), ("fuel_purchases", ("location_city",), 0),
+                                 ("delivery_events", ("event_type", "arrival_status"), 2)):
+        light = star.part(table, *columns)
+        exchanges = shuffled(light, capsys)
+        assert len(exchanges) <= kept and not [e for e in exchanges if e & {"event_id", "trip_id", "is_timestamp_reversed"}]
+        assert rows_of(light, *columns) == rows_of(star.silver(table), *columns)
+    star.dim("location")
+    assert not {"silver_delivery_events", "silver_fuel_purchases"} & {*star._frames}
+    assert rows_of(star.part("delivery_events", "event_id"), "event_id") == rows_of(star.current("delivery_events"), "event_id")
