@@ -5,9 +5,12 @@ import re
 from conftest import rows_of
 
 from tidemark.operators import transforms as X
+from tidemark.operators.facts import FACTS
 from tidemark.operators.merge import change_feed
 from tidemark.plans import trucking
 from tidemark.plans.catalog.changes import _changes
+from tidemark.plans.catalog.figures import lanes
+from tidemark.plans.measures import query as measure_query
 from tidemark.plans.star import Star
 
 SF = "/root/testdata/sf0.001"
@@ -74,3 +77,37 @@ def test_dimensions_take_columns_without_the_joins_of_others(spark, capsys):
     star.dim("location")
     assert not {"silver_delivery_events", "silver_fuel_purchases"} & {*star._frames}
     assert rows_of(star.part("delivery_events", "event_id"), "event_id") == rows_of(star.current("delivery_events"), "event_id")
+
+
+def test_parts_of_facts_equal_the_facts(spark):
+    whole, parts = Star(spark, SF), Star(spark, SF)
+    for name in FACTS:
+        fact = whole.fact(name)
+        key, keys = FACTS[name][1], FACTS[name][2]
+        rest = [c for c in fact.columns if c not in keys]
+        for columns in ((key, keys[0]), (key, *keys[1:4:2]), rest):
+            assert rows_of(parts.fact_part(name, *columns), *columns) == rows_of(fact, *columns), (name, columns)
+    assert not {f"fact_{n}" for n in FACTS} & {*parts._frames}
+    parts.hold("trip", "trip_id", "route_key")
+    assert rows_of(parts.fact_part("trip", "route_key"), "route_key") == rows_of(whole.fact("trip"), "route_key")
+    assert shuffles_nothing(parts.fact_part("trip", "route_key"))
+
+
+def shuffles_nothing(df):
+    return "hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_figures_take_columns_of_facts_without_the_joins_of_others(spark, capsys):
+    star = Star(spark, SF)
+    assert lanes(star).count() > 0
+    measure_query(star, ["contribution_after_fuel", "fuel_cost_per_mile"], ["route.route_name"]).count()
+    assert not [label for label in star._frames if label.startswith("fact_")]
+    assert not {"silver_trips", "silver_loads", "silver_delivery_events", "silver_fuel_purchases"} & {*star._frames}
+    assert shuffles_nothing(star.fact_part("load_lifecycle", "booked_date_key", "revenue"))
+    wide = {"trip_id", "event_id", "driver_id", "truck_id", "trailer_id", "actual_duration_hours"}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        exchanges = shuffled(star.fact_part("trip", "route_key", "actual_distance_miles"), capsys)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert exchanges and not [e for e in exchanges if e & wide]
