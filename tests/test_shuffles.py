@@ -10,8 +10,9 @@ from tidemark.operators.merge import change_feed
 from tidemark.plans import trucking
 from tidemark.plans.catalog.changes import _changes
 from tidemark.plans.catalog.figures import lanes
+from tidemark.plans.catalog.reconciliation import check_keys_event, check_lifecycle_oracle, reconcile_verdict
 from tidemark.plans.measures import query as measure_query
-from tidemark.plans.star import Star
+from tidemark.plans.star import Star, star as shared
 
 SF = "/root/testdata/sf0.001"
 
@@ -111,3 +112,21 @@ def test_figures_take_columns_of_facts_without_the_joins_of_others(spark, capsys
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert exchanges and not [e for e in exchanges if e & wide]
+
+
+def test_checks_and_delivery_events_publish_no_whole_tables(spark, capsys):
+    star = Star(spark, SF)
+    events = star.stage("delivery_event")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        route = star.fact_part("delivery_event", "event_id", "route_key").select("route_key")
+        exchanges = shuffled(route, capsys)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert events.count() == star.silver("delivery_events").count()
+    assert not [e for e in exchanges if e & {"event_id", "trip_id", "location_city", "detention_minutes"}]
+    own = f"{SF}/."     # the star of no other test
+    for check in (check_keys_event, check_lifecycle_oracle, reconcile_verdict):
+        assert check(spark, own).count() > 0
+    frames = {*shared(spark, own)._frames}
+    assert not {"silver_delivery_events", "silver_trips", "silver_loads", "fact_trip", "fact_delivery_event", "fact_load_lifecycle"} & frames
