@@ -210,7 +210,7 @@ def join_role_playing(spark, sf):
 def join_drill_across(spark, sf):
     """Three facts counted by route, then joined on the route."""
     s = star(spark, sf)
-    facts = s.facts(["load_lifecycle", "trip", "fuel_purchase"])
+    facts = {f: s.fact_part(f, "route_key") for f in ("load_lifecycle", "trip", "fuel_purchase")}
     spine = s.dim("route").where("route_key > 0").select("route_key", "route_name")
     return drill_across(spine, "route_key", *[
         facts[f].groupBy("route_key").agg(n_rows().alias(name))
