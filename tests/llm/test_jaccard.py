@@ -2,12 +2,13 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import word_list
 from tidemark.llm import jaccard
-from tidemark.llm.components import components
+from tidemark.llm.components import components, grown
 
 
 def brute(texts):
@@ -101,3 +102,45 @@ def test_contraction_finds_long_chains(spark):
     edges = [(i, i + 1) for i in range(0, 200)] + [(1000, 1001), (1001, 1000), (5000, 5000)] + [(3000, 3000 + i) for i in range(1, 50)]
     got = components(spark.createDataFrame(edges, "a long, b long")).groupBy("root").agg(F.count("*").alias("n"), F.min("node").alias("m"), F.max("node").alias("x"))
     assert sorted((r.n, r.m, r.x) for r in got.collect()) == [(2, 1000, 1001), (50, 3000, 3049), (201, 0, 200)]
+
+
+def test_signatures_lose_no_similar_pair():
+    r = np.random.default_rng(5)
+    kept = similar = 0
+    for _ in range(300):
+        n = int(r.integers(1, 900))
+        own = r.integers(0, 2**64, n, dtype=np.uint64)
+        other = np.unique(np.concatenate([own[int(n * r.random() * 0.5):], r.integers(0, 2**64, int(n * r.random() * 0.4), dtype=np.uint64)]))
+        both = len(np.intersect1d(own, other))
+        if not min(n, len(other)) or 100 * min(n, len(other)) < 75 * max(n, len(other)):
+            continue
+        passed = jaccard.near_enough([jaccard.signature(own), jaccard.signature(other)], np.array([n, len(other)]), np.array([0]), np.array([1]), 75)[0]
+        like = 100 * both >= 75 * (n + len(other) - both)
+        assert passed or not like
+        kept, similar = kept + passed, similar + like
+    assert similar > 20 and kept < 2 * similar
+
+
+def test_texts_with_a_passage_in_common_are_no_candidates(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "FREQUENT", 1000)  # the passage's tokens count as rare ones
+    seen = []
+    real = jaccard.candidates
+    monkeypatch.setattr(jaccard, "candidates", lambda *a: seen.append(real(*a)) or seen[-1])
+    counts = []
+    real_verified = jaccard.verified
+    monkeypatch.setattr(jaccard, "verified", lambda pairs, *a: counts.append(pairs.count() if len(a) == 3 else 0) or real_verified(pairs, *a))
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = [" ".join(f"d{d}x{i}" for i in range(60)) + " " + passage for d in range(60)]
+    got = jaccard.join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert sorted(r.component_id for r in got) == list(range(60)) and len(seen) == 2
+    assert sum(counts) < 60  # 1,770 pairs share the passage
+
+
+def test_components_grow_by_links(spark):
+    first = [(1, 2), (3, 4), (4, 5), (10, 11)]
+    more = [(2, 20), (20, 21), (5, 11), (30, 31), (1, 2)]
+    found = grown(components(spark.createDataFrame(first, "a long, b long")), spark.createDataFrame(more, "a long, b long"))
+    groups = {}
+    for r in found.collect():
+        groups.setdefault(r.root, set()).add(r.node)
+    assert sorted(map(sorted, groups.values())) == [[1, 2, 20, 21], [3, 4, 5, 10, 11], [30, 31]]

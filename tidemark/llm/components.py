@@ -38,3 +38,19 @@ def components(edges: DataFrame) -> DataFrame:
     found = stored(found, "components")
     discard(e, *steps)
     return found
+
+
+def grown(found: DataFrame, links: DataFrame) -> DataFrame:
+    """The components found, joined up by more links(a, b); written, and found is deleted.
+
+    Only links between different components are followed, as links of their roots.
+    """
+    a = found.select(F.col("node").alias("a"), F.col("root").alias("ra"))
+    b = found.select(F.col("node").alias("b"), F.col("root").alias("rb"))
+    between = links.join(a, "a", "left").join(b, "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+    more = components(between)
+    later = more.select(F.col("node").alias("root"), F.col("root").alias("_last"))
+    old = found.join(later, "root", "left").select("node", F.coalesce("_last", "root").alias("root"))
+    whole = stored(old.unionByName(more.join(found.select("node"), "node", "left_anti")), "components")
+    discard(found, more)
+    return whole

@@ -10,8 +10,9 @@ tokens, a prefix being the first n - ceil(t n) + 1 tokens. The join goes by thes
    components so found only serve to skip pairs whose ends are connected already, so large groups of near
    copies never become pairs.
 4. Second order (frequent tokens last): nodes of different components that share a prefix token are
-   candidates, if what stands behind it in both suffices for the overlap needed. Very common passages stand
-   at the end of this order and make no candidates.
+   candidates, if what stands behind it in both suffices for the overlap needed, and if their signatures don't
+   differ in more bits than the sets may in tokens. Very common passages stand at the end of this order, and
+   texts that have no more than a passage in common are told apart before a pair of them is written.
 5. Candidates whose prefixes also meet under the third and fourth order are verified on the whole sets.
 
 Tokens are 64-bit hashes of shingles. A token that many share is reduced to two postings in each
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import discard, mark_hot, pack, scratch_path, slices, split_join, spread, stored, unpack
-from tidemark.llm.components import components
+from tidemark.llm.components import components, grown
 from tidemark.llm.words import mix, shingles
 
 SLICE_BYTES = 4 << 20
@@ -50,6 +51,10 @@ FREQUENT = 16
 FREQUENT_AT_MOST = 1_000_000
 #: Sets in one tile of a token's list.
 TILE = 1000
+#: Bits of a signature, a power of two between these that isn't less than the set's size.
+LEAST_BITS, MOST_BITS = 64, 8192
+#: Pairs of a group's lists that are held before they are made distinct and compared by signature.
+HELD = 1 << 20
 
 
 def _need(n: np.ndarray, percent: int) -> np.ndarray:
@@ -65,6 +70,37 @@ def _keys(s: np.ndarray, at: np.ndarray) -> np.ndarray:
         return mix((total[at[1:]] - total[at[:-1]]) + n.astype(np.uint64), 10).view(np.int64)
 
 
+def signature(tokens: np.ndarray) -> bytes:
+    """A bit for each class of tokens, set where the set has an odd number of them.
+
+    A token that only one of two sets has turns one bit, so signatures differ in no more bits than sets in tokens.
+    A signature's halves, one xor the other, are that of half as many bits.
+    """
+    bits = min(max(1 << (max(len(tokens), 1) - 1).bit_length(), LEAST_BITS), MOST_BITS)
+    odd = np.bincount((mix(tokens, 40) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def near_enough(signatures: list[bytes], n: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of places (left, right) may be similar by signatures and sizes; sizes differ by less than half."""
+    width = np.array([8 * len(s) for s in signatures], dtype=np.int64)
+    keep = np.zeros(len(left), dtype=bool)
+    common = np.minimum(width[left], width[right])
+    for w in np.unique(common).tolist():
+        at = np.flatnonzero(common == w)
+        used, place = np.unique(np.concatenate([left[at], right[at]]), return_inverse=True)
+        rows = np.zeros((len(used), w // 64), dtype=np.uint64)
+        for i, k in enumerate(used.tolist()):
+            rows[i] = np.bitwise_xor.reduce(np.frombuffer(signatures[k], dtype=np.uint64).reshape(-1, w // 64), axis=0)
+        a, b = place[:len(at)], place[len(at):]
+        step = max(1, (64 << 20) // w)
+        for lo in range(0, len(at), step):
+            differ = np.bitwise_count(rows[a[lo:lo + step]] ^ rows[b[lo:lo + step]]).sum(axis=1, dtype=np.int64)
+            some = at[lo:lo + step]
+            keep[some] = (100 + percent) * differ <= (100 - percent) * (n[left[some]] + n[right[some]])
+    return keep
+
+
 def _distinct_rows(s: np.ndarray, at: np.ndarray, key: np.ndarray) -> np.ndarray:
     """Rows with a set, the first of equal ones."""
     first = np.sort(np.unique(key, return_index=True)[1])
@@ -149,7 +185,7 @@ def shared_counts(docs: DataFrame, size: int, percent: int, buckets: int) -> Dat
 
 
 class Sets:
-    """The sets of the nodes that may have a partner: (key, n, hashes, tokens), in files bucketed by key."""
+    """The sets of the nodes that may have a partner: (key, n, hashes, signature, tokens), in files bucketed by key."""
 
     def __init__(self, docs: DataFrame, nodes: DataFrame, size: int, mb: int = 64):
         spark = docs.sparkSession
@@ -167,11 +203,12 @@ class Sets:
                 yield pa.RecordBatch.from_pydict({
                     "key": pa.array(key[keep], pa.int64()), "n": pa.array(np.diff(at)[keep], pa.int64()),
                     "hashes": pa.array(list(np.stack(least, axis=1).view(np.int64)), pa.list_(pa.int64())),
+                    "signature": pa.array([signature(s[at[i]:at[i + 1]]) for i in keep.tolist()], pa.binary()),
                     "tokens": pa.array([s[at[i]:at[i + 1]].tobytes() for i in keep.tolist()], pa.binary())})
 
         ids = nodes.select(F.col("doc_id").alias("_id")).distinct()
         some = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("text")
-        sets = some.mapInArrow(run, "key long, n long, hashes array<long>, tokens binary").repartition(buckets, "key").dropDuplicates(["key"])
+        sets = some.mapInArrow(run, "key long, n long, hashes array<long>, signature binary, tokens binary").repartition(buckets, "key").dropDuplicates(["key"])
         sets = sets.join(nodes.select("key"), "key", "left_semi")
         sets.write.format("parquet").bucketBy(buckets, "key").sortBy("key").option("compression", "zstd").option("path", self.path).saveAsTable(self.name)
         self.table = spark.table(self.name)
@@ -313,9 +350,10 @@ def candidates(sets: DataFrame, found: DataFrame, percent: int, frequent, all_me
     if not all_members:
         pick = F.min(F.struct(F.xxhash64("token", "key").alias("o"), "key", "spot", "n", "rows"))
         lists = lists.groupBy("token", "root").agg(pick.alias("one")).select("token", "root", "one.key", "one.spot", "one.n", "one.rows")
+    lists = lists.join(sets.select("key", "signature"), "key")
     tiles = F.ceil(F.col("rows") / TILE)
     lists = lists.withColumn("mine", F.pmod(F.xxhash64("key"), tiles)).withColumn("its", F.explode(F.sequence(F.lit(0).cast("long"), tiles - 1)))
-    lists = lists.select("token", "spot", "key", "root", "n", "mine", F.least("mine", "its").alias("lo"), F.greatest("mine", "its").alias("hi"))
+    lists = lists.select("token", "spot", "key", "root", "n", "signature", "mine", F.least("mine", "its").alias("lo"), F.greatest("mine", "its").alias("hi"))
     lists = stored(lists, "lists")
     groups = max(int(spark.conf.get("spark.sql.shuffle.partitions")), lists.count() // 100_000 + 1)
 
@@ -323,11 +361,21 @@ def candidates(sets: DataFrame, found: DataFrame, percent: int, frequent, all_me
         c = {k: group[k].to_numpy() for k in ("token", "spot", "key", "root", "n", "mine", "lo", "hi")}
         order = np.lexsort((c["root"], c["hi"], c["lo"], c["token"]))
         c = {k: v[order] for k, v in c.items()}
+        keys, first, place = np.unique(c["key"], return_index=True, return_inverse=True)
+        signatures, sizes = group["signature"].take(pa.array(order[first])).to_pylist(), c["n"][first]
         tile = np.stack([c["token"], c["lo"], c["hi"]])
         begin = np.flatnonzero(np.concatenate([[True], (tile[:, 1:] != tile[:, :-1]).any(0)])) if len(order) else np.zeros(0, np.int64)
-        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        held, met = [], [np.zeros(0, np.int64)]  # pairs as one number: the places of both in keys
+        size = 0
+
+        def settle() -> None:
+            new = np.unique(np.concatenate([np.zeros(0, np.int64), *held]))
+            new = new[near_enough(signatures, sizes, new // len(keys), new % len(keys), percent)] if len(new) else new
+            met[0] = np.union1d(met[0], new)
+            held.clear()
+
         for lo, hi in zip(begin.tolist(), [*begin[1:].tolist(), len(order)], strict=True):
-            root, n, mine = c["root"][lo:hi], c["n"][lo:hi], c["mine"][lo:hi]
+            root, n, mine, own = c["root"][lo:hi], c["n"][lo:hi], c["mine"][lo:hi], place[lo:hi]
             rest = n - c["spot"][lo:hi]  # from the token on
             if root[0] == root[-1]:
                 continue
@@ -338,12 +386,14 @@ def candidates(sets: DataFrame, found: DataFrame, percent: int, frequent, all_me
                 fits = (100 + percent) * np.minimum(rest[j], rest[i]) >= percent * (n[j] + n[i])
                 if c["lo"][lo] != c["hi"][lo]:
                     fits &= mine[j] != mine[i]
-                j = j[fits] + lo
-                left.append(np.full(len(j), c["key"][lo + i]))
-                right.append(c["key"][j])
-        a, b = np.concatenate(left), np.concatenate(right)
-        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
-        return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
+                j = own[j[fits]]
+                held.append(np.minimum(j, own[i]) * len(keys) + np.maximum(j, own[i]))
+                size += len(j)
+            if size >= HELD:
+                settle()
+                size = 0
+        settle()
+        return pa.table({"a": pa.array(keys[met[0] // max(len(keys), 1)], pa.int64()), "b": pa.array(keys[met[0] % max(len(keys), 1)], pa.int64())})
 
     grouped = lists.withColumn("_group", F.pmod(F.xxhash64("token", "lo", "hi"), F.lit(groups)))
     pairs = stored(grouped.groupBy("_group").applyInArrow(pair, "a long, b long").distinct(), "pairs")
@@ -362,24 +412,18 @@ def linked(docs: DataFrame, size: int = 5, percent: int = 75) -> tuple[DataFrame
     nodes = stored(per_key.join(shared_counts(docs, size, percent, buckets), "key").where(F.col("shared") >= need).select("key", "n", "doc_id"), "nodes")
     count, total = nodes.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     sets = Sets(docs, nodes, size)
-    links = stored(nodes.select(F.col("key").alias("a"), F.col("key").alias("b")).limit(0), "links")
-    found = components(links)
+    found = components(nodes.select(F.col("key").alias("a"), F.col("key").alias("b")).limit(0))
     for which in ROUNDS:
         near = stars(sets.table, list(which), count)
-        new = stored(verified(near if which == ROUNDS[0] else apart(near, found), sets.table, percent), "links")
-        grown, more = stored(links.unionByName(new), "links"), components(links.unionByName(new))
-        discard(links, new, found)
-        links, found = grown, more
+        found = grown(found, verified(near if which == ROUNDS[0] else apart(near, found), sets.table, percent))
     frequent = spark.sparkContext.broadcast(frequent_tokens(sets.table, total, buckets))
     # a node that is like many of a component is first held against a few of them
     for all_members in (False, True):
         pairs = candidates(sets.table, found, percent, frequent, all_members)
-        new = stored(verified(pairs, sets.table, percent, frequent), "links")
-        grown, more = stored(links.unionByName(new), "links"), components(links.unionByName(new))
-        discard(links, new, found, pairs)
-        links, found = grown, more
+        found = grown(found, verified(pairs, sets.table, percent, frequent))
+        discard(pairs)
     sets.drop()
-    discard(nodes, links)
+    discard(nodes)
     return named, found
 
 
