@@ -144,3 +144,23 @@ def test_components_grow_by_links(spark):
     for r in found.collect():
         groups.setdefault(r.root, set()).add(r.node)
     assert sorted(map(sorted, groups.values())) == [[1, 2, 20, 21], [3, 4, 5, 10, 11], [30, 31]]
+
+
+def test_bitmap_holds_each_hash(spark):
+    hashes = np.random.default_rng(3).integers(-2**63, 2**63 - 1, 500)
+    words = jaccard.bitmap(spark.createDataFrame([(int(h),) for h in hashes], "h long"), 1 << 14)
+    assert jaccard._in_bitmap(words, hashes).all()
+    assert jaccard._in_bitmap(words, np.random.default_rng(4).integers(-2**63, 2**63 - 1, 5000)).mean() < 0.06
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 20])
+def test_bitmaps_of_any_size_keep_all_sets(spark, monkeypatch, bits):
+    monkeypatch.setattr(jaccard, "BITMAP_BITS", bits)
+    texts = corpus(3, 60)
+    docs = spark.createDataFrame([(i if i % 7 else None, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    named = jaccard.classes(docs, 5).where("n > 0")
+    nodes = named.groupBy("key").agg(F.any_value("n").alias("n"), F.min("doc_id").alias("doc_id")).where("key % 2 = 0")
+    sets = jaccard.Sets(docs, nodes, 5, nodes.count())
+    got = sorted((r.key, r.n) for r in sets.table.select("key", "n").collect())
+    sets.drop()
+    assert got == sorted((r.key, r.n) for r in nodes.collect())

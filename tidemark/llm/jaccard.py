@@ -53,6 +53,8 @@ FREQUENT_AT_MOST = 1_000_000
 TILE = 1000
 #: Bits of a signature, a power of two between these that isn't less than the set's size.
 LEAST_BITS, MOST_BITS = 64, 8192
+#: Bits of a bitmap at most, which is broadcast.
+BITMAP_BITS = 1 << 27
 #: Pairs of a group's lists that are held before they are made distinct and compared by signature.
 HELD = 1 << 20
 
@@ -184,19 +186,42 @@ def shared_counts(docs: DataFrame, size: int, percent: int, buckets: int) -> Dat
     return posted.groupBy("bucket").applyInArrow(count, "key long, shared long").groupBy("key").agg(F.sum("shared").alias("shared"))
 
 
+def bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
+    """The classes, by their lowest bits, of the hashes in the only column, as 64-bit words; bits is a power of two."""
+    at = hashes.select(F.col(hashes.columns[0]).bitwiseAND(bits - 1).alias("at"))
+    words = at.groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("set")).toArrow()
+    out = np.zeros(bits // 64, dtype=np.uint64)
+    out[words["word"].to_numpy()] = words["set"].to_numpy().view(np.uint64)
+    return out
+
+
+def _in_bitmap(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = hashes.view(np.uint64) & np.uint64(64 * len(words) - 1)
+    return (words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
 class Sets:
     """The sets of the nodes that may have a partner: (key, n, hashes, signature, tokens), in files bucketed by key."""
 
-    def __init__(self, docs: DataFrame, nodes: DataFrame, size: int, mb: int = 64):
+    def __init__(self, docs: DataFrame, nodes: DataFrame, size: int, count: int, mb: int = 64):
         spark = docs.sparkSession
         self.name, self.path = f"sets_{uuid.uuid4().hex}", scratch_path(spark, "sets")
         buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spread(docs, mb))
 
+        # texts stay where they are read: bitmaps of a bounded size tell most of those without a node, the join below the rest
+        bits = min(max(1 << (16 * count).bit_length(), LEAST_BITS), BITMAP_BITS)
+        chosen = spark.sparkContext.broadcast((bitmap(nodes.select(F.xxhash64("doc_id").alias("h")), bits), bitmap(nodes.select("key"), bits)))
+
+        def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array(_in_bitmap(chosen.value[0], batch.column("id").to_numpy())))
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for rows in slices(batches, "text", SLICE_BYTES):
+            for rows in slices(some(batches), "text", SLICE_BYTES):
                 s, at = shingles(rows["text"].combine_chunks(), size)
                 key = _keys(s, at)
                 keep = _distinct_rows(s, at, key)
+                keep = keep[_in_bitmap(chosen.value[1], key[keep])]
                 if not len(keep):
                     continue
                 least = [_least(s, at, keep, 20 + k) for k in range(HASHES)]
@@ -206,9 +231,7 @@ class Sets:
                     "signature": pa.array([signature(s[at[i]:at[i + 1]]) for i in keep.tolist()], pa.binary()),
                     "tokens": pa.array([s[at[i]:at[i + 1]].tobytes() for i in keep.tolist()], pa.binary())})
 
-        ids = nodes.select(F.col("doc_id").alias("_id")).distinct()
-        some = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("text")
-        sets = some.mapInArrow(run, "key long, n long, hashes array<long>, signature binary, tokens binary").repartition(buckets, "key").dropDuplicates(["key"])
+        sets = docs.select(F.xxhash64("doc_id").alias("id"), "text").mapInArrow(run, "key long, n long, hashes array<long>, signature binary, tokens binary").repartition(buckets, "key").dropDuplicates(["key"])
         sets = sets.join(nodes.select("key"), "key", "left_semi")
         sets.write.format("parquet").bucketBy(buckets, "key").sortBy("key").option("compression", "zstd").option("path", self.path).saveAsTable(self.name)
         self.table = spark.table(self.name)
@@ -411,7 +434,7 @@ def linked(docs: DataFrame, size: int = 5, percent: int = 75) -> tuple[DataFrame
     need = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * percent / 100) / EXTRA))
     nodes = stored(per_key.join(shared_counts(docs, size, percent, buckets), "key").where(F.col("shared") >= need).select("key", "n", "doc_id"), "nodes")
     count, total = nodes.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    sets = Sets(docs, nodes, size)
+    sets = Sets(docs, nodes, size, count)
     found = components(nodes.select(F.col("key").alias("a"), F.col("key").alias("b")).limit(0))
     for which in ROUNDS:
         near = stars(sets.table, list(which), count)
