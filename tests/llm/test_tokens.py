@@ -84,3 +84,17 @@ def test_viterbi_takes_the_best_path(spark):
     for r in edges.select("unit", cuts.alias("cuts")).collect():
         parts = [r.unit[a:b] for a, b in itertools.pairwise(r.cuts)]
         assert sum(table.get(p, -20.0) for p in parts) == pytest.approx(best(r.unit)), r
+
+
+def test_units_of_pieces_are_dealt_once(spark, tmp_path):
+    """Without adaptive plans, whose reuse shows at run time only: one exchange of units, and others that reuse it."""
+    spark.createDataFrame([(i, "some words " * 3 + "x" * 300) for i in range(5)], "doc_id long, text string").write.parquet(str(tmp_path / "docs"))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        docs = spark.read.parquet(str(tmp_path / "docs"))
+        plan = pieces.encode(docs, P.path("piece_bpe_32k.model"), ["doc_id"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    dealt = [line for line in plan.splitlines() if "Exchange" in line and "REPARTITION_BY_NUM" in line]
+    assert len([line for line in dealt if "ReusedExchange" not in line]) == 1 and len(dealt) == 3, plan

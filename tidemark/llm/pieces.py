@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from tidemark.llm.common import spread
-from tidemark.llm.vocabulary import by_unit, distinct_units, meet, packed_documents, require, unpacked
+from tidemark.llm.vocabulary import by_unit, distinct_units, listed, meet_lists, packed_documents, unpacked
 from tidemark.llm.words import Spans, raw
 
 # Fixed values of the model format.
@@ -144,7 +144,7 @@ def lattice(units: DataFrame, pieces: DataFrame, longest: int, edge: Column, sin
     singles, characters below SINGLES have no edges of their own.
     """
     n = F.length("unit")
-    begins = units.select("unit", n.alias("n"), F.explode(F.sequence(F.lit(0), n - 1)).alias("begin"))
+    begins = units.select("unit", n.alias("n"), F.explode_outer(F.sequence(F.lit(0), n - 1)).alias("begin"))  # never empty; for explode() Spark adds a filter in front of the units' exchange
     # the ids of single characters below SINGLES come from a list, they need no edge
     least = F.when(F.lit(singles) & (F.ascii(F.expr("substring(unit, begin + 1, 1)")) < SINGLES), F.lit(2)).otherwise(F.lit(1))
     lengths = F.filter(F.sequence(F.lit(0), F.least(F.lit(longest), F.col("n") - F.col("begin"))), lambda k: (k >= least) | (k + F.col("begin") == 0))
@@ -226,7 +226,7 @@ def encode_units(units: DataFrame, path: str) -> DataFrame:
     # more groups at a time than Spark would keep before it turns to sorting; each has a few dozen edges
     spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "50000")
     bpe = m.kind == BPE
-    met = lattice(units.where(F.length("unit") <= LONG), piece_table(spark, path), m.longest, packed_edge() if bpe else scored_edge(), singles=bpe)
+    met = lattice(units, piece_table(spark, path), m.longest, packed_edge() if bpe else scored_edge(), singles=bpe)
     met = met.withColumn("n", F.length("unit")).withColumn("index", _packed_index(F.col("edges")) if bpe else F.map_from_entries("edges"))
     n, index = F.col("n"), F.col("index")
     cuts = merged(n, index) if bpe else best_path(n, index, min(s for _, _, s in m.pieces) - 10.0, m.longest)
@@ -261,17 +261,14 @@ def encode(docs: DataFrame, path: str, keep: list[str]) -> DataFrame:
             for i in range(batch.num_rows):
                 row = {c: batch.column(c)[i] for c in batch.schema.names}
                 n, place, _ = unpacked(row["units"].as_py(), row["at"].as_py(), row["freq"].as_py(), True)
-                require(row, place)
-                values = row["values"].values if row["values"].is_valid else pa.array([], pa.list_(pa.int32()))
-                at = values.offsets.to_numpy().astype(np.int64)
-                flat = values.values.to_numpy(zero_copy_only=False)
-                size = np.diff(at)
+                size, flat = listed(row, place)
+                at = np.cumsum(size) - size
                 begins, ends = np.cumsum(n) - n, np.cumsum(n)
                 for lo in range(0, len(n), 500):
                     hi = min(lo + 500, len(n))
                     here = place[begins[lo]:ends[hi - 1]]
                     k = size[here]
-                    ids = flat[np.repeat(at[:-1][here] - (np.cumsum(k) - k), k) + np.arange(k.sum())] if len(here) else flat[:0]
+                    ids = flat[np.repeat(at[here] - (np.cumsum(k) - k), k) + np.arange(k.sum())] if len(here) else flat[:0]
                     total = np.concatenate([[0], np.cumsum(k)])[np.concatenate([[0], ends[lo:hi] - begins[lo]])]
                     made = {c: row[c].values.slice(lo, hi - lo) for c in keep}
                     made["n_bytes"] = row["n_bytes"].values.slice(lo, hi - lo)
@@ -280,9 +277,11 @@ def encode(docs: DataFrame, path: str, keep: list[str]) -> DataFrame:
 
     cut = cutter(path)
     units, checks = distinct_units(docs, "text", cut)
-    dealt, distinct = by_unit(units, max(spread(docs, 16), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    per_unit = encode_units(distinct, path).unionByName(_encode_long(units.select("unit").where(F.length("unit") > LONG).distinct(), path))
-    return meet(packed_documents(docs, "text", cut, keep, True), dealt, checks, per_unit, "ids").mapInArrow(gather, schema)
+    partitions = max(spread(docs, 16), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt, short = by_unit(units, partitions, lambda unit: F.length(unit) <= LONG)
+    _, long = by_unit(units, partitions, lambda unit: F.length(unit) > LONG)
+    per_unit = encode_units(short, path).unionByName(_encode_long(long, path))
+    return meet_lists(packed_documents(docs, "text", cut, keep, True), dealt, checks, per_unit, "ids").mapInArrow(gather, schema)
 
 
 @functools.lru_cache(maxsize=2)

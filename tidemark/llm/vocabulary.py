@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
@@ -146,10 +146,12 @@ def unpacked(units: bytes, at: bytes, freq: bytes, sequence: bool) -> tuple[np.n
     return n, at, f
 
 
-def by_unit(units: DataFrame, partitions: int) -> tuple[DataFrame, DataFrame]:
-    """(units dealt by unit, the distinct ones of them): one exchange serves both."""
+def by_unit(units: DataFrame, partitions: int, only: Callable[[Column], Column] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(units dealt by unit, the distinct ones of them that only lets through): one exchange serves both."""
     dealt = units.repartition(partitions, "unit")
-    return dealt, dealt.groupBy("unit").agg(F.max("place").alias("place")).where("place is not null").select("unit")
+    # a condition on the aggregate stays behind the exchange, which else would be made once more with the condition in it
+    condition = F.when(F.col("place").isNotNull(), only(F.col("unit"))) if only else F.col("place").isNotNull()
+    return dealt, dealt.groupBy("unit").agg(F.max("place").alias("place")).where(condition).select("unit")
 
 
 def meet(documents: DataFrame, dealt: DataFrame, checks: DataFrame, per_unit: DataFrame, value: str) -> DataFrame:
@@ -161,8 +163,54 @@ def meet(documents: DataFrame, dealt: DataFrame, checks: DataFrame, per_unit: Da
     return documents.join(known, "batch", "left")
 
 
+PARTS = StructType([StructField("_batch", LongType()), *[StructField(c, BinaryType()) for c in ("at", "size", "flat")]])
+
+
+def meet_lists(documents: DataFrame, dealt: DataFrame, checks: DataFrame, per_unit: DataFrame, value: str) -> DataFrame:
+    """meet() for values that are lists of integers: documents with ``check`` and ``parts``, which listed() puts together.
+
+    A task packs the lists of each batch before they are shuffled; it holds those of its own units.
+    """
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = list(batches)
+        if not sum(r.num_rows for r in rows):
+            return
+        table = pa.Table.from_batches(rows).combine_chunks()
+        batch, at = table["batch"].to_numpy(), table["at"].to_numpy()
+        order = np.lexsort((at, batch))
+        begin = np.flatnonzero(np.concatenate([[True], np.diff(batch[order]) != 0]))
+        lists = table[value].combine_chunks() if isinstance(table[value], pa.ChunkedArray) else table[value]
+        for lo, hi in zip(begin.tolist(), [*begin[1:].tolist(), len(order)], strict=True):
+            some = order[lo:hi]
+            own = lists.take(pa.array(some))
+            size, flat = pc.list_value_length(own).to_numpy(), own.flatten().to_numpy()
+            yield pa.RecordBatch.from_pydict({"_batch": pa.array([int(batch[some[0]])], pa.int64()), "at": pa.array([pack(np.diff(at[some], prepend=0).astype(np.uint32))], pa.binary()),
+                                               "size": pa.array([pack(size.astype(np.uint32))], pa.binary()), "flat": pa.array([pack(flat.astype(np.uint32))], pa.binary())})
+
+    met = dealt.join(per_unit, "unit").select(F.shiftright("place", 31).alias("batch"), F.col("place").bitwiseAND(2**31 - 1).cast("int").alias("at"), value)
+    parts = met.mapInArrow(make, PARTS).groupBy("_batch").agg(F.collect_list(F.struct("at", "size", "flat")).alias("parts"))
+    return documents.join(checks.join(parts, F.col("batch").eqNullSafe(F.col("_batch")), "left").drop("_batch"), "batch", "left")
+
+
+def listed(row: dict[str, pa.Scalar], places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sizes of the lists of a batch's units in order, their integers); fails unless both branches saw the same batch."""
+    at, size, flat = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+    for part in row["parts"].as_py() or []:
+        at.append(np.cumsum(unpack(part["at"], np.uint32), dtype=np.int64))
+        size.append(unpack(part["size"], np.uint32).astype(np.int64))
+        flat.append(unpack(part["flat"], np.uint32).astype(np.int32))
+    at, size, flat = (np.concatenate(x) for x in (at, size, flat))
+    _same(row, places, len(at))
+    order = np.argsort(at)
+    k = size[order]
+    return k, flat[np.repeat((np.cumsum(size) - size)[order] - (np.cumsum(k) - k), k) + np.arange(k.sum())]
+
+
 def require(row: dict[str, pa.Scalar], at: np.ndarray) -> None:
     """Fails unless both branches saw the same batch."""
-    have = len(row["values"].values) if row["values"].is_valid else 0
+    _same(row, at, len(row["values"].values) if row["values"].is_valid else 0)
+
+
+def _same(row: dict[str, pa.Scalar], at: np.ndarray, have: int) -> None:
     if row["check"].as_py() != row["own_check"].as_py() or len(at) and int(at.max()) >= have:
         raise RuntimeError(f"batch {row['batch']}: its scan was split differently the second time; run the job again")
