@@ -1,10 +1,13 @@
 """Near-duplicate vectors against all pairs; recall of the search against brute force."""
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.fs
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import hilbert, subspace
+from tidemark.llm.common import open_shared
 
 SCHEMA = "vec_id long, embedding array<float>, label int, links long"
 
@@ -43,6 +46,31 @@ def test_links_equal_all_pairs(spark, monkeypatch, tile):
     assert links.max() > 5
 
 
+def test_vectors_are_written_once_whatever_their_pairs(spark, monkeypatch):
+    """Copies per pair of tiles and block made disk grow with the square of the rows."""
+    kept = []
+
+    def seen(_, folder):
+        fs, path = open_shared(folder)
+        for file in fs.get_file_info(pa.fs.FileSelector(path)):
+            with fs.open_input_file(file.path) as source:
+                kept.extend(pa.ipc.open_file(source).read_all()["cid"].to_pylist())
+
+    monkeypatch.setattr(subspace, "TILE", 9)
+    monkeypatch.setattr(subspace, "drop", seen)
+    rows = clustered(4)
+    distinct = len({(tuple(v), x) for _, v, x, _ in rows})
+    assert subspace.dedup(spark.createDataFrame(rows, SCHEMA)).count() == len(rows)
+    assert len(kept) == len(set(kept)) == distinct
+
+
+def test_single_precision_and_double_agree(spark):
+    rows = clustered(5)
+    one = subspace.dedup(spark.createDataFrame(rows, SCHEMA)).collect()
+    two = subspace.dedup(spark.createDataFrame(rows, SCHEMA.replace("array<float>", "array<double>"))).collect()
+    assert sorted(one) == sorted(two)
+
+
 ODD = [(1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 0.0], 1), (4, None, 1), (5, [0.0, 0.0], 1), (6, [float("nan"), 1.0], 1), (7, [1.0, 0.0], None),
        (8, [1.0, None], 1), (9, [1.0, 0.0, 0.0], 1), (10, [1.0, 0.3], 1), (11, [1.0, 0.0], 2), (None, [1.0, 0.01], 2), (12, [], 1), (13, [float("inf"), 1.0], 1)]
 

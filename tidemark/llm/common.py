@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import cut, scratch_path, shared_root
 
-__all__ = ["aside", "cut", "discard", "mark_hot", "open_shared", "pack", "put_back", "row_slices", "scratch_path", "shared_root", "slices", "split_join", "spread", "stored", "table", "tokenizer", "unpack"]
+__all__ = ["aside", "cut", "discard", "drop", "mark_hot", "open_shared", "pack", "put_back", "row_slices", "scratch_path", "shared_root", "slices", "split_join", "spread", "stored", "table", "tokenizer", "unpack"]
 
 #: Rows of one Arrow batch; slices() then cuts or joins batches by bytes.
 BATCH_ROWS = 1000
@@ -42,8 +42,13 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 def discard(*tables: DataFrame) -> None:
     """Delete tables of stored() that nothing reads any more."""
     for df in tables:
-        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.scratch)
-        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        drop(df.sparkSession, df.scratch)
+
+
+def drop(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def spread(df: DataFrame, mb: int = 64, least: int = 1) -> int:
