@@ -1,5 +1,6 @@
 """Bucketed tables: what a merge reads, writes and leaves in the feed."""
 
+import pathlib
 import random
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.compare import CheckFailed
 from tidemark.operators.merge import change_feed
+from tidemark.session import shared_root
 from tidemark.sources.buckets import BucketLog, Merge, buckets_for
 
 ROW = "k int, v string"
@@ -37,6 +39,17 @@ def test_untouched_buckets_keep_their_files(spark, make, log):
     assert log.read("t", 1).count() == 1000
 
 
+def test_a_merge_leaves_no_intermediate_tables(spark, make, log):
+    """Keys and new rows of a batch lay in the shared folder for good."""
+    table = spark.range(1000).select(F.col("id").cast("int").alias("k"), F.lit("a").alias("v"))
+    log.create("r1", {"t": (table, ["k"])}, buckets=4)
+    left = {f.name for f in pathlib.Path(shared_root(spark)).rglob("rdd-*")} | {f.name for f in pathlib.Path(shared_root(spark)).iterdir()}
+    batch = make(ROW, (7, "b"), (2000, "n"))
+    log.merge("r2", {"t": Merge(batch, replaced(batch))})
+    now = {f.name for f in pathlib.Path(shared_root(spark)).rglob("rdd-*")} | {f.name for f in pathlib.Path(shared_root(spark)).iterdir()}
+    assert now == left and log.read("t").count() == 1001
+
+
 def test_rows_read_follow_the_batch_and_not_the_target(spark, make, log):
     for n in (1000, 8000):
         table = spark.range(n).select(F.col("id").cast("int").alias("k"), F.lit("a").alias("v"))

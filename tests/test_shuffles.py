@@ -1,6 +1,7 @@
 """What the big steps shuffle: narrow rows, whatever the rows they leave look like."""
 
 import re
+import time
 
 from conftest import rows_of
 
@@ -10,13 +11,62 @@ from tidemark.operators.merge import change_feed
 from tidemark.plans import trucking
 from tidemark.plans.catalog.changes import _changes
 from tidemark.plans.catalog.figures import lanes
-from tidemark.plans.catalog.reconciliation import check_keys_event, check_lifecycle_oracle, reconcile_verdict
+from tidemark.plans.catalog.reconciliation import _keys, check_keys_event, check_lifecycle_oracle, reconcile_verdict
 from tidemark.plans.measures import query as measure_query
 from tidemark.plans.star import Star, star as shared
+from tidemark.session import Steps, tune
+from tidemark.sources.sinks import exists
 
 SF = "/root/testdata/sf0.001"
 
 
+def on_disk(spark):
+    return spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+
+
+def test_shuffle_files_go_with_their_execution(spark, tmp_path):
+    tune(spark)
+    before = on_disk(spark)
+    for n in range(4):
+        spark.range(1000).selectExpr("id", "id % 7 AS k").repartition(4, "k").write.parquet(str(tmp_path / str(n)))
+    for _ in range(50):     # they are deleted by a thread of their own
+        if on_disk(spark) <= before:
+            break
+        time.sleep(0.2)
+    assert on_disk(spark) <= before
+    twice = spark.range(1000).selectExpr("id", "id % 7 AS k").repartition(4, "k")
+    assert sorted(twice.collect()) == sorted(twice.collect())
+
+
+def test_rows_are_written_before_a_join_that_shuffles_them(spark, monkeypatch):
+    rows, steps = spark.range(100).selectExpr("id", "id % 7 AS k"), Steps()
+    few, many = spark.range(5), spark.range(10_000_000)
+    assert steps.before(rows, few) is rows
+    one = steps.before(rows, many)
+    two = steps.before(one.withColumn("k", one.k + 1), many)
+    assert sorted(two.collect()) == [(i, i % 7 + 1) for i in range(100)]
+    assert not exists(spark, one.scratch) and exists(spark, two.scratch)
+    steps.end()
+    assert not exists(spark, two.scratch)
+
+
+def test_large_lookups_give_the_same_fact(spark):
+    """The written form of each fact's rows against the one that joins all lookups in one go."""
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for fact, (_, key, keys) in FACTS.items():
+        told = rows_of(Star(spark, SF).stage(fact), key, *keys)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+        try:
+            assert rows_of(Star(spark, SF).stage(fact), key, *keys) == told
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+
+
+def test_a_check_publishes_the_fact_before_it_meets_its_source(spark):
+    s = Star(spark, SF)
+    assert _keys(s, "trip").inputFiles() and s._holding("trip", FACTS["trip"][2]) is not None
+
+
 def shuffled(df, capsys):
     """The names of the columns of each exchange in a plan."""
     df.explain("formatted")
